@@ -65,17 +65,18 @@ def largest_detection(
 
 def valid_targets(categories: Column, boxes: Column) -> Column:
     """Array of (label, box) for mapped categories with a positive extent."""
+    categories = F.coalesce(categories, F.array().cast("array<string>"))
+    boxes = F.coalesce(boxes, F.array().cast("array<array<float>>"))
     zipped = F.arrays_zip(categories.alias("c"), boxes.alias("b"))
     labelled = F.transform(
         zipped, lambda z: F.struct(category_class(z["c"]).alias("label"), z["b"].alias("box"))
     )
-    kept = F.filter(
+    return F.filter(
         labelled,
         lambda t: t["label"].isNotNull()
         & (F.get(t["box"], 2) > F.get(t["box"], 0))
         & (F.get(t["box"], 3) > F.get(t["box"], 1)),
     )
-    return F.coalesce(kept, F.filter(labelled, lambda t: F.lit(False)), F.array())
 
 
 def iou(a: str, b: str) -> Column:
