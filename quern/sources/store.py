@@ -50,6 +50,7 @@ class TableStore:
         self.root = root.rstrip("/")
         self._log = f"{self.root}/_manifest"
         spark.createDataFrame([], MANIFEST_SCHEMA).write.mode("append").parquet(self._log)
+        self.reopen()
 
     # --- manifest ------------------------------------------------------------
 
@@ -57,13 +58,15 @@ class TableStore:
         """All commits; one row each, so bounded by the number of commits."""
         return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._log)
 
-    def _commits(self, name: str | None = None) -> list[Commit]:
-        rows = self.manifest()
-        if name is not None:
-            rows = rows.where(F.col("name") == name)
-        found = [
-            Commit(**{**r.asDict(), "columns": tuple(r["columns"] or ())}) for r in rows.collect()
+    def reopen(self) -> None:
+        """Read the manifest again, to see commits made through another handle."""
+        self._known = [
+            Commit(**{**r.asDict(), "columns": tuple(r["columns"] or ())})
+            for r in self.manifest().collect()
         ]
+
+    def _commits(self, name: str | None = None) -> list[Commit]:
+        found = [c for c in self._known if name is None or c.name == name]
         return sorted(found, key=lambda c: (c.name, c.version))
 
     def _commit(self, commit: Commit) -> None:
@@ -71,6 +74,7 @@ class TableStore:
         self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
             self._log
         )
+        self._known.append(commit)
 
     def _live(self, name: str, version: int | None = None) -> list[Commit]:
         """Commits since the table was last created, up to a version."""
