@@ -150,6 +150,6 @@ def sized_shards(df: DataFrame, id_col: str, size: str, limit: int, seed: int) -
 
 def shard_index(sharded: DataFrame, size: str) -> DataFrame:
     """Rows and bytes per shard."""
-    return sharded.groupBy("shard").agg(
+    return sharded.groupBy(F.col("shard").cast("bigint").alias("shard")).agg(
         F.count("*").alias("rows"), F.sum(F.col(size).cast("bigint")).alias("bytes")
     )

@@ -18,7 +18,7 @@ from quern.schema import COSINE_THRESHOLD, VERBATIM_SIMILARITY
 BM25_K1, BM25_B = 1.2, 0.75
 FUSION_K = 60
 
-TERM_BUCKETS = 256
+TERM_BUCKETS = 64
 
 # Query vectors compared in one pass over the table.
 QUERIES_PER_PASS = 2048
@@ -52,11 +52,11 @@ def text_stats(df: DataFrame, text: str) -> DataFrame:
 def write_text_index(df: DataFrame, id_col: str, text: str, path: str) -> None:
     """Write (or replace) the postings, partitioned by term bucket, and the statistics."""
     rows = postings(df, id_col, text).withColumn("bucket", term_bucket(F.col("term")))
-    # Within a bucket rows spread over several tasks, so a frequent term is no hot spot.
-    spread = rows.repartition("bucket", F.pmod(F.col("id"), F.lit(8)))
-    spread.sortWithinPartitions("term").write.mode("overwrite").partitionBy("bucket").parquet(
-        f"{path}/postings"
-    )
+    # Ranges split a frequent term over several tasks and keep the files few; sorted
+    # terms let Parquet statistics skip row groups inside a bucket.
+    order = ["bucket", "term", "id"]
+    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     text_stats(df, text).write.mode("overwrite").parquet(f"{path}/stats")
 
 
@@ -298,7 +298,7 @@ def fuse(text_hits: DataFrame, vector_hits: DataFrame, k: int) -> DataFrame:
         F.coalesce(1.0 / (F.lit(FUSION_K) + F.col(r)), F.lit(0.0))
         for r in ("text_rank", "vector_rank")
     ]
-    return top(lists.withColumn("score", parts[0] + parts[1]), k)
+    return top(lists.select("id", (parts[0] + parts[1]).alias("score")), k)
 
 
 def hybrid_search(
@@ -339,17 +339,19 @@ def _fit_centroids(vectors: DataFrame, column: str, cells: int, seed: int) -> np
     return np.array(model.clusterCenters())
 
 
-def _assign(column: str, centers: np.ndarray):
-    """Index of the nearest center, batch by batch."""
+def _with_cell(df: DataFrame, column: str, centers: np.ndarray, name: str) -> DataFrame:
+    """Add the index of the nearest center, batch by batch."""
+    at = df.columns.index(column)
 
-    @F.arrow_udf(T.IntegerType())
-    def cell(vectors: pa.Array) -> pa.Array:
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        x = flat.reshape(len(vectors), centers.shape[1])
-        gaps = (centers * centers).sum(axis=1) - 2 * x @ centers.T
-        return pa.array(gaps.argmin(axis=1).astype(np.int32))
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squares = (centers * centers).sum(axis=1)
+        for batch in batches:
+            flat = batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            x = flat.reshape(batch.num_rows, centers.shape[1])
+            cell = (squares - 2 * x @ centers.T).argmin(axis=1).astype(np.int32)
+            yield batch.append_column(name, pa.array(cell))
 
-    return cell(F.col(column))
+    return df.mapInArrow(assign, T.StructType([*df.schema, T.StructField(name, T.IntegerType())]))
 
 
 def build_vector_index(
@@ -380,7 +382,7 @@ def build_vector_index(
     rows = base.withColumn("_key", key)
     cells = max(1, min(cells, rows.count()))
     centers = _fit_centroids(rows, "_key", cells, seed)
-    placed = rows.withColumn("cell", _assign("_key", centers))
+    placed = _with_cell(rows, "_key", centers, "cell")
     if subspaces:
         width = centers.shape[1] // subspaces
         books = []
@@ -389,7 +391,7 @@ def build_vector_index(
             placed = placed.withColumn("_piece", piece)
             book = _fit_centroids(placed, "_piece", min(codes, rows.count()), seed + s)
             books.append(book)
-            placed = placed.withColumn(f"_code{s}", _assign("_piece", book))
+            placed = _with_cell(placed, "_piece", book, f"_code{s}")
         placed = placed.withColumn("code", F.array(*[f"_code{s}" for s in range(subspaces)]))
         placed = placed.drop("_piece", *[f"_code{s}" for s in range(subspaces)])
         book_rows = [
@@ -400,8 +402,8 @@ def build_vector_index(
         spark.createDataFrame(
             book_rows, "subspace int, code int, center array<double>"
         ).write.mode("overwrite").parquet(f"{path}/codebook")
-    # A hot cell is written by several tasks.
-    spread = placed.drop("_key").repartition("cell", F.pmod(F.col("id"), F.lit(8)))
+    # Ranges split a hot cell over several tasks.
+    spread = placed.drop("_key").repartitionByRange("cell", "id")
     spread.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
     center_rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
     spark.createDataFrame(center_rows, "cell int, center array<double>").write.mode(

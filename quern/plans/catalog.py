@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from quern.plans import frame_queries, order_queries, text_queries  # noqa: F401
+from quern.plans import (  # noqa: F401
+    episode_queries,
+    evaluation_queries,
+    frame_queries,
+    order_queries,
+    search_queries,
+    text_queries,
+)
 from quern.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -274,8 +274,9 @@ def block_documents(spark, d):
 
 @query(
     "reshape_blocks",
-    f"""select doc_id as id, cast(b as int) as block_no, md5(substr(concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101'), cast(b*192 as bigint) + 1, 192)) as block_md5
-      from (select *, unnest(range((octet_length(encode(text)) + 2) // 64)) as b from documents)""",
+    """with t as materialized (select doc_id as id, concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101') as h from documents)
+      select id, cast(b as int) as block_no, md5(substr(h, cast(b*192 as bigint) + 1, 192)) as block_md5
+      from (select id, h, unnest(range(length(h) // 192)) as b from t)""",
 )
 def reshape_blocks(spark, d):
     rows = tokenized_corpus(spark, d).select("id", "input_ids")
