@@ -12,6 +12,7 @@ from quern.functions.vectors import hamming
 from quern.operators.counts import count_as_rows, percent
 from quern.operators.filters import SUMMARY_BBOX_PCT
 from quern.schema import CANARY_PREFIX, FRAME_SCHEMA, HAMMING_THRESHOLD
+from quern.session import checkpointed
 
 BANDS, BAND_BITS = 4, 16
 BAND_MASK = (1 << BAND_BITS) - 1
@@ -37,7 +38,7 @@ TRAIN_VIEWS = {
 
 
 def keepers(df: DataFrame, id_col: str, key: Column) -> DataFrame:
-    """(content, keep_id, n): the lowest id of each content and its number of rows.
+    """(content, keep_id, n): the lowest id of each key and its number of rows.
 
     A plain aggregate, so a content copied across a third of the table shrinks to
     one row per task before the shuffle.
@@ -50,26 +51,32 @@ def keepers(df: DataFrame, id_col: str, key: Column) -> DataFrame:
     )
 
 
-def flag_repeats(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """Add ``is_dup``: false for the first row of each normalized text, true for the rest.
+def flag_repeats(keyed: DataFrame, id_col: str, key: str) -> DataFrame:
+    """Replace ``key`` by ``is_dup``: false for the lowest id of each key, true for the rest.
 
-    The flag comes from a join on the id, which is unique, never on the hash, whose
-    groups may be huge. NULL text stays NULL.
+    The flag comes from a join on the id, which is unique, never on the key, whose
+    groups may be huge. A NULL key gives NULL.
     """
-    first = keepers(df, id_col, content_key(F.col(text))).select(
+    first = keepers(keyed, id_col, F.col(key)).select(
         F.col("keep_id").alias(id_col), F.lit(True).alias("_first")
     )
-    return (
-        df.join(first, id_col, "left")
-        .withColumn("is_dup", F.when(F.col(text).isNotNull(), F.col("_first").isNull()))
-        .drop("_first")
-    )
+    flag = F.when(F.col(key).isNotNull(), F.col("_first").isNull())
+    return keyed.join(first, id_col, "left").withColumn("is_dup", flag).drop("_first", key)
+
+
+def repeat_flags(df: DataFrame, id_col: str = "id", text: str = "text", carry: tuple = ()):
+    """(id, carried columns, is_dup): repeats of a whitespace-normalized text.
+
+    The text is read once. Its 16-byte hashes are written to the shared folder and
+    both passes, finding the first of each and flagging the rest, run on those.
+    """
+    keyed = df.select(id_col, *carry, content_key(F.col(text)).alias("_content"))
+    return flag_repeats(checkpointed(keyed), id_col, "_content")
 
 
 def repeat_ids(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """Ids of all rows but the first of each normalized text; reads two columns."""
-    flagged = flag_repeats(df.select(id_col, text), id_col, text)
-    return flagged.where("is_dup").select(id_col)
+    """Ids of all rows but the first of each normalized text."""
+    return repeat_flags(df, id_col, text).where("is_dup").select(id_col)
 
 
 def membership_flag(df: DataFrame, ids: DataFrame, id_col: str, flag: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.functions.boxes import category_class, iou
 from quern.operators.ordering import running_totals
 from quern.schema import IOU_THRESHOLD, SCORE_THRESHOLD
+from quern.session import checkpointed
 
 BOX = ["x1", "y1", "x2", "y2"]
 GROUP = ["frame_key", "label"]
@@ -149,10 +150,14 @@ def match_predictions(
 def precision_recall(
     truths: DataFrame, matches: DataFrame, max_group_rows: int = 2_000_000
 ) -> DataFrame:
-    """Cumulative precision and recall per class by falling score; ``step`` from 0."""
+    """Cumulative precision and recall per class by falling score; ``step`` from 0.
+
+    The matches are narrow rows behind several joins and are used more than once,
+    so they are written to the shared folder first.
+    """
     order = [F.col("score").desc(), F.col("frame_key").asc(), F.col("pred_id").asc()]
     curve = running_totals(
-        matches,
+        checkpointed(matches),
         ["label"],
         order,
         {"rank": F.lit(1).cast("bigint"), "tp_cum": F.col("tp").cast("bigint")},

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.operators.ordering import (
@@ -19,7 +19,7 @@ BROADCAST_ROWS = 1_000_000
 
 
 def document_offsets(
-    docs: DataFrame, num_splits: int, seed: int, epoch: int = 0, world_size: int = 1
+    lengths: DataFrame, num_splits: int, seed: int, epoch: int = 0, world_size: int = 1
 ) -> DataFrame:
     """(id, split_id, rank, start, length): where each document begins in its split.
 
@@ -27,8 +27,8 @@ def document_offsets(
     hash buckets and inside each bucket, so no task holds a whole split. Both
     levels reuse the partitioning by bucket that ``epoch_plan`` leaves.
     """
-    lengths = docs.select("id", (F.col("n_tokens") + 1).cast("bigint").alias("length"))
-    plan = epoch_plan(lengths, "id", num_splits, seed, epoch, world_size, keep_bucket=True)
+    closed = lengths.select("id", (F.col("n_tokens") + 1).cast("bigint").alias("length"))
+    plan = epoch_plan(closed, "id", num_splits, seed, epoch, world_size, keep_bucket=True)
     sums = plan.groupBy("split_id", "_bucket").agg(F.sum("length").alias("_sum"))
     by_bucket = Window.partitionBy("split_id").orderBy("_bucket")  # <= 16**BUCKET_DIGITS rows
     bases = sums.select("split_id", "_bucket", before(F.col("_sum"), by_bucket).alias("_base"))
@@ -42,6 +42,7 @@ def document_offsets(
 
 
 def pack_sequences(
+    lengths: DataFrame,
     docs: DataFrame,
     num_splits: int,
     seed: int,
@@ -51,8 +52,14 @@ def pack_sequences(
     eos_id: int = EOS_ID,
     pad_id: int = PAD_ID,
     world_size: int = 1,
+    tokens: Column | None = None,
 ) -> DataFrame:
-    """Blocks of exactly ``block_len`` tokens from (id, n_tokens, input_ids).
+    """Blocks of exactly ``block_len`` tokens from the documents listed in ``lengths``.
+
+    ``lengths`` has (id, n_tokens) of the rows to pack and is read several times to
+    lay them out; ``docs`` has id and the column behind ``tokens`` (``input_ids`` by
+    default) and is read once. ``tokens`` is computed after the join, so text
+    travels as text and not as four-byte ids.
 
     Documents of a split follow each other in the seeded order, each closed by
     ``eos_id``. With ``blocks_per_epoch`` every split yields the same number of
@@ -61,13 +68,14 @@ def pack_sequences(
 
     Returns (split_id, rank, block_no, input_ids, doc_ids, doc_lengths).
     """
-    offsets = document_offsets(docs, num_splits, seed, epoch, world_size)
+    offsets = document_offsets(lengths, num_splits, seed, epoch, world_size)
     per_split = None
     if blocks_per_epoch is not None:
         per_split = blocks_per_epoch // num_splits
         offsets = offsets.where(F.col("start") < per_split * block_len)
-    tokens = docs.select("id", F.concat("input_ids", F.array(F.lit(eos_id))).alias("ids"))
-    placed = offsets.join(tokens, "id")
+    tokens = F.col("input_ids") if tokens is None else tokens
+    closed = F.concat(tokens, F.array(F.lit(eos_id)))
+    placed = offsets.join(docs, "id").select(*offsets.columns, closed.alias("ids"))
 
     first = F.expr(f"start div {block_len}")
     last = F.expr(f"(start + length - 1) div {block_len}")
@@ -106,14 +114,14 @@ def pack_sequences(
     if per_split is None:
         return packed
     return packed.unionByName(
-        _dry_blocks(docs, offsets, num_splits, per_split, block_len, pad_id, world_size)
+        _dry_blocks(offsets, num_splits, per_split, block_len, pad_id, world_size)
     )
 
 
-def _dry_blocks(docs, offsets, num_splits, per_split, block_len, pad_id, world_size):
+def _dry_blocks(offsets, num_splits, per_split, block_len, pad_id, world_size):
     """All-pad blocks of the splits that end before their last block."""
     ends = offsets.groupBy("split_id").agg(F.max(F.col("start") + F.col("length")).alias("end"))
-    splits = docs.sparkSession.range(num_splits).select(F.col("id").cast("int").alias("split_id"))
+    splits = offsets.sparkSession.range(num_splits).select(F.col("id").cast("int").alias("split_id"))
     filled = splits.join(ends, "split_id", "left").withColumn(
         "used", F.ceil(F.coalesce(F.col("end"), F.lit(0)) / block_len).cast("bigint")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from quern.functions.text import terms
 from quern.functions.vectors import l2_normalize, similarity_verdict
 from quern.schema import COSINE_THRESHOLD, VERBATIM_SIMILARITY
+from quern.session import checkpointed
 
 # BM25 and rank fusion constants.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -82,10 +83,32 @@ def top(scored: DataFrame, k: int) -> DataFrame:
 
 
 def text_search(df: DataFrame, id_col: str, text: str, query: str, k: int = 20) -> DataFrame:
-    """BM25 top-k over a table without an index; a document matches on any term."""
+    """BM25 top-k over a table without an index; a document matches on any term.
+
+    The text is scanned once, without a shuffle: each document yields its length and
+    its count of every query term. Those narrow rows are written to the shared
+    folder, and both the statistics and the scores come from them.
+    """
     wanted = query_terms(df.sparkSession, query)
-    matches = postings(df, id_col, text).where(F.col("term").isin(wanted))
-    return top(bm25(matches, text_stats(df, text)), k)
+    tokens = df.where(F.col(text).isNotNull()).select(
+        F.col(id_col).alias("id"), terms(F.col(text)).alias("tokens")
+    )
+    asked = F.array(*[F.lit(t) for t in wanted]).cast("array<string>")
+    tf = F.transform(asked, lambda w: F.size(F.filter("tokens", lambda t: t == w)))
+    counted = checkpointed(tokens.select("id", F.size("tokens").alias("length"), tf.alias("tf")))
+    at = range(len(wanted))
+    stats = counted.agg(
+        F.count("*").alias("docs"),
+        F.avg("length").alias("mean_length"),
+        *[F.count_if(F.get("tf", i) > 0).alias(f"df{i}") for i in at],
+    )
+    scale = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.col("mean_length"))
+    score = F.lit(0.0)
+    for i in at:
+        idf = F.log1p((F.col("docs") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
+        score = score + idf * F.get("tf", i) * (BM25_K1 + 1) / (F.get("tf", i) + scale)
+    hits = counted.where(F.exists("tf", lambda n: n > 0)).join(F.broadcast(stats))  # one row
+    return top(hits.select("id", score.alias("score")), k)
 
 
 def indexed_text_search(spark: SparkSession, path: str, query: str, k: int = 20) -> DataFrame:
@@ -335,7 +358,7 @@ def _fit_centroids(vectors: DataFrame, column: str, cells: int, seed: int) -> np
     fraction = min(1.0, cells * TRAIN_VECTORS_PER_CELL / max(rows, 1))
     train = vectors if fraction == 1.0 else vectors.sample(fraction, seed=seed)
     features = train.select(array_to_vector(F.col(column)).alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=10).fit(features)
+    model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(checkpointed(features))
     return np.array(model.clusterCenters())
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.frames import add_features
 from quern.functions.text import byte_token_count, byte_tokens
-from quern.operators.dedup import flag_repeats
+from quern.operators.dedup import repeat_flags
 from quern.operators.ordering import running_totals
 from quern.schema import CATEGORIES
 
@@ -38,13 +38,17 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counted_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus with ``is_dup`` and ``n_tokens``."""
-    flagged = flag_repeats(corpus(spark, sf_dir))
-    return flagged.withColumn("n_tokens", byte_token_count(F.col("text")))
+    """(id, source, score, n_chars, n_tokens, is_dup): the corpus without its text.
+
+    One scan of the text; all planning runs on these narrow rows.
+    """
+    rows = corpus(spark, sf_dir).withColumn("n_tokens", byte_token_count(F.col("text")))
+    return repeat_flags(rows, carry=("source", "score", "n_chars", "n_tokens"))
 
 
 def tokenized_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counted_corpus(spark, sf_dir).withColumn("input_ids", byte_tokens("text"))
+    """(id, input_ids)."""
+    return corpus(spark, sf_dir).select("id", byte_tokens("text").alias("input_ids"))
 
 
 # --- frames ------------------------------------------------------------------
@@ -106,16 +110,14 @@ def flagged_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One truth box per order line; the id is a hash of the line, so no numbering is needed."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    identity = F.concat_ws(
-        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents.cast("string")
-    )
+    """One truth box per order line; the id is built from the line, so no numbering is needed."""
+    cents = F.pmod(F.round(F.col("l_extendedprice") * 100).cast("bigint"), F.lit(1 << 30))
+    part = F.pmod(F.col("l_partkey"), F.lit(1 << 28))
     x1 = F.pmod(F.col("l_suppkey") * 37, F.lit(1000))
     y1 = F.pmod(F.col("l_partkey") * 53, F.lit(500))
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("frame_key"),
-        F.conv(F.substring(F.md5(identity), 1, 12), 16, 10).cast("bigint").alias("box_id"),
+        ((cents * (1 << 28) + part) * 8 + F.col("l_linenumber")).alias("box_id"),
         _pick(CATEGORIES, F.pmod(F.col("l_partkey"), F.lit(10))).alias("category"),
         x1.cast("double").alias("x1"),
         y1.cast("double").alias("y1"),
@@ -280,8 +282,7 @@ flagged as (
     "boxes": f"""
 boxes as (
   select l_orderkey as frame_key,
-    cast(concat('0x', substr(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-      cast(round(l_extendedprice*100) as bigint))),1,12)) as bigint) as box_id,
+    (cast(round(l_extendedprice*100) as bigint) % 1073741824 * 268435456 + l_partkey % 268435456) * 8 + l_linenumber as box_id,
     ({_list(CATEGORIES)})[1+l_partkey%10] as category,
     cast((l_suppkey*37)%1000 as double) as x1, cast((l_partkey*53)%500 as double) as y1,
     cast((l_suppkey*37)%1000+10+(l_partkey*7)%270 as double) as x2,

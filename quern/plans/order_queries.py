@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.functions.text import real_tokens
+from quern.functions.text import byte_tokens, real_tokens
 from quern.operators import filters, ordering, packing
+from quern.operators.counts import token_budget
 from quern.plans.inputs import corpus, counted_corpus, flagged_frames, table, tokenized_corpus, with_sql
 from quern.plans.registry import query
-from quern.plans.text_queries import CLEAN_SQL, COUNTED, CORPUS, MIN_SCORE
+from quern.plans.text_queries import CLEAN_SQL, CORPUS, COUNTED, MIN_SCORE, ids_sql, joined_ids
 from quern.schema import BLOCK_LEN, PAD_ID
-from quern.session import fresh_path
+from quern.session import checkpointed, fresh_path
 from quern.sources import blocks as block_io
 from quern.sources import text as text_io
 
@@ -34,30 +35,23 @@ budget as (select cast((sum(n_tokens) + count(*)) // {BLOCK_LEN} as bigint) // {
 """
 
 
-def clean_tokens(spark, d):
-    return tokenized_corpus(spark, d).where(filters.train_filter(MIN_SCORE))
-
-
 def clean_counts(spark, d):
-    return counted_corpus(spark, d).where(filters.train_filter(MIN_SCORE)).select("id", "n_tokens")
-
+    """(id, n_tokens) of the training rows, fixed so that laying out blocks is cheap."""
+    kept = counted_corpus(spark, d).where(filters.train_filter(MIN_SCORE))
+    return checkpointed(kept.select("id", "n_tokens"))
 
-def budget_of(docs) -> int:
-    from quern.operators.counts import token_budget
 
-    return token_budget(docs, SPLITS).first()["blocks"]
-
-
-def packed(spark, d, budget: int | None = None, world_size: int = 2):
+def packed(spark, d, full: bool = False, world_size: int = 2):
+    """Blocks of the training rows; without ``full``, an equal number per split."""
+    lengths = clean_counts(spark, d)
+    budget = None if full else token_budget(lengths, SPLITS).first()["blocks"]
+    docs = corpus(spark, d).select("id", "text")
     return packing.pack_sequences(
-        clean_tokens(spark, d), SPLITS, SEED, EPOCH, blocks_per_epoch=budget, world_size=world_size
+        lengths, docs, SPLITS, SEED, EPOCH, blocks_per_epoch=budget, world_size=world_size,
+        tokens=byte_tokens("text"),
     )
 
 
-def in_hex(column):
-    return F.array_join(F.transform(column, lambda t: F.lpad(F.hex(t.cast("bigint")), 3, "0")), "")
-
-
 # --- orders ------------------------------------------------------------------
 
 
@@ -223,16 +217,15 @@ def running_byte_shards(spark, d):
     "pack_sequences",
     PACKED
     + f""", blocks as (select split_id, rank, s, unnest(range((select per_split from budget))) as block_no from streams)
-      select split_id, rank, block_no, md5(rpad(substr(s, cast(block_no*{3 * BLOCK_LEN} as bigint) + 1, {3 * BLOCK_LEN}), {3 * BLOCK_LEN}, '102')) as block_md5,
-        {BLOCK_LEN} as length from blocks""",
+      select split_id, rank, block_no, md5({ids_sql('t', str(BLOCK_LEN))}) as block_md5, {BLOCK_LEN} as length
+      from (select *, rpad(substr(s, cast(block_no*{3 * BLOCK_LEN} as bigint) + 1, {3 * BLOCK_LEN}), {3 * BLOCK_LEN}, '102') as t from blocks)""",
 )
 def pack_sequences(spark, d):
-    budget = budget_of(clean_counts(spark, d))
-    return packed(spark, d, budget).select(
+    return packed(spark, d).select(
         "split_id",
         "rank",
         "block_no",
-        F.md5(in_hex("input_ids")).alias("block_md5"),
+        F.md5(joined_ids("input_ids")).alias("block_md5"),
         F.size("input_ids").alias("length"),
     )
 
@@ -253,7 +246,7 @@ def document_offsets(spark, d):
     + """select split_id, rank, cast(sum(n_tokens + 1) as bigint) as real_tokens from plan group by split_id, rank""",
 )
 def real_token_count(spark, d):
-    blocks = packed(spark, d)
+    blocks = packed(spark, d, full=True)
     return blocks.groupBy("split_id", "rank").agg(
         F.sum(real_tokens(F.col("input_ids"), PAD_ID)).cast("bigint").alias("real_tokens")
     )
@@ -267,7 +260,7 @@ def real_token_count(spark, d):
       select split_id, block_no, id, cast(least((block_no+1)*{BLOCK_LEN}, s+len) - greatest(block_no*{BLOCK_LEN}, s) as int) as tokens from pieces""",
 )
 def block_documents(spark, d):
-    blocks = packed(spark, d)
+    blocks = packed(spark, d, full=True)
     pairs = F.arrays_zip(F.col("doc_ids").alias("id"), F.col("doc_lengths").alias("tokens"))
     return blocks.select("split_id", "block_no", F.inline(pairs))
 
@@ -275,32 +268,33 @@ def block_documents(spark, d):
 @query(
     "reshape_blocks",
     """with t as materialized (select doc_id as id, concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101') as h from documents)
-      select id, cast(b as int) as block_no, md5(substr(h, cast(b*192 as bigint) + 1, 192)) as block_md5
-      from (select id, h, unnest(range(length(h) // 192)) as b from t)""",
+      select id, cast(b as int) as block_no, md5(%s) as block_md5
+      from (select id, b, substr(h, cast(b*192 as bigint) + 1, 192) as t from (select id, h, unnest(range(length(h) // 192)) as b from t))""" % ids_sql("t", "64"),
 )
 def reshape_blocks(spark, d):
     rows = tokenized_corpus(spark, d).select("id", "input_ids")
     whole = F.slice("input_ids", 1, F.expr("size(input_ids) div 64 * 64"))
     flat = rows.select("id", whole.alias("flat"))
     cut = packing.reshape_blocks(flat, "flat", 64)
-    return cut.select("id", "block_no", F.md5(in_hex("input_ids")).alias("block_md5"))
+    return cut.select("id", "block_no", F.md5(joined_ids("input_ids")).alias("block_md5"))
 
 
 # --- layouts -----------------------------------------------------------------
 
 LAYOUT_ROWS = PACKED + f""", blocks as (select split_id, rank, s, unnest(range((select per_split from budget))) as block_no from streams),
-laid as (select md5(rpad(substr(s, cast(block_no*{3 * BLOCK_LEN} as bigint) + 1, {3 * BLOCK_LEN}), {3 * BLOCK_LEN}, '102')) as block_md5, rank from blocks)
+laid as (select md5({ids_sql('t', str(BLOCK_LEN))}) as block_md5, rank
+  from (select rank, rpad(substr(s, cast(block_no*{3 * BLOCK_LEN} as bigint) + 1, {3 * BLOCK_LEN}), {3 * BLOCK_LEN}, '102') as t from blocks))
 """
 
 
 def block_hashes(rows, *others):
-    return rows.select(F.md5(in_hex("input_ids")).alias("block_md5"), *others)
+    return rows.select(F.md5(joined_ids("input_ids")).alias("block_md5"), *others)
 
 
 @query("write_blocks_parquet", LAYOUT_ROWS + "select block_md5, rank from laid")
 def write_blocks_parquet(spark, d):
     path = fresh_path(spark, "blocks")
-    block_io.write_rank_shards(packed(spark, d, budget_of(clean_counts(spark, d))), path)
+    block_io.write_rank_shards(packed(spark, d), path)
     return block_hashes(block_io.read_shards(spark, path), "rank")
 
 
@@ -310,7 +304,7 @@ def write_blocks_parquet(spark, d):
 )
 def write_shuffled_shards(spark, d):
     path = fresh_path(spark, "blocks-shuffled")
-    blocks = packed(spark, d, budget_of(clean_counts(spark, d)))
+    blocks = packed(spark, d)
     block_io.write_shuffled_shards(blocks, path, shards=8, seed=SEED)
     return block_hashes(block_io.read_shards(spark, path))
 
@@ -323,14 +317,14 @@ def write_shuffled_shards(spark, d):
 )
 def write_sized_shards(spark, d):
     path = fresh_path(spark, "blocks-sized")
-    blocks = packed(spark, d, budget_of(clean_counts(spark, d)))
+    blocks = packed(spark, d)
     return block_io.write_sized_shards(blocks, path, limit=16 * 4 * BLOCK_LEN, seed=SEED)
 
 
 @query("append_block_shards", LAYOUT_ROWS + "select rank, count(*) as n from laid group by rank")
 def append_block_shards(spark, d):
     path = fresh_path(spark, "blocks")
-    block_io.write_rank_shards(packed(spark, d, budget_of(clean_counts(spark, d))), path)
+    block_io.write_rank_shards(packed(spark, d), path)
     found = None
     for rank in range(2):
         part = block_io.read_shards(spark, f"{path}/rank={rank}").withColumn("rank", F.lit(rank))
@@ -341,7 +335,7 @@ def append_block_shards(spark, d):
 @query("layout_manifest")
 def layout_manifest(spark, d):
     root = fresh_path(spark, "layouts")
-    blocks = packed(spark, d, budget_of(clean_counts(spark, d)))
+    blocks = packed(spark, d)
     block_io.write_rank_shards(blocks, f"{root}/blocks")
     stored = block_io.read_shards(spark, f"{root}/blocks")
     block_io.write_shuffled_shards(stored, f"{root}/blocks_shuffled", 8, SEED)

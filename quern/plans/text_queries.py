@@ -22,6 +22,18 @@ def clean_rows(spark, d):
     return counted_corpus(spark, d).where(filters.train_filter(MIN_SCORE))
 
 
+def joined_ids(column):
+    return F.array_join(F.col(column) if isinstance(column, str) else column, ",")
+
+
+def ids_sql(hexes: str, length: str) -> str:
+    """The tokens, three hex digits each in ``hexes``, as decimal text."""
+    return (
+        f"array_to_string(list_transform(range({length}), "
+        f"lambda i: cast(concat('0x', substr({hexes}, 3*i+1, 3)) as int)), ',')"
+    )
+
+
 @query(
     "scan_text",
     """select doc_id as id, md5(text) as text_md5, source, cast(0 as float) as score,
@@ -53,7 +65,7 @@ def range_predicate(spark, d):
     COUNTED + "select id, is_dup from counted",
 )
 def first_occurrence(spark, d):
-    return dedup.flag_repeats(corpus(spark, d).select("id", "text")).select("id", "is_dup")
+    return dedup.repeat_flags(corpus(spark, d))
 
 
 @query("repeat_ids", COUNTED + "select id from counted where is_dup")
@@ -130,15 +142,17 @@ def n_tokens(spark, d):
     return corpus(spark, d).select("id", text_fn.byte_token_count(F.col("text")).alias("n_tokens"))
 
 
+HEXED = """with t as materialized (select doc_id as id, cast(octet_length(encode(text)) + 2 as int) as n,
+  concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101') as h from documents)
+"""
+
+
 @query(
     "byte_tokenize",
-    """select doc_id as id, md5(concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101')) as tokens_md5
-      from documents""",
+    HEXED + f"select id, md5({ids_sql('h', 'n')}) as tokens_md5 from t",
 )
 def byte_tokenize(spark, d):
-    tokens = F.transform("input_ids", lambda t: F.lpad(F.hex(t.cast("bigint")), 3, "0"))
-    rows = corpus(spark, d).select("id", text_fn.byte_tokens("text").alias("input_ids"))
-    return rows.select("id", F.md5(F.array_join(tokens, "")).alias("tokens_md5"))
+    return tokenized_corpus(spark, d).select("id", F.md5(joined_ids("input_ids")).alias("tokens_md5"))
 
 
 @query(
@@ -155,21 +169,19 @@ ROW_LEN = 256
 
 @query(
     "pad_truncate_mask",
-    f"""select doc_id as id, md5(substr(concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101',
-        repeat('102', {ROW_LEN})), 1, {3 * ROW_LEN})) as row_md5,
-      cast(least(octet_length(encode(text)) + 2, {ROW_LEN}) as int) as real_tokens, {ROW_LEN} as mask_length from documents""",
+    HEXED
+    + f"""select id, md5({ids_sql(f"concat(h, repeat('102', {ROW_LEN}))", str(ROW_LEN))}) as row_md5,
+      cast(least(n, {ROW_LEN}) as int) as real_tokens, {ROW_LEN} as mask_length from t""",
 )
 def pad_truncate_mask(spark, d):
-    rows = corpus(spark, d).select("id", text_fn.byte_tokens("text").alias("input_ids"))
-    rows = rows.select(
+    rows = tokenized_corpus(spark, d).select(
         "id",
         text_fn.padded(F.col("input_ids"), ROW_LEN, PAD_ID).alias("row"),
         text_fn.loss_mask(F.size("input_ids"), ROW_LEN).alias("mask"),
     )
-    in_hex = F.transform("row", lambda t: F.lpad(F.hex(t.cast("bigint")), 3, "0"))
     return rows.select(
         "id",
-        F.md5(F.array_join(in_hex, "")).alias("row_md5"),
+        F.md5(joined_ids("row")).alias("row_md5"),
         F.size(F.filter("mask", lambda m: m)).alias("real_tokens"),
         F.size("mask").alias("mask_length"),
     )

@@ -109,16 +109,11 @@ class TableStore:
 
     # --- rows ----------------------------------------------------------------
 
-    def _write(self, df: DataFrame, name: str, **options) -> str:
+    def _write(self, df: DataFrame, name: str) -> tuple[str, int]:
+        """Write a part; returns its path and rows, read from its footers."""
         path = f"{self.root}/{name}/{uuid.uuid4().hex[:12]}"
-        writer = df.write.mode("error")
-        for option, value in options.items():
-            writer = writer.option(option, value)
-        writer.parquet(path)
-        return path
-
-    def _rows_in(self, path: str) -> int:
-        return self.spark.read.parquet(path).count()
+        df.write.mode("error").parquet(path)
+        return path, self.spark.read.schema(df.schema).parquet(path).count()
 
     def _next(self, name: str) -> int:
         log = self._commits(name)
@@ -137,9 +132,9 @@ class TableStore:
         """Write a table from ``df``; replacing one needs ``overwrite``."""
         if not overwrite and self.exists(name):
             raise ValueError(f"table {name!r} exists")
-        path = self._write(df, name)
+        path, rows = self._write(df, name)
         commit = Commit(
-            name, self._next(name), CREATE, path, self._rows_in(path), tuple(df.columns), key,
+            name, self._next(name), CREATE, path, rows, tuple(df.columns), key,
             source, filter, source_version,
         )
         self._commit(commit)
@@ -162,10 +157,10 @@ class TableStore:
         if missing:
             raise ValueError(f"missing required columns: {sorted(missing)}")
         fitted = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in base])
-        path = self._write(fitted, name)
+        path, rows = self._write(fitted, name)
         previous = live[0]
         commit = Commit(
-            name, live[-1].version + 1, APPEND, path, self._rows_in(path),
+            name, live[-1].version + 1, APPEND, path, rows,
             tuple(base.fieldNames()), previous.key, previous.source, previous.filter,
             source_version, batch,
         )
@@ -202,11 +197,11 @@ class TableStore:
         """Add a column group: ``df`` has the key and the new columns only."""
         live = self._live(name)
         key = live[0].key
-        path = self._write(df, name)
+        path, rows = self._write(df, name)
         columns = tuple(c for c in df.columns if c != key)
         kind = RECOMPUTE if recompute else COLUMNS
         commit = Commit(
-            name, live[-1].version + 1, kind, path, self._rows_in(path), columns, key, batch=batch
+            name, live[-1].version + 1, kind, path, rows, columns, key, batch=batch
         )
         self._commit(commit)
         return commit
