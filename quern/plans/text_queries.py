@@ -149,7 +149,9 @@ HEXED = """with t as materialized (select doc_id as id, cast(octet_length(encode
 
 @query(
     "byte_tokenize",
-    HEXED + f"select id, md5({ids_sql('h', 'n')}) as tokens_md5 from t",
+    """select doc_id as id, md5(array_to_string(list_concat([256],
+      list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: cast(concat('0x', x) as int)), [257]), ',')) as tokens_md5
+      from documents""",
 )
 def byte_tokenize(spark, d):
     return tokenized_corpus(spark, d).select("id", F.md5(joined_ids("input_ids")).alias("tokens_md5"))
@@ -227,9 +229,10 @@ def ingest_receipt(spark, d):
 @query(
     "white_balance",
     """with p as (select doc_id, hex(encode(text)) as h, greatest(cast(ceil(octet_length(encode(text))/48.0) as int), 1)*16 as pixels from documents),
-      b as (select doc_id, pixels, unnest(range(length(h)//2)) as i, h from p),
-      s as (select doc_id, pixels, sum(case when i%3=0 then cast(concat('0x', substr(h, 2*i+1, 2)) as int) else 0 end) as r,
-        sum(case when i%3=2 then cast(concat('0x', substr(h, 2*i+1, 2)) as int) else 0 end) as b from b group by doc_id, pixels)
+      l as (select doc_id, pixels, regexp_extract_all(h, '..') as l from p),
+      b as (select doc_id, pixels, unnest(range(len(l))) as i, cast(concat('0x', unnest(l)) as int) as x from l),
+      s as (select doc_id, pixels, sum(case when i%3=0 then x else 0 end) as r,
+        sum(case when i%3=2 then x else 0 end) as b from b group by doc_id, pixels)
       select concat('doc-', doc_id) as image_id,
         cast(round(least(greatest(6500.0/((r/cast(pixels as double))/(b/cast(pixels as double)+1e-6)+1e-6), 2500.0), 10000.0), 0) as bigint) as kelvin from s""",
 )
