@@ -13,17 +13,21 @@ from quern.schema import HAMMING_THRESHOLD, require_columns
 from quern.sources.store import TableStore
 
 
-def pending(store: TableStore, table: str, column: str, inputs: list[str]) -> DataFrame:
-    """(key, inputs) of the rows whose column is NULL or was never computed."""
+def pending(store: TableStore, table: str, columns: list[str], inputs: list[str]) -> DataFrame:
+    """(key, inputs) of the rows where any of the columns is NULL or was never computed.
+
+    The columns must be held by the same files.
+    """
     key = store.key(table)
-    base_columns = store.read_base(table).columns
-    source = store.read_base(table) if set(inputs) <= set(base_columns) else store.read(table)
+    base = store.read_base(table)
+    source = base if set(inputs) <= set(base.columns) else store.read(table)
     require_columns(source, inputs)
     rows = source.select(key, *[c for c in inputs if c != key])
-    done = store.column(table, column)
+    done = store.added(table, columns)
     if done is None:
         return rows
-    return rows.join(done.where(F.col(column).isNotNull()).select(key), key, "left_anti")
+    complete = done.dropna(subset=columns).select(key)
+    return rows.join(complete, key, "left_anti")
 
 
 def backfill(
@@ -33,28 +37,29 @@ def backfill(
     registry: dict[str, Feature],
     overwrite: bool = False,
     task_rows: int | None = None,
+    one_at_a_time: bool = False,
 ) -> DataFrame:
-    """Fill the named columns, one commit each; (column_name, status, rows).
+    """Fill the named columns where they are missing; (column_name, status, rows).
 
-    Each column is its own commit, so a run that stops resumes with the columns
-    that are left. ``task_rows`` bounds the rows of a task for slow functions.
-    Unregistered names are skipped.
+    Columns at the same stage share a scan and a commit; ``one_at_a_time`` commits
+    each on its own, so that a run with slow functions resumes between them.
+    ``task_rows`` bounds the rows of a task. Unregistered names are skipped.
     """
     if overwrite:
         store.drop_columns(table, columns)
-    report = []
-    for column in columns:
-        feature = registry.get(column)
-        if feature is None:
-            report.append((column, "SKIP", 0))
-            continue
-        rows = pending(store, table, column, list(feature.inputs))
+    known = [c for c in columns if c in registry]
+    report = [(c, "SKIP", 0) for c in columns if c not in registry]
+    groups = [[c] for c in known] if one_at_a_time else store.columns_by_parts(table, known)
+    for group in groups:
+        inputs = sorted({i for c in group for i in registry[c].inputs})
+        rows = pending(store, table, group, inputs)
         if task_rows:
-            tasks = max(1, -(-rows.count() // task_rows))
-            rows = rows.repartition(tasks)
-        computed = rows.select(store.key(table), feature.column().alias(column))
+            rows = rows.repartition(max(1, -(-rows.count() // task_rows)))
+        computed = rows.select(
+            store.key(table), *[registry[c].column().alias(c) for c in group]
+        )
         commit = store.add_columns(table, computed)
-        report.append((column, "DONE", commit.rows))
+        report += [(c, "DONE", commit.rows) for c in group]
     return store.spark.createDataFrame(report, "column_name string, status string, rows bigint")
 
 
@@ -66,7 +71,7 @@ def backfill_with(
     compute: Callable[[DataFrame], DataFrame],
 ) -> int:
     """Fill a column with a job from (key, inputs) rows to (key, column) rows."""
-    commit = store.add_columns(table, compute(pending(store, table, column, inputs)))
+    commit = store.add_columns(table, compute(pending(store, table, [column], inputs)))
     return commit.rows
 
 
@@ -82,6 +87,6 @@ def backfill_near_duplicates(
     key = store.key(table)
     if overwrite:
         store.drop_columns(table, ["is_duplicate"])
-    todo = pending(store, table, "is_duplicate", [hash_col]).select(key)
+    todo = pending(store, table, ["is_duplicate"], [hash_col]).select(key)
     flags = flag_near_duplicates(store.read(table), key, hash_col, threshold)
     return store.add_columns(table, flags.join(todo, key, "left_semi"), recompute=overwrite).rows

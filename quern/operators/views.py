@@ -40,8 +40,25 @@ def create_view(store: TableStore, name: str, source: str, condition: str) -> No
 
 
 def create_views(store: TableStore, source: str, views: dict[str, str]) -> None:
-    for name, condition in views.items():
-        create_view(store, name, source, condition)
+    """Materialize several filters in one scan of the source.
+
+    Each row is written once per view it belongs to, into the folder of that view.
+    """
+    table = store.read(source)
+    full = {name: sql + dedup_clause(table, name) for name, sql in views.items()}
+    names = F.array(*[F.when(F.expr(sql), F.lit(name)) for name, sql in full.items()])
+    path = store.part_path("_views")
+    marked = table.withColumn("_view", F.explode(F.array_compact(names)))
+    marked.write.partitionBy("_view").parquet(path)
+    stored = store.spark.read.schema(marked.schema).parquet(path)
+    counts = {r["_view"]: r["count"] for r in stored.groupBy("_view").count().collect()}
+    key, version = store.key(source), store.version(source)
+    for name, sql in full.items():
+        if name in counts:
+            part = f"{path}/_view={name}"
+            store.adopt(name, part, counts[name], table.schema, key, source, sql, version)
+        else:
+            store.create(name, table.where("false"), key, True, source, sql, version)
 
 
 def materialize_spec(

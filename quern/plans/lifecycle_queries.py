@@ -364,7 +364,7 @@ def curate_views(spark, d):
     "view_status",
     VIEWS_SQL
     + """select name, rows, cast(1 as bigint) as version, false as is_source from counts
-      union all select 'frames', count(*), 5, true from frames""",
+      union all select 'frames', count(*), 2, true from frames""",
 )
 def view_status(spark, d):
     return views.view_status(curated(spark, d), "frames")

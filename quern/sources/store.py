@@ -7,16 +7,18 @@ One writer per table is assumed.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MANIFEST_SCHEMA = (
     "name string, version bigint, kind string, path string, rows bigint, "
     "columns array<string>, key string, source string, filter string, source_version bigint, "
-    "batch string"
+    "batch string, schema string"
 )
 
 # Kinds of commit. ``create`` and ``append`` add rows; ``columns`` adds a column
@@ -27,6 +29,10 @@ CREATE, APPEND, COLUMNS, RECOMPUTE, DROP_COLUMNS, DROP = (
 )
 
 
+def _literal(value) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 @dataclass(frozen=True)
 class Commit:
     name: str
@@ -40,6 +46,7 @@ class Commit:
     filter: str | None = None
     source_version: int | None = None
     batch: str | None = None
+    schema: str | None = None
 
 
 class TableStore:
@@ -70,10 +77,12 @@ class TableStore:
         return sorted(found, key=lambda c: (c.name, c.version))
 
     def _commit(self, commit: Commit) -> None:
-        row = {**commit.__dict__, "columns": list(commit.columns)}
-        self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self._log
+        values = {**commit.__dict__, "columns": F.array(*[F.lit(c) for c in commit.columns])}
+        fields = T._parse_datatype_string(MANIFEST_SCHEMA)
+        row = self.spark.range(1, numPartitions=1).select(
+            *[_literal(values[f.name]).cast(f.dataType).alias(f.name) for f in fields]
         )
+        row.write.mode("append").parquet(self._log)
         self._known.append(commit)
 
     def _live(self, name: str, version: int | None = None) -> list[Commit]:
@@ -109,12 +118,21 @@ class TableStore:
 
     # --- rows ----------------------------------------------------------------
 
+    def part_path(self, name: str) -> str:
+        return f"{self.root}/{name}/{uuid.uuid4().hex[:12]}"
+
     def _write(self, df: DataFrame, name: str) -> tuple[str, int]:
         """Write a part; returns its path and rows, read from its footers."""
-        path = f"{self.root}/{name}/{uuid.uuid4().hex[:12]}"
+        path = self.part_path(name)
         df.write.mode("error").parquet(path)
         return path, self.spark.read.schema(df.schema).parquet(path).count()
 
+    def _parts(self, commits: list[Commit]) -> DataFrame:
+        """The rows of some parts that share a schema; the manifest gives the schema,
+        so no footer is read to plan."""
+        schema = T.StructType.fromJson(json.loads(commits[0].schema))
+        return self.spark.read.schema(schema).parquet(*[c.path for c in commits])
+
     def _next(self, name: str) -> int:
         log = self._commits(name)
         return log[-1].version + 1 if log else 1
@@ -133,9 +151,23 @@ class TableStore:
         if not overwrite and self.exists(name):
             raise ValueError(f"table {name!r} exists")
         path, rows = self._write(df, name)
+        return self.adopt(name, path, rows, df.schema, key, source, filter, source_version)
+
+    def adopt(
+        self,
+        name: str,
+        path: str,
+        rows: int,
+        schema: T.StructType,
+        key: str,
+        source: str | None = None,
+        filter: str | None = None,
+        source_version: int | None = None,
+    ) -> Commit:
+        """Make files already written under the store the only part of a table."""
         commit = Commit(
-            name, self._next(name), CREATE, path, rows, tuple(df.columns), key,
-            source, filter, source_version,
+            name, self._next(name), CREATE, path, rows, tuple(schema.fieldNames()), key,
+            source, filter, source_version, schema=schema.json(),
         )
         self._commit(commit)
         return commit
@@ -152,7 +184,7 @@ class TableStore:
         live = self._live(name)
         if batch is not None and any(c.batch == batch for c in live):
             return None
-        base = self.spark.read.parquet(live[0].path).schema
+        base = T.StructType.fromJson(json.loads(live[0].schema))
         missing = set(base.fieldNames()) - set(df.columns)
         if missing:
             raise ValueError(f"missing required columns: {sorted(missing)}")
@@ -162,7 +194,7 @@ class TableStore:
         commit = Commit(
             name, live[-1].version + 1, APPEND, path, rows,
             tuple(base.fieldNames()), previous.key, previous.source, previous.filter,
-            source_version, batch,
+            source_version, batch, live[0].schema,
         )
         self._commit(commit)
         return commit
@@ -201,7 +233,8 @@ class TableStore:
         columns = tuple(c for c in df.columns if c != key)
         kind = RECOMPUTE if recompute else COLUMNS
         commit = Commit(
-            name, live[-1].version + 1, kind, path, rows, columns, key, batch=batch
+            name, live[-1].version + 1, kind, path, rows, columns, key, batch=batch,
+            schema=df.schema.json(),
         )
         self._commit(commit)
         return commit
@@ -217,33 +250,44 @@ class TableStore:
         return present
 
     @staticmethod
-    def _groups(live: list[Commit]) -> dict[str, list[str]]:
-        """Added column to the paths that hold it, oldest first."""
-        groups: dict[str, list[str]] = {}
+    def _groups(live: list[Commit]) -> dict[str, list[Commit]]:
+        """Added column to the commits that hold it, oldest first."""
+        groups: dict[str, list[Commit]] = {}
         for c in live:
             if c.kind == COLUMNS:
                 for col in c.columns:
-                    groups[col] = [*groups.get(col, []), c.path]
+                    groups[col] = [*groups.get(col, []), c]
             elif c.kind == RECOMPUTE:
                 for col in c.columns:
-                    groups[col] = [c.path]
+                    groups[col] = [c]
             elif c.kind == DROP_COLUMNS:
                 for col in c.columns:
                     groups.pop(col, None)
         return groups
 
-    def column(self, name: str, column: str, version: int | None = None) -> DataFrame | None:
-        """(key, column) rows computed so far, or None before the first commit."""
-        live = self._live(name, version)
-        paths = self._groups(live).get(column)
-        if not paths:
-            return None
-        key = live[0].key
-        return self._group_frame(paths, key, [column])
+    def columns_by_parts(self, name: str, columns: list[str]) -> list[list[str]]:
+        """The named columns, grouped by the files that hold them so far."""
+        groups = self._groups(self._live(name))
+        shared: dict[tuple[str, ...], list[str]] = {}
+        for column in columns:
+            shared.setdefault(tuple(c.path for c in groups.get(column, [])), []).append(column)
+        return list(shared.values())
+
+    def added(self, name: str, columns: list[str]) -> DataFrame | None:
+        """(key, columns) rows computed so far, or None before the first commit.
 
-    def _group_frame(self, paths: list[str], key: str, columns: list[str]) -> DataFrame:
-        frame = self.spark.read.parquet(*paths).select(key, *columns)
-        if len(paths) == 1:
+        The columns must be held by the same files.
+        """
+        live = self._live(name)
+        parts = self._groups(live).get(columns[0])
+        return self._group_frame(parts, live[0].key, columns) if parts else None
+
+    def _group_frame(self, parts: list[Commit], key: str, columns: list[str]) -> DataFrame:
+        frame = None
+        for commit in parts:
+            part = self._parts([commit]).select(key, *columns)
+            frame = part if frame is None else frame.unionByName(part)
+        if len(parts) == 1:
             return frame
         # A key filled twice (once with NULL) keeps its value; keys are unique per part.
         return frame.groupBy(key).agg(*[F.max_by(c, F.col(c).isNotNull()).alias(c) for c in columns])
@@ -257,17 +301,16 @@ class TableStore:
         """
         live = self._live(name, version)
         table = self._base(live)
-        by_paths: dict[tuple[str, ...], list[str]] = {}
-        for col, paths in self._groups(live).items():
-            by_paths.setdefault(tuple(paths), []).append(col)
-        for paths, columns in by_paths.items():
-            group = self._group_frame(list(paths), live[0].key, columns)
+        by_parts: dict[tuple[Commit, ...], list[str]] = {}
+        for col, parts in self._groups(live).items():
+            by_parts.setdefault(tuple(parts), []).append(col)
+        for parts, columns in by_parts.items():
+            group = self._group_frame(list(parts), live[0].key, columns)
             table = table.join(group, live[0].key, "left")
         return table
 
     def _base(self, live: list[Commit]) -> DataFrame:
-        paths = [c.path for c in live if c.kind in (CREATE, APPEND)]
-        return self.spark.read.parquet(*paths)
+        return self._parts([c for c in live if c.kind in (CREATE, APPEND)])
 
     def read_base(self, name: str, version: int | None = None) -> DataFrame:
         """The rows without added columns: one scan, no join."""
