@@ -43,13 +43,6 @@ def postings(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return exploded.groupBy("term", "id", "length").agg(F.count("*").alias("tf"))
 
 
-def text_stats(df: DataFrame, text: str) -> DataFrame:
-    """One row: documents and their mean length in terms."""
-    return df.agg(
-        F.count(text).alias("docs"), F.avg(F.size(terms(F.col(text)))).alias("mean_length")
-    )
-
-
 def write_text_index(df: DataFrame, id_col: str, text: str, path: str) -> None:
     """Write (or replace) the postings, partitioned by term bucket, and the statistics."""
     rows = postings(df, id_col, text).withColumn("bucket", term_bucket(F.col("term")))
@@ -58,7 +51,13 @@ def write_text_index(df: DataFrame, id_col: str, text: str, path: str) -> None:
     order = ["bucket", "term", "id"]
     spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
-    text_stats(df, text).write.mode("overwrite").parquet(f"{path}/stats")
+    # The sum of the term counts is the sum of the lengths, so the text is not split twice.
+    stored = df.sparkSession.read.parquet(f"{path}/postings")
+    docs = df.agg(F.count(text).alias("docs"))
+    words = stored.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
+    mean = F.coalesce(F.try_divide(F.col("words"), F.col("docs")), F.lit(0.0))
+    stats = docs.join(F.broadcast(words)).select("docs", mean.alias("mean_length"))  # one row
+    stats.write.mode("overwrite").parquet(f"{path}/stats")
 
 
 def query_terms(spark: SparkSession, query: str) -> list[str]:

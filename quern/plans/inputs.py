@@ -111,7 +111,7 @@ def flagged_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One truth box per order line; the id is built from the line, so no numbering is needed."""
-    cents = F.pmod(F.round(F.col("l_extendedprice") * 100).cast("bigint"), F.lit(1 << 30))
+    cents = F.pmod(F.floor(F.col("l_extendedprice") * 100 + 0.5), F.lit(1 << 30))
     part = F.pmod(F.col("l_partkey"), F.lit(1 << 28))
     x1 = F.pmod(F.col("l_suppkey") * 37, F.lit(1000))
     y1 = F.pmod(F.col("l_partkey") * 53, F.lit(500))
@@ -282,7 +282,7 @@ flagged as (
     "boxes": f"""
 boxes as (
   select l_orderkey as frame_key,
-    (cast(round(l_extendedprice*100) as bigint) % 1073741824 * 268435456 + l_partkey % 268435456) * 8 + l_linenumber as box_id,
+    (cast(floor(l_extendedprice*100 + 0.5) as bigint) % 1073741824 * 268435456 + l_partkey % 268435456) * 8 + l_linenumber as box_id,
     ({_list(CATEGORIES)})[1+l_partkey%10] as category,
     cast((l_suppkey*37)%1000 as double) as x1, cast((l_partkey*53)%500 as double) as y1,
     cast((l_suppkey*37)%1000+10+(l_partkey*7)%270 as double) as x2,

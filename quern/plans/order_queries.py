@@ -291,20 +291,22 @@ def block_hashes(rows, *others):
     return rows.select(F.md5(joined_ids("input_ids")).alias("block_md5"), *others)
 
 
-@query("write_blocks_parquet", LAYOUT_ROWS + "select block_md5, rank from laid")
-def write_blocks_parquet(spark, d):
+def stored_blocks(spark, d):
+    """Path of the packed blocks, written once as rank shards; other layouts read it."""
     path = fresh_path(spark, "blocks")
     block_io.write_rank_shards(packed(spark, d), path)
-    return block_hashes(block_io.read_shards(spark, path), "rank")
+    return path
 
 
-@query(
-    "write_shuffled_shards",
-    LAYOUT_ROWS + "select block_md5 from laid",
-)
+@query("write_blocks_parquet", LAYOUT_ROWS + "select block_md5, rank from laid")
+def write_blocks_parquet(spark, d):
+    return block_hashes(block_io.read_shards(spark, stored_blocks(spark, d)), "rank")
+
+
+@query("write_shuffled_shards", LAYOUT_ROWS + "select block_md5 from laid")
 def write_shuffled_shards(spark, d):
+    blocks = block_io.read_shards(spark, stored_blocks(spark, d))
     path = fresh_path(spark, "blocks-shuffled")
-    blocks = packed(spark, d)
     block_io.write_shuffled_shards(blocks, path, shards=8, seed=SEED)
     return block_hashes(block_io.read_shards(spark, path))
 
@@ -316,15 +318,14 @@ def write_shuffled_shards(spark, d):
       from (select (row_number() over () - 1) // 16 as shard from laid) group by shard""",
 )
 def write_sized_shards(spark, d):
+    blocks = block_io.read_shards(spark, stored_blocks(spark, d))
     path = fresh_path(spark, "blocks-sized")
-    blocks = packed(spark, d)
     return block_io.write_sized_shards(blocks, path, limit=16 * 4 * BLOCK_LEN, seed=SEED)
 
 
 @query("append_block_shards", LAYOUT_ROWS + "select rank, count(*) as n from laid group by rank")
 def append_block_shards(spark, d):
-    path = fresh_path(spark, "blocks")
-    block_io.write_rank_shards(packed(spark, d), path)
+    path = stored_blocks(spark, d)
     found = None
     for rank in range(2):
         part = block_io.read_shards(spark, f"{path}/rank={rank}").withColumn("rank", F.lit(rank))
@@ -334,12 +335,11 @@ def append_block_shards(spark, d):
 
 @query("layout_manifest")
 def layout_manifest(spark, d):
+    first = stored_blocks(spark, d)
+    stored = block_io.read_shards(spark, first)
     root = fresh_path(spark, "layouts")
-    blocks = packed(spark, d)
-    block_io.write_rank_shards(blocks, f"{root}/blocks")
-    stored = block_io.read_shards(spark, f"{root}/blocks")
     block_io.write_shuffled_shards(stored, f"{root}/blocks_shuffled", 8, SEED)
-    layouts = {n: f"{root}/{n}" for n in ("blocks", "blocks_shuffled")}
+    layouts = {"blocks": first, "blocks_shuffled": f"{root}/blocks_shuffled"}
     manifest = block_io.layout_manifest(spark, layouts)
     block_io.write_manifest(manifest, stored.count(), f"{root}/manifest")
     return spark.read.json(f"{root}/manifest")

@@ -281,7 +281,7 @@ def vector_partition_probe(spark, d):
     """Approximate search: two cells of eight, product-quantizer codes, exact re-ranking."""
     path = fresh_path(spark, "vector-index")
     search.build_vector_index(
-        vectors(spark, d), "vec_id", "embedding", path, cells=8, subspaces=8, codes=16
+        vectors(spark, d), "vec_id", "embedding", path, cells=8, subspaces=4, codes=16
     )
     vector = query_vector(spark, d)
     return rounded(search.indexed_vector_search(spark, path, vector, 10, nprobe=2, refine=10))
