@@ -40,11 +40,7 @@ def read_image_files(spark: SparkSession, root: str, split: str) -> DataFrame:
 
 def read_label_files(spark: SparkSession, root: str, split: str) -> DataFrame:
     """(stem, label): one JSON text per label file of a split."""
-    files = (
-        spark.read.option("pathGlobFilter", "*.json")
-        .option("wholetext", "true")
-        .text(f"{root}/{split}")
-    )
+    files = spark.read.option("pathGlobFilter", "*.json").text(f"{root}/{split}", wholetext=True)
     return files.select(_stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("label"))
 
 
