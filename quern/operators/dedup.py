@@ -20,6 +20,8 @@ BAND_MASK = (1 << BAND_BITS) - 1
 # A band value shared by more distinct hashes than this is split by a second band.
 HOT_BAND_ROWS = 32_768
 
+PROBES_PER_TASK = 2_000_000
+
 # Rows per content key beyond which a lookup by that key is salted.
 HOT_KEY_ROWS = 1_000_000
 SALTS = 64
@@ -193,7 +195,11 @@ def nearest_distinct(
     shuffle.
     """
     targets = _band_targets(hashes)
-    probes = _band_probes(queries, threshold)
+    # One hash becomes hundreds of probes, so tasks are sized by probes, not by bytes.
+    fan_out = BANDS * len(_flips(threshold // BANDS))
+    tasks = -(-queries.count() * fan_out // PROBES_PER_TASK)
+    spread = queries.repartition(max(tasks, queries.sparkSession.sparkContext.defaultParallelism), "h")
+    probes = _band_probes(spread, threshold)
     # At most BANDS * 2**BAND_BITS band values exist, so this table is bounded.
     hot = targets.groupBy("key").count().where(F.col("count") > hot_band_rows)
     if hot.isEmpty():
@@ -244,7 +250,8 @@ def hamming_neighbors(
     rows = df.where(F.col(hash_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(hash_col).alias("h")
     )
-    kept = keepers(rows, "id", F.col("h")).withColumnRenamed("content", "h")
+    # One narrow row per hash, used by every step below.
+    kept = checkpointed(keepers(rows, "id", F.col("h")).withColumnRenamed("content", "h"))
     firsts = kept.select(F.col("keep_id").alias("id"), F.lit(True).alias("first"))
     rest = rows.join(firsts, "id", "left_anti")
     second = rest.groupBy("h").agg(F.min("id").alias("second_id"))

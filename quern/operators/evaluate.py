@@ -126,8 +126,9 @@ def match_predictions(
     join: of equal truths only the lowest id can be best, and of equal
     predictions only the best-scored can win.
     """
-    counted = predictions.join(frame_classes(truths), GROUP, "left_semi")
-    distinct_t = truths.groupBy(*GROUP, *BOX).agg(F.min("box_id").alias("box_id"))
+    # Written once: the crowd check, the classes of a frame and the join all read it.
+    distinct_t = checkpointed(truths.groupBy(*GROUP, *BOX).agg(F.min("box_id").alias("box_id")))
+    counted = predictions.join(frame_classes(distinct_t), GROUP, "left_semi")
     ranked = F.struct(F.col("score"), (-F.col("pred_id")).alias("order"))
     distinct_p = predictions.groupBy(*GROUP, *BOX).agg(F.max(ranked).alias("top"))
     pairs = overlap_pairs(

@@ -200,6 +200,8 @@ def nearest(
                     squares = (vectors * vectors).sum(axis=1)
                     own = (wanted * wanted).sum(axis=1)
                     scores = 2 * (wanted @ vectors.T) - squares - own[:, None]
+                # Equal vectors may differ in the last bits of a product; ties go by id.
+                scores = np.round(scores, 12)
                 if exclude_self:
                     scores[query_ids[:, None] == ids[None, :]] = -np.inf
                 new_scores, new_ids = _candidates(scores, ids, k)
@@ -224,6 +226,8 @@ def nearest(
     for part in passes:
         one = rows.mapInArrow(scan_for(part), schema)
         found = one if found is None else found.unionByName(one)
+    if len(queries) == 1:
+        return found.orderBy(F.col("score").desc(), "id").limit(k)
     by_rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     ranked = found.withColumn("rank", F.row_number().over(by_rank))
     return ranked.where(F.col("rank") <= k).drop("rank")
@@ -288,7 +292,9 @@ def near_neighbors(
 
 def near_duplicate_rate(neighbors: DataFrame) -> DataFrame:
     """Sampled and flagged rows, their share, and the closest flagged pair."""
-    order = F.struct((-F.col("score")).alias("s"), F.col("query_id").alias("q"), F.col("id").alias("i"))
+    # A pair is found from both sides with scores that may differ in the last bits.
+    rounded = F.round(F.col("score"), 9)
+    order = F.struct((-rounded).alias("s"), F.col("query_id").alias("q"), F.col("id").alias("i"))
     closest = F.min(F.when(F.col("flagged"), order))
     row = neighbors.agg(
         F.count("*").alias("sampled"),

@@ -142,13 +142,14 @@ def valid_target_filter(spark, d):
 
 @query(
     "required_columns",
-    """select unnest(['dhash', 'has_person', 'white_balance']) as missing""",
+    """select unnest(['dhash', 'has_person', 'white_balance']) as missing, (select count(*) from orders) as rows_lacking""",
 )
 def required_columns(spark, d):
     rows = require_columns(frames(spark, d), ["image_id", "ann_categories"])
     wanted = ["image_id", "has_person", "white_balance", "dhash"]
-    names = [(c,) for c in missing_columns(rows, wanted)]
-    return spark.createDataFrame(names, "missing string")
+    lacking = F.array(*[F.lit(c) for c in missing_columns(rows, wanted)])
+    total = rows.agg(F.count("*").alias("rows_lacking"))
+    return total.select(F.explode(lacking).alias("missing"), "rows_lacking")
 
 
 @query(
@@ -345,7 +346,7 @@ def percent_format(spark, d):
 
 # --- bit vectors -------------------------------------------------------------
 
-CANARIES = 50
+CANARIES = 1000
 
 HASHES = (
     with_sql("hashes")

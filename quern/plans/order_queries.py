@@ -267,15 +267,19 @@ def block_documents(spark, d):
 
 @query(
     "reshape_blocks",
-    """with t as materialized (select doc_id as id, concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101') as h from documents)
+    """with t as materialized (select doc_id as id, cast(octet_length(encode(text)) + 2 as int) as n,
+        concat('100', regexp_replace(hex(encode(text)), '(..)', '0\\1', 'g'), '101') as h from documents)
       select id, cast(b as int) as block_no, md5(%s) as block_md5
-      from (select id, b, substr(h, cast(b*192 as bigint) + 1, 192) as t from (select id, h, unnest(range(length(h) // 192)) as b from t))""" % ids_sql("t", "64"),
+      from (select id, b, rpad(substr(h, cast(b*192 as bigint) + 1, 192), 192, '102') as t
+        from (select id, h, unnest(range((n + 63) // 64)) as b from t))"""
+    % ids_sql("t", "64"),
 )
 def reshape_blocks(spark, d):
-    rows = tokenized_corpus(spark, d).select("id", "input_ids")
-    whole = F.slice("input_ids", 1, F.expr("size(input_ids) div 64 * 64"))
-    flat = rows.select("id", whole.alias("flat"))
-    cut = packing.reshape_blocks(flat, "flat", 64)
+    ids = F.col("input_ids")
+    fill = F.pmod(-F.size(ids), F.lit(64))
+    flat = F.concat(ids, F.array_repeat(F.lit(PAD_ID), fill))
+    rows = tokenized_corpus(spark, d).select("id", flat.alias("flat"))
+    cut = packing.reshape_blocks(rows, "flat", 64)
     return cut.select("id", "block_no", F.md5(joined_ids("input_ids")).alias("block_md5"))
 
 

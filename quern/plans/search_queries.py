@@ -219,7 +219,7 @@ def attribution(spark, d):
     return rounded(search.attribute(rows, "vec_id", "embedding", queries, 3))
 
 
-SAMPLE = 200
+SAMPLE = 2000
 
 NEIGHBORS = f"""with s as (select vec_id as query_id, embedding as qv from embeddings order by vec_id limit {SAMPLE}),
 p as (select query_id, vec_id as id, list_cosine_similarity(cast(embedding as double[]), cast(qv as double[])) as score
@@ -242,7 +242,7 @@ def cosine_nn_join(spark, d):
     + """, f as (select * from nn where score >= 0.4)
       select (select count(*) from nn) as sampled, (select count(*) from f) as flagged,
         (select count(*) from f) / cast((select count(*) from nn) as double) as rate,
-        query_id as closest_id, id as closest_to, round(score, 6) as closest_score from f order by f.score desc, query_id limit 1""",
+        query_id as closest_id, id as closest_to, round(score, 6) as closest_score from f order by round(f.score, 9) desc, query_id limit 1""",
 )
 def neardup_rate(spark, d):
     found = search.near_neighbors(vectors(spark, d), "vec_id", "embedding", SAMPLE, 0.4)
@@ -253,11 +253,11 @@ def neardup_rate(spark, d):
 @query(
     "closest_pair",
     NEIGHBORS
-    + "select query_id as id, id as near_id, round(score, 6) as score from nn order by nn.score desc, query_id limit 1",
+    + "select query_id as id, id as near_id, round(score, 6) as score from nn order by round(nn.score, 9) desc, query_id limit 1",
 )
 def closest_pair(spark, d):
     found = search.near_neighbors(vectors(spark, d), "vec_id", "embedding", SAMPLE, 0.4)
-    best = F.min_by(F.struct("query_id", "id", "score"), F.struct(-F.col("score"), F.col("query_id")))
+    best = F.min_by(F.struct("query_id", "id", "score"), F.struct(-F.round("score", 9), F.col("query_id")))
     row = found.agg(best.alias("b"))
     return row.select(
         F.col("b.query_id").alias("id"), F.col("b.id").alias("near_id"), F.round("b.score", 6).alias("score")

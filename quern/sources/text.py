@@ -53,14 +53,18 @@ def file_layout(rows: DataFrame) -> DataFrame:
 def locate(layout: DataFrame, positions: DataFrame, rows_per_group: int) -> DataFrame:
     """File, row group and offset of each global ``position``.
 
-    The layout is a sorted list of intervals, one per file; each position is
-    compared with them in a range join on a small side.
+    A range join as an equi-join: positions are cut into buckets as wide as the mean
+    file, and each file is listed under the buckets it spans, which are about twice
+    as many as the files in total.
     """
-    joined = positions.join(
-        layout,
-        (F.col("position") >= F.col("_offset"))
-        & (F.col("position") < F.col("_offset") + F.col("_rows")),
-    )
+    mean = layout.agg(F.ceil(F.avg("_rows")).alias("w")).first()["w"]
+    width = max(int(mean or 1), 1)
+    end = F.col("_offset") + F.col("_rows")
+    spans = F.sequence(F.expr(f"_offset div {width}"), F.expr(f"(_offset + _rows - 1) div {width}"))
+    files = layout.where("_rows > 0").withColumn("_span", F.explode(spans))
+    asked = positions.withColumn("_span", F.expr(f"position div {width}"))
+    inside = (F.col("position") >= F.col("_offset")) & (F.col("position") < end)
+    joined = asked.join(files, "_span").where(inside)
     local = F.col("position") - F.col("_offset")
     return joined.select(
         *positions.columns,
