@@ -17,6 +17,8 @@ from quern.schema import BLOCK_LEN, EOS_ID, PAD_ID
 # 8 bytes per row, so about 24 MB.
 BROADCAST_ROWS = 1_000_000
 
+TOKENS_PER_TASK = 32_000_000
+
 
 def document_offsets(
     lengths: DataFrame, num_splits: int, seed: int, epoch: int = 0, world_size: int = 1
@@ -75,7 +77,13 @@ def pack_sequences(
         offsets = offsets.where(F.col("start") < per_split * block_len)
     tokens = F.col("input_ids") if tokens is None else tokens
     closed = F.concat(tokens, F.array(F.lit(eos_id)))
-    placed = offsets.join(docs, "id").select(*offsets.columns, closed.alias("ids"))
+    # The layout rows are narrow but each brings its tokens, so tasks are sized by tokens.
+    volume = lengths.agg(F.sum(F.col("n_tokens").cast("bigint"))).first()[0] or 0
+    tasks = -(-volume // TOKENS_PER_TASK)
+    spread = offsets.repartition(
+        max(tasks, lengths.sparkSession.sparkContext.defaultParallelism), "id"
+    )
+    placed = spread.join(docs, "id").select(*offsets.columns, closed.alias("ids"))
 
     first = F.expr(f"start div {block_len}")
     last = F.expr(f"(start + length - 1) div {block_len}")
