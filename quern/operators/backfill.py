@@ -88,5 +88,5 @@ def backfill_near_duplicates(
     if overwrite:
         store.drop_columns(table, ["is_duplicate"])
     todo = pending(store, table, ["is_duplicate"], [hash_col]).select(key)
-    flags = flag_near_duplicates(store.read(table), key, hash_col, threshold)
-    return store.add_columns(table, flags.join(todo, key, "left_semi"), recompute=overwrite).rows
+    flags = flag_near_duplicates(store.read(table), key, hash_col, threshold, only=todo)
+    return store.add_columns(table, flags, recompute=overwrite).rows

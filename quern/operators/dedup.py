@@ -240,9 +240,11 @@ def hamming_neighbors(
     hash_col: str,
     threshold: int = HAMMING_THRESHOLD,
     hot_band_rows: int = HOT_BAND_ROWS,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """(id, distance, near_id, first): nearest other row per hashed row within the
-    threshold, NULL distance when there is none.
+    threshold, NULL distance when there is none. ``only`` (unique ids) limits the rows
+    that are asked about, not those they are compared with.
 
     Equal hashes collapse first: a group of copies is settled at distance 0 by one
     aggregate and never paired with itself. ``first`` marks one row per hash.
@@ -255,9 +257,12 @@ def hamming_neighbors(
     firsts = kept.select(F.col("keep_id").alias("id"), F.lit(True).alias("first"))
     rest = rows.join(firsts, "id", "left_anti")
     second = rest.groupBy("h").agg(F.min("id").alias("second_id"))
-    near = nearest_distinct(
-        kept.select("h", "keep_id"), kept.where("n = 1").select("h"), threshold, hot_band_rows
-    )
+    queries = kept.where("n = 1").select("h")
+    if only is not None:
+        asked = only.select(F.col(id_col).alias("id"))
+        rows = rows.join(asked, "id", "left_semi")
+        queries = queries.join(rows.select("h"), "h", "left_semi")
+    near = nearest_distinct(kept.select("h", "keep_id"), queries, threshold, hot_band_rows)
     settled = kept.join(second, "h", "left").join(near, "h", "left")
     table = settled.select("h", "keep_id", "n", "second_id", "distance", "near_id")
     found = salted_lookup(rows, table, "h", "id", "n")
@@ -281,13 +286,14 @@ def flag_near_duplicates(
     threshold: int = HAMMING_THRESHOLD,
     keep_first: bool = False,
     hot_band_rows: int = HOT_BAND_ROWS,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """(id, is_duplicate): has another row within ``threshold`` bits; NULL without a hash.
 
     Both rows of a pair are flagged. With ``keep_first`` the first of a group of
     equal hashes stays unflagged unless a different hash is close to it.
     """
-    near = hamming_neighbors(df, id_col, hash_col, threshold, hot_band_rows)
+    near = hamming_neighbors(df, id_col, hash_col, threshold, hot_band_rows, only)
     flag = F.col("distance").isNotNull()
     if keep_first:
         flag = flag & ~(F.col("first") & (F.col("distance") == 0))
@@ -295,6 +301,8 @@ def flag_near_duplicates(
     unhashed = df.where(F.col(hash_col).isNull()).select(
         id_col, F.lit(None).cast("boolean").alias("is_duplicate")
     )
+    if only is not None:
+        unhashed = unhashed.join(only.select(id_col), id_col, "left_semi")
     return hashed.unionByName(unhashed)
 
 
@@ -309,10 +317,8 @@ def nearest_pairs(
 ) -> DataFrame:
     """First ``n`` pairs (id, near_id, distance) among the first ``pool`` flagged rows."""
     chosen = flagged.where("is_duplicate").orderBy(id_col).limit(pool).select(id_col)
-    near = hamming_neighbors(all_rows, id_col, hash_col, threshold)
-    pairs = near.where(F.col("distance").isNotNull()).join(
-        F.broadcast(chosen.select(F.col(id_col).alias("id"))), "id"
-    )
+    near = hamming_neighbors(all_rows, id_col, hash_col, threshold, only=chosen)
+    pairs = near.where(F.col("distance").isNotNull())
     return pairs.select("id", "near_id", "distance").orderBy("id").limit(n)
 
 

@@ -6,12 +6,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.session import checkpointed
+from quern.session import checkpointed, small_side
 
 # A seeded order is cut into 16**BUCKET_DIGITS buckets by the first hex digits of
 # its md5 key, so per-bucket tables have at most that many rows.
 BUCKET_DIGITS = 3
 
+# Requested positions that are sent to every executor: 16 bytes each.
+BROADCAST_REQUESTS = 1_000_000
+
 
 def seeded_key(seed: int, *parts: Column) -> Column:
     """Reproducible shuffle key."""
@@ -231,4 +234,4 @@ def take_positions(df: DataFrame, requests: DataFrame, position: str = "position
 
     ``requests`` has (request_order, position); positions may repeat.
     """
-    return requests.join(df, position).orderBy("request_order")
+    return df.join(small_side(requests, BROADCAST_REQUESTS), position).orderBy("request_order")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
 
@@ -48,6 +49,15 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is.
+
+    The wide side of a join then stays where it is, instead of being shuffled before
+    adaptive execution learns how small the other side is.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are fixed and survive the loss of executors."""
     spark = df.sparkSession

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quern.operators.ordering import equal_shards, rank_stride, seeded_positions
 from quern.operators.packing import shard_index, sized_shards
 from quern.schema import ROWS_PER_GROUP
+from quern.session import small_side
+from quern.sources.text import BROADCAST_FILES
 
 BYTES_PER_TOKEN = 4
 
@@ -107,7 +109,8 @@ def sequential_reads(
     groups = F.ceil(F.col("count") / rows_per_group)
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     mine = mine.withColumn("_before", F.coalesce(F.sum(groups).over(earlier), F.lit(0)))
-    joined = tagged.join(mine.select("_file", "file_no", "_before"), "_file")
+    layout = small_side(mine.select("_file", "file_no", "_before"), BROADCAST_FILES)
+    joined = tagged.join(layout, "_file")
     group = F.col("_before") + F.floor(F.col("_row") / rows_per_group) + 1
     return (
         joined.withColumn("group_no", group.cast("bigint"))

@@ -121,9 +121,11 @@ def scan_images_labels(images: DataFrame, labels: DataFrame, limit: int | None =
     first ``limit`` images."""
     if limit:
         images = images.orderBy("image_id").limit(limit)
+    # Labels are found by name alone; the image bytes join once, or stay in place.
+    found = attach_labels(images.select("image_id"), labels).where(F.col("label").isNotNull())
     sized = images.withColumn("_size", image_size("image_bytes"))
     sized = sized.withColumns({"width": F.col("_size.width"), "height": F.col("_size.height")})
-    frames = flatten_labels(attach_labels(sized.drop("_size"), labels))
+    frames = flatten_labels(sized.drop("_size").join(found, "image_id", "left"))
     return conform(frames, FRAME_SCHEMA)
 
 

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from quern.operators.ordering import before
 from quern.schema import CORPUS_SCHEMA, conform
+from quern.session import small_side
+
+# Files whose layout is sent to every executor: a path and two numbers each.
+BROADCAST_FILES = 100_000
 
 
 def list_files(spark: SparkSession, root: str, pattern: str, first: int | None = None) -> list[str]:
@@ -31,7 +35,7 @@ def with_global_index(rows: DataFrame, name: str = "position") -> DataFrame:
     tagged = rows.withColumns(
         {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
     )
-    offsets = file_layout(rows).select("_file", "_offset")
+    offsets = small_side(file_layout(rows).select("_file", "_offset"), BROADCAST_FILES)
     return (
         tagged.join(offsets, "_file")
         .withColumn(name, (F.col("_offset") + F.col("_row")).cast("bigint"))
