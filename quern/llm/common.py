@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quern.session import fresh_path
+
 #: A word, as all operators count it: a run of anything but space, tab and line ends.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,11 +27,6 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def words(text: bytes) -> list[bytes]:
-    """Words of ``WORD``: ``bytes.split`` cuts at exactly these six ASCII characters."""
-    return text.split()
-
-
 def running_total(df: DataFrame, group: list[str], bucket: str, order: list[str], value: str,
                   out: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over all earlier rows of the group, this one included.
@@ -35,8 +35,6 @@ def running_total(df: DataFrame, group: list[str], bucket: str, order: list[str]
     over the few buckets, then rows are summed inside their bucket. ``bucket`` must be monotone
     in ``order``.
     """
-    from pyspark.sql import Window
-
     totals = df.groupBy(*group, bucket).agg(F.sum(value).alias("__total"))
     before = totals.withColumn(
         "__before",
@@ -44,15 +42,17 @@ def running_total(df: DataFrame, group: list[str], bucket: str, order: list[str]
             Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)),
     ).drop("__total")
-    same = [df[c].eqNullSafe(before[c]) for c in [*group, bucket]]
-    joined = df.join(before, on=_all(same), how="left").select(*[df[c] for c in df.columns], "__before")
+    names = [*group, bucket]
+    before = before.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(names)], "__before")
+    same = [F.col(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(names)]
+    joined = df.join(before, reduce(and_, same), "left").select(*df.columns, "__before")
     inside = F.sum(value).over(
         Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     return joined.withColumn(out, F.col("__before") + inside).drop("__before")
 
 
-def _all(conditions: list[Column]) -> Column:
-    result = conditions[0]
-    for c in conditions[1:]:
-        result = result & c
-    return result
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: computed once, safe to lose tasks."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,9 +7,12 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from quern.llm.words import split_words
 
 #: Words one encoder remembers before it starts afresh; bounds a worker's memory.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 600_000
 
 END_PUNCTUATION = ".,;:!?"
 
@@ -27,49 +30,51 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        spec = json.loads(self.tokenizer.to_str())
-        self.by_word = _drops_white_space(spec)
+        self.by_word = _drops_white_space(json.loads(self.tokenizer.to_str()))
         self.remembered = remembered
         self.model = self.tokenizer.model
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters: dict[str, str] = {}
-        self.words: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {}
 
-    def ids(self, text: str | None) -> np.ndarray:
-        """Ids of one text as unsigned 32-bit integers; null and empty texts give none."""
-        if not text:
-            return np.empty(0, "<u4")
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts after one another (unsigned 32 bits), and how many each text has."""
         if not self.by_word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        words = text.encode().split()
+            found = [self.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+            return np.array([i for f in found for i in f], "<u4"), np.array([len(f) for f in found], np.int64)
+        distinct, codes, words = split_words(texts)
         known = self.words
-        try:
-            return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-        except KeyError:
-            new = set(words)
-            new.difference_update(known)
-            if len(known) + len(new) > self.remembered:
-                known.clear()
-                self.stems.clear()
-                new = set(words)
-            self._learn(new)
-            return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-
-    def _learn(self, words: set[bytes]) -> None:
+        new = [w for w in distinct if w not in known]
+        if len(known) + len(new) > self.remembered:
+            known.clear()
+            self.stems.clear()
+            known[""] = b""
+            new = [w for w in distinct if w]
+        self._learn(new)
+        held = [known[w] for w in distinct]
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        starts = np.cumsum(sizes) - sizes
+        pool = np.frombuffer(b"".join(held), "<u4")
+        own = sizes[codes]
+        ends = np.cumsum(own)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = pool[np.repeat(starts[codes] - ends + own, own) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words)])]
+        return ids, np.diff(bounds)
+
+    def _learn(self, words: list[str]) -> None:
         """Remembers the ids of new words."""
         rest = []
-        for raw in words:
-            word = raw.decode()
+        for word in words:
             stem = word.rstrip(END_PUNCTUATION)
             if _plain(stem):
                 end = word[len(stem):]
-                self.words[raw] = self._piece(stem.lower()) + (self._piece(end) if end else b"")
+                self.words[word] = self._piece(stem.lower()) + (self._piece(end) if end else b"")
             else:
-                rest.append(raw)
+                rest.append(word)
         if rest:
-            found = self.tokenizer.encode_batch_fast(
-                [w.decode() for w in rest], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
             self.words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, found))
 
     def _piece(self, piece: str) -> bytes:

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.llm.encoding import encoder
+from quern.llm.words import pieces
 from quern.session import fresh_path
 
 BLOCK_IDS = 1 << 17
@@ -97,16 +98,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         end = np.array([end_id], "<u4")
         held, ids, lengths, size, first, block = [], [], [], 0, 0, 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                own = encode.ids(text.as_py())
-                ids += (own, end)
-                held.append(doc_id)
-                lengths.append(len(own) + 1)
-                size += len(own) + 1
-                if size >= block_ids:
-                    yield _block(part, block, first, width, ids, held, lengths)
-                    first, block = first + size, block + 1
-                    held, ids, lengths, size = [], [], [], 0
+            for piece in pieces(batch):
+                found, counts = encode.ids(piece["text"])
+                stops = np.cumsum(counts)
+                for doc_id, count, stop in zip(piece["doc_id"].to_pylist(), counts.tolist(), stops.tolist()):
+                    ids += (found[stop - count : stop], end)
+                    held.append(doc_id)
+                    lengths.append(count + 1)
+                    size += count + 1
+                    if size >= block_ids:
+                        yield _block(part, block, first, width, ids, held, lengths)
+                        first, block = first + size, block + 1
+                        held, ids, lengths, size = [], [], [], 0
         if held:
             yield _block(part, block, first, width, ids, held, lengths)
 

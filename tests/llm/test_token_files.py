@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -40,16 +41,19 @@ ODD = [
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_gives_the_librarys_ids(name):
     encode = TextEncoder(vocabulary(name), remembered=20)
-    for text in ODD * 2:
-        assert encode.ids(text).tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
-    assert len(encode.ids(None)) == 0
+    for texts in (ODD, [*ODD[::-1], None], [None], []):
+        plain = [encode.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        ids, counts = encode.ids(pa.array(texts, pa.string()))
+        assert ids.tolist() == sum(plain, [])
+        assert counts.tolist() == [len(p) for p in plain]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.characters(codec="utf-8"), max_size=40))
 def test_encoder_on_any_text(text):
     encode = encoder(vocabulary())
-    assert encode.ids(text).tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+    ids, _ = encode.ids(pa.array([text]))
+    assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def expected(rows):
