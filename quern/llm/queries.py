@@ -6,8 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import token_files
-from quern.llm.common import documents
+from quern.llm import (
+    balancing,
+    chunks,
+    decontamination,
+    lengths,
+    near_duplicates,
+    personal_data,
+    quality,
+    syncmers,
+    token_files,
+)
+from quern.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +37,70 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 @query
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_output(documents(spark, sf_dir), vocabulary())
+
+
+@query
+def op2_line_field_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.curve(lengths.histogram(documents(spark, sf_dir), vocabulary()))
+
+
+@query
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balancing.mixed(documents(spark, sf_dir)).drop("source", "tie")
+
+
+@query
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(documents(spark, sf_dir))
+
+
+@query
+def op6_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(documents(spark, sf_dir))
+
+
+ORACLES["op8_near_duplicates"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM worded),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * both_n >= 75 * (p.n + q.n - both_n)),
+reach(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y),
+lowest AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(y, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN lowest ON x = d.doc_id
+"""
+
+
+@query
+def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(documents(spark, sf_dir))
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(documents(spark, sf_dir))
