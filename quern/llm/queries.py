@@ -14,6 +14,7 @@ from quern.llm import (
     near_duplicates,
     personal_data,
     quality,
+    scoring,
     syncmers,
     token_files,
 )
@@ -64,6 +65,11 @@ def op6_benchmark_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(documents(spark, sf_dir))
+
+
 @query
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(documents(spark, sf_dir))
