@@ -32,8 +32,10 @@ BANDS = BINS // ROWS
 SHINGLE = 5
 #: Similarity in hundredths from which two documents are linked.
 SIMILAR = 75
-#: Members of a bucket that are compared with all others in one round, at most.
-HUBS = 8
+#: Rounds in which a hub of each bucket is compared with its members, before the rest is tiled.
+HUB_ROUNDS = 2
+#: Shingle hashes that one block of a tile holds, in bytes.
+BLOCK_BYTES = 2 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -153,46 +155,113 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> Data
         compare, "a long, b long")
 
 
+def _merged(labels: DataFrame | None, links: DataFrame | None, found: DataFrame):
+    """All links so far, and the components they make."""
+    if found.isEmpty():
+        return labels, links
+    links = found if links is None else links.union(found)
+    return components(links), links
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of their ``id``; an id without links is its own."""
+    if labels is None:
+        return rows.withColumn("component", F.col("id"))
+    return rows.join(labels, rows.id == labels.node, "left").select(
+        *rows.columns, F.coalesce("component", "id").alias("component"))
+
+
+def _open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of buckets that hold more than one component, with a hub of the bucket."""
+    rows = _labelled(members, labels)
+    hub = F.min(F.struct(F.xxhash64("id").alias("order"), "id", "n", "component")).alias("hub")
+    several = rows.groupBy(F.col("key").alias("bucket")).agg(
+        (F.min("component") < F.max("component")).alias("open"), hub).filter("open").drop("open")
+    return rows.join(several, rows.key == several.bucket).drop("bucket")
+
+
 def linked_components(members: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame | None:
     """Components (node, component) of the links inside the buckets of ``members`` (key, id, n).
 
-    A bucket needs no pair of two documents that are connected already. So in each round a few
-    hubs of a bucket are compared with those of its members that are not in the hub's component;
-    afterwards all pairs of a hub are settled and it leaves the bucket. A bucket is done when its
-    remaining members are one component. Large groups thus take a number of pairs in proportion
-    to their size, and no link between components is passed over. None if nothing is linked.
+    A bucket needs no pair of two documents that are connected already. So first one hub of each
+    bucket is compared with the members outside its component, which settles most buckets at a
+    cost in proportion to their size. What is still open, documents that are alike but mostly not
+    enough, is gathered into clusters of buckets with common members and compared in tiles. No link
+    between components is passed over. None if nothing is linked.
+    """
+    labels, links = None, None
+    for _ in range(HUB_ROUNDS):
+        rows = stored(_open_rows(members, labels), "open-buckets")
+        pairs = rows.filter(
+            (F.col("hub.component") != F.col("component"))
+            & (100 * F.least("hub.n", "n") >= similar * F.greatest("hub.n", "n"))
+        ).select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+        labels, links = _merged(labels, links, stored(confirmed(pairs, sets, similar), "confirmed"))
+        members = rows.filter("id != hub.id").select("key", "id", "n")
+    # With its hubs settled, a bucket is done if the other members are one component.
+    rows = stored(_open_rows(members, labels), "open-buckets")
+    if rows.isEmpty():
+        return labels
+    clusters = components(rows.filter("id != hub.id").select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
+    found = stored(_tile_links(_in_clusters(rows, clusters), sets, similar), "confirmed")
+    return _merged(labels, links, found)[0]
+
+
+def _in_clusters(rows: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(id, n, own, cluster) for each document of an open bucket; ``own`` is its component so far."""
+    own = rows.select("id", "n", F.col("component").alias("own")).distinct()
+    return own.join(clusters.select("node", F.col("component").alias("cluster")), F.col("id") == F.col("node")).drop("node")
+
+
+def _tile_links(placed: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Links (a, b) between components of a cluster.
+
+    A cluster is cut into blocks of about ``BLOCK_BYTES`` and each pair of blocks is a tile, so the
+    memory of a task is bounded however large the cluster. A tile counts common shingles from
+    postings and gives at most one link per document beyond those that connect it already.
     """
-    links, labels, hubs = None, None, 1
-    open_rows = members
-    while True:
-        if labels is None:
-            rows = open_rows.withColumn("component", F.col("id")).withColumn("linked", F.lit(False))
-        else:
-            rows = (
-                open_rows.join(labels, open_rows.id == labels.node, "left")
-                .select("key", "id", "n", F.coalesce("component", "id").alias("component"),
-                        F.col("component").isNotNull().alias("linked")))
-        # Documents without links first: once compared they are done, and groups stay to be skipped.
-        order = [F.min(F.struct("linked", F.xxhash64(F.col("id"), F.lit(j)).alias("o"), "id", "n", "component"))
-                 for j in range(hubs)]
-        chosen = rows.groupBy("key").agg(
-            (F.min("component") < F.max("component")).alias("open"), F.array_distinct(F.array(*order)).alias("hubs"),
-        ).filter("open").select(F.col("key").alias("bucket"), "hubs")
-        rows = rows.join(chosen, rows.key == F.col("bucket")).select(
-            "key", "id", "n", "component", F.transform("hubs", lambda h: h["id"]).alias("taken"), "hubs")
-        rows = stored(rows, "buckets")
-        if rows.isEmpty():
-            return labels
-        others = F.filter("hubs", lambda h: (h["component"] != F.col("component"))
-                          & (100 * F.least(h["n"], F.col("n")) >= similar * F.greatest(h["n"], F.col("n"))))
-        pairs = rows.select("id", F.explode(others).alias("hub")).select(
-            F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-        found = stored(confirmed(pairs, sets, similar), "confirmed")
-        open_rows = rows.filter(~F.array_contains("taken", F.col("id"))).select("key", "id", "n")
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = components(links)
-        hubs = min(HUBS, hubs * 2)
+    blocks = placed.groupBy(F.col("cluster").alias("of")).agg(
+        F.ceil(F.sum(F.col("n")) * 8 / BLOCK_BYTES).cast("int").alias("blocks"))
+    dealt = placed.join(blocks, placed.cluster == blocks["of"]).withColumn(
+        "block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int"))
+    other = F.sequence(F.lit(0), F.col("blocks") - 1)
+    tiled = dealt.withColumn("with", F.explode(other)).select(
+        "id", "own", "cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    full = tiled.join(sets.select(F.col("id").alias("set_of"), "items"), F.col("id") == F.col("set_of")).drop("set_of")
+
+    def compare(table):
+        owners, a, b = table["own"].to_pylist(), [], []
+        ids, items = table["id"].to_pylist(), [np.frombuffer(x.as_buffer(), np.uint64) for x in table["items"]]
+        sizes = np.array([len(x) for x in items])
+        _, common = np.unique(np.concatenate(items), return_inverse=True)
+        member = np.repeat(np.arange(len(items)), sizes)
+        order = np.argsort(common, kind="stable")
+        holders, begins = member[order], np.searchsorted(common[order], np.arange(common.max() + 2))
+        ends = np.cumsum(sizes)
+        group = {o: o for o in owners}
+
+        def root(o):
+            while group[o] != o:
+                group[o] = o = group[group[o]]
+            return o
+
+        _, component, often = np.unique(owners, return_inverse=True, return_counts=True)
+        # Every pair of components has a side outside the largest one.
+        for k in np.flatnonzero(component != often.argmax()).tolist():
+            own = common[ends[k] - sizes[k] : ends[k]]
+            count = begins[own + 1] - begins[own]
+            total = np.cumsum(count)
+            at = np.repeat(begins[own] - total + count, count) + np.arange(total[-1])
+            shared = np.bincount(holders[at], minlength=len(items))
+            for m in np.flatnonzero(100 * shared >= similar * (sizes + sizes[k] - shared)).tolist():
+                x, y = root(owners[k]), root(owners[m])
+                if x != y:
+                    group[max(x, y)] = min(x, y)
+                    a.append(min(ids[k], ids[m]))
+                    b.append(max(ids[k], ids[m]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return full.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMILAR) -> DataFrame:

@@ -145,14 +145,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("kind"), F.substring(F.col("text"), seam + 1, F.col("n_chars")).alias("chars")),
         F.struct(F.lit(2).alias("kind"),
                  F.substring(F.col("edited"), seam + 1, F.char_length("edited")).alias("chars")))
-    cut = joined.select(
+    # The row's number is given before its pieces part.
+    numbered = joined.select(
         "doc_id", "tie", F.monotonically_increasing_id().alias("row"), "next_id",
         F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.hash("text").alias("whole"), (F.char_length("edited") > 0).alias("some"),
-        F.hash("edited").alias("edited_whole"), F.explode(
-            F.flatten(F.transform(pieces, lambda p: F.transform(
-                segments(p["chars"]), lambda c: F.struct(p["kind"].alias("kind"), c.alias("chars")))))
-        ).alias("piece"))
+        F.hash("edited").alias("edited_whole"),
+        F.flatten(F.transform(pieces, lambda p: F.transform(
+            segments(p["chars"]), lambda c: F.struct(p["kind"].alias("kind"), c.alias("chars"))))).alias("pieces"))
+    cut = numbered.withColumn("piece", F.explode("pieces")).drop("pieces")
     found = cut.withColumn(
         "hashes", smallest(closed_syncmers(F.col("piece.chars"), lambda kmer, at: F.hash(kmer))))
     per_row = found.groupBy("doc_id", "tie", "row").agg(

@@ -61,6 +61,18 @@ def test_matches_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [d for d, _, _, k in brute(rows) if k]
 
 
+def test_alike_but_not_enough_is_tiled(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK_BYTES", 8 * 400)
+    monkeypatch.setattr(near_duplicates, "HUB_ROUNDS", 1)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(160)]
+    rows = list(enumerate(" ".join(edited(rng, base, rng.choice([0.01, 0.04, 0.07]))) for _ in range(90)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert 10 < len({c for _, _, c, _ in want}) < 85
+    assert sorted(tuple(r) for r in near_duplicates.near_duplicates(docs).collect()) == want
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "a b c d e f g"), (2, "a b c d e f g"), (3, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
