@@ -56,7 +56,8 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
         return (sums[ends] - sums[starts]) / np.maximum(size, 1)
 
-    words, codes, per_line = split_words(pa.array(lines, pa.string()))
+    column = pa.array(lines, pa.string())
+    words, codes, per_line = split_words(column)
     line_of = np.repeat(np.arange(len(lines)), per_line)
     again = np.zeros(len(codes), bool)
     again[1:] = (codes[1:] == codes[:-1]) & (line_of[1:] == line_of[:-1])
@@ -64,7 +65,7 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                            minlength=len(lines))
     some = np.maximum(per_line, 1)
     # Lines that the text has more than once.
-    _, named = np.unique(np.array(lines, dtype=object).astype(str), return_inverse=True) if lines else (0, ends)
+    named = column.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
     text_of = np.repeat(np.arange(len(counts)), counts)
     _, same, often = np.unique(text_of * np.int64(max(1, len(lines))) + named, return_inverse=True, return_counts=True)
     final = np.where(size > 0, data[np.maximum(ends - 1, 0)], 0) if len(ends) else ends
