@@ -1 +1 @@
-"""Curation, search, packing and evaluation of training tables on Spark."""
+"""Curation, search, packing and evaluation of tables on Spark."""

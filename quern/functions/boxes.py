@@ -22,12 +22,6 @@ def clipped_area(box: Column) -> Column:
     return width * height
 
 
-def area_percent(box: Column, width: Column, height: Column) -> Column:
-    """Box area as a percentage of the frame; 0 for an empty frame."""
-    frame = width.cast("double") * height
-    return F.when(frame > 0, clipped_area(box) / frame * 100).otherwise(0.0).cast("float")
-
-
 def largest_person_area(categories: Column, boxes: Column) -> Column:
     """Area of the largest annotated person, 0 when there is none."""
     zipped = F.arrays_zip(categories.alias("c"), boxes.alias("b"))

@@ -1,9 +1,7 @@
 """Model columns: a predictor loaded once per worker and fed batches."""
 
-import zlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import functions as F
@@ -43,26 +41,3 @@ def detector(make_predict: Callable[[], Callable], batch_size: int = 32):
             yield pd.DataFrame(found, columns=["boxes", "labels", "scores"])
 
     return detect
-
-
-def hashing_encoder(width: int):
-    """A stand-in encoder without a model file: signed word hashes, unit length."""
-
-    def make_predict():
-        def predict(texts: np.ndarray) -> np.ndarray:
-            out = np.zeros((len(texts), width), np.float32)
-            for row, text in zip(out, texts):
-                for word in text.split():
-                    h = zlib.crc32(word.encode())
-                    row[h % width] += 1.0 if h & 0x80000000 else -1.0
-            norms = np.linalg.norm(out, axis=1, keepdims=True)
-            return out / np.where(norms == 0, 1, norms)
-
-        return predict
-
-    return make_predict
-
-
-def text_embedding(width: int = 384, make_predict: Callable[[], Callable] | None = None):
-    """Unit vectors of texts; pass a model's ``make_predict`` in place of the stand-in."""
-    return batch_predictor(make_predict or hashing_encoder(width), T.ArrayType(T.FloatType()))

@@ -1,9 +1,7 @@
-"""Text columns: normalization, hashes, byte and subword tokens, fixed-length rows."""
+"""Text columns: normalization, hashes, byte tokens, fixed-length rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -63,41 +61,6 @@ def byte_tokens(text: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out), mask=nulls)
 
 
-def subword_tokens(make_encoder: Callable[[], Callable[[list[str]], list[list[int]]]]):
-    """A column function around a tokenizer that each worker loads once.
-
-    ``make_encoder`` runs on the worker and returns a function from a list of
-    texts to a list of id lists.
-    """
-
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = make_encoder()
-        for texts in batches:
-            rows = texts.to_pylist()
-            ids = iter(encoder([t for t in rows if t is not None]))
-            yield pa.array(
-                [None if t is None else next(ids) for t in rows], pa.list_(pa.int32())
-            )
-
-    return encode
-
-
-def byte_level_encoder():
-    """Encoder over the 256 byte symbols of a byte-level vocabulary, id = byte value."""
-    from tokenizers import Tokenizer, decoders, models, pre_tokenizers
-
-    # The library's printable stand-ins for bytes, in byte order.
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    shifted = [b for b in range(256) if b not in plain]
-    symbol = {b: chr(b) for b in plain}
-    symbol.update({b: chr(256 + i) for i, b in enumerate(shifted)})
-    tokenizer = Tokenizer(models.BPE(vocab={symbol[b]: b for b in range(256)}, merges=[]))
-    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    tokenizer.decoder = decoders.ByteLevel()
-    return lambda texts: [e.ids for e in tokenizer.encode_batch(texts)]
-
-
 def pad_id_of(vocab_size: int) -> int:
     """The pad id: one past the vocabulary, so never a real token."""
     return vocab_size

@@ -52,5 +52,5 @@ def hamming(a: Column, b: Column) -> Column:
 
 def similarity_verdict(similarity: Column, threshold: float = 0.9) -> Column:
     return F.when(
-        F.coalesce(similarity, F.lit(0.0)) > threshold, "near-verbatim source likely"
-    ).otherwise("no close match")
+        F.coalesce(similarity, F.lit(0.0)) > threshold, "close"
+    ).otherwise("distant")

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quern.functions.frames import Feature
 from quern.operators.dedup import flag_near_duplicates
@@ -14,20 +11,20 @@ from quern.sources.store import TableStore
 
 
 def pending(store: TableStore, table: str, columns: list[str], inputs: list[str]) -> DataFrame:
-    """(key, inputs) of the rows where any of the columns is NULL or was never computed.
+    """(key, inputs) of the rows for which the columns were never computed.
 
-    The columns must be held by the same files.
+    Rows up to the version that earlier fills settled are not read; of newer rows, those
+    whose key a later file holds are left out, whatever its value. The columns must be
+    held by the same files.
     """
     key = store.key(table)
-    base = store.read_base(table)
-    source = base if set(inputs) <= set(base.columns) else store.read(table)
+    since = store.settled(table, columns)
+    base = store.read_base(table, since=since)
+    source = base if set(inputs) <= set(base.columns) else store.read(table, since=since)
     require_columns(source, inputs)
     rows = source.select(key, *[c for c in inputs if c != key])
-    done = store.added(table, columns)
-    if done is None:
-        return rows
-    complete = done.dropna(subset=columns).select(key)
-    return rows.join(complete, key, "left_anti")
+    done = store.added(table, columns, since)
+    return rows if done is None else rows.join(done.select(key), key, "left_anti")
 
 
 def backfill(
@@ -41,40 +38,30 @@ def backfill(
 ) -> DataFrame:
     """Fill the named columns where they are missing; (column_name, status, rows).
 
-    Columns at the same stage share a scan and a commit; ``one_at_a_time`` commits
+    ``overwrite`` computes all rows anew and replaces the columns once that is done. Columns at the same stage share a scan and a commit; ``one_at_a_time`` commits
     each on its own, so that a run with slow functions resumes between them.
     ``task_rows`` bounds the rows of a task. Unregistered names are skipped.
     """
-    if overwrite:
-        store.drop_columns(table, columns)
     known = [c for c in columns if c in registry]
     report = [(c, "SKIP", 0) for c in columns if c not in registry]
     groups = [[c] for c in known] if one_at_a_time else store.columns_by_parts(table, known)
     for group in groups:
         inputs = sorted({i for c in group for i in registry[c].inputs})
-        rows = pending(store, table, group, inputs)
+        version = store.version(table)
+        if overwrite:
+            rows = store.read(table).select(store.key(table), *[i for i in inputs if i != store.key(table)])
+        else:
+            rows = pending(store, table, group, inputs)
         if task_rows:
             rows = rows.repartition(max(1, -(-rows.count() // task_rows)))
         computed = rows.select(
             store.key(table), *[registry[c].column().alias(c) for c in group]
         )
-        commit = store.add_columns(table, computed)
-        report += [(c, "DONE", commit.rows) for c in group]
+        commit = store.add_columns(table, computed, recompute=overwrite, covers=version)
+        report += [(c, "DONE", commit.rows if commit else 0) for c in group]
     return store.spark.createDataFrame(report, "column_name string, status string, rows bigint")
 
 
-def backfill_with(
-    store: TableStore,
-    table: str,
-    column: str,
-    inputs: list[str],
-    compute: Callable[[DataFrame], DataFrame],
-) -> int:
-    """Fill a column with a job from (key, inputs) rows to (key, column) rows."""
-    commit = store.add_columns(table, compute(pending(store, table, [column], inputs)))
-    return commit.rows
-
-
 def backfill_near_duplicates(
     store: TableStore,
     table: str,
@@ -84,9 +71,8 @@ def backfill_near_duplicates(
 ) -> int:
     """Fill ``is_duplicate``. Rows flagged before keep their flag, so a copy that
     arrives later does not change its original; ``overwrite`` flags all rows anew."""
-    key = store.key(table)
-    if overwrite:
-        store.drop_columns(table, ["is_duplicate"])
-    todo = pending(store, table, ["is_duplicate"], [hash_col]).select(key)
+    key, version = store.key(table), store.version(table)
+    todo = None if overwrite else pending(store, table, ["is_duplicate"], [hash_col]).select(key)
     flags = flag_near_duplicates(store.read(table), key, hash_col, threshold, only=todo)
-    return store.add_columns(table, flags, recompute=overwrite).rows
+    commit = store.add_columns(table, flags, recompute=overwrite, covers=version)
+    return commit.rows if commit else 0

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import content_key
 from quern.functions.vectors import hamming
-from quern.operators.counts import count_as_rows, percent
+from quern.operators.counts import percent
 from quern.operators.filters import SUMMARY_BBOX_PCT
 from quern.schema import CANARY_PREFIX, FRAME_SCHEMA, HAMMING_THRESHOLD
 from quern.session import checkpointed
@@ -29,7 +29,7 @@ BROADCAST_KEYS = 100_000
 
 CLEAN = "(is_duplicate IS NULL OR is_duplicate = false)"
 
-# The training views whose loss of rows is reported.
+# The train views whose loss of rows is reported.
 TRAIN_VIEWS = {
     "rider_train": "has_rider = true AND split = 'train'",
     "nighttime_person_train": "timeofday = 'night' AND has_person = true AND split = 'train'",
@@ -326,7 +326,7 @@ def nearest_pairs(
 
 
 def inject_canaries(df: DataFrame, n: int, key: str = "image_id", hash_col: str = "dhash"):
-    """Append copies of ``n`` hashed training rows under new ids.
+    """Append copies of ``n`` hashed train rows under new ids.
 
     Base columns and the hash are copied; every other derived column is NULL.
     """
@@ -373,7 +373,7 @@ def duplicate_rate(df: DataFrame) -> DataFrame:
 
 
 def split_impact(df: DataFrame, views: dict[str, str] | None = None) -> DataFrame:
-    """Rows of each training view before and after dropping copies; one scan."""
+    """Rows of each train view before and after dropping copies; one scan."""
     views = TRAIN_VIEWS if views is None else views
     counts = df.agg(
         F.array(

@@ -26,15 +26,6 @@ def attach_bounds(rows: DataFrame, bounds: DataFrame) -> DataFrame:
     return joined.withColumn("ep_start", start.otherwise(F.col("ep_start")))
 
 
-def action_window_steps(width: int, configured: list[int], n_obs_steps: int) -> list[int]:
-    """Step offsets of an action window, from its width."""
-    if width == len(configured):
-        return configured
-    if width == 1:
-        return [0]
-    return list(range(1 - n_obs_steps, 1 - n_obs_steps + width))
-
-
 def action_window_steps_column(width: Column, configured: list[int], n_obs_steps: int) -> Column:
     """The same rule for a column of widths."""
     first = 1 - n_obs_steps

@@ -15,8 +15,8 @@ from quern.session import checkpointed
 BOX = ["x1", "y1", "x2", "y2"]
 GROUP = ["frame_key", "label"]
 
-# Distinct truth boxes of one class in one frame beyond which pairs are found
-# through a spatial grid.
+# Distinct boxes of one class in one frame, truths or predictions, beyond which
+# pairs are found through a spatial grid.
 GRID_BOXES = 256
 
 
@@ -76,21 +76,28 @@ def overlap_pairs(
 ) -> DataFrame:
     """Same-class pairs of a frame with IoU of at least ``threshold``, column ``iou``.
 
-    Inputs carry ``p_``/``t_`` box columns. Ordinary frames are an equi-join on
+    The threshold lies strictly between 0 and 1. Inputs carry ``p_``/``t_`` box columns. Ordinary frames are an equi-join on
     (frame, class). A crowded (frame, class) also joins on a grid cell per axis:
     an overlap of t bounds the ratio of the extents by t and the gap between the
     lower edges by (1/t - 1) extents, so only nearby boxes of similar size meet.
     """
+    reach = 1 / threshold - 1 if 0 < threshold < 1 else 0
+    if not math.isfinite(reach) or reach <= 0:
+        raise ValueError("the threshold must lie between 0 and 1")
     matched = iou("p_", "t_")
-    sizes = truths.groupBy(*GROUP).count()
-    crowded = sizes.where(F.col("count") > grid_boxes).select(*GROUP, F.lit(True).alias("crowded"))
+    # Either side may crowd a frame: a few truths meet a million predictions as well.
+    sides = truths.select(*GROUP, F.lit(0).alias("p"), F.lit(1).alias("t")).unionByName(
+        predictions.select(*GROUP, F.lit(1).alias("p"), F.lit(0).alias("t"))
+    )
+    sizes = sides.groupBy(*GROUP).agg(F.sum("p").alias("p"), F.sum("t").alias("t"))
+    most = F.greatest("p", "t")
+    crowded = sizes.where((most > grid_boxes) & (F.least("p", "t") > 0)).select(
+        *GROUP, F.lit(True).alias("crowded")
+    )
     if crowded.isEmpty():
         joined = predictions.join(truths, GROUP)
         return joined.withColumn("iou", matched).where(F.col("iou") >= threshold)
 
-    reach = 1 / threshold - 1
-    if not math.isfinite(reach) or reach <= 0:
-        raise ValueError("the grid needs a threshold between 0 and 1")
     usable = predictions.where((_extent("p_", "x") > 0) & (_extent("p_", "y") > 0))
     marked_t = truths.join(crowded, GROUP, "left")
     marked_p = usable.join(crowded, GROUP, "left")

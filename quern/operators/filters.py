@@ -49,7 +49,7 @@ def train_filter(min_score: float, holdout: bool = False) -> Column:
 
 
 def dedup_clause(df: DataFrame, view_name: str) -> str:
-    """SQL that drops flagged copies: only for training views, only if the flag exists."""
+    """SQL that drops flagged copies: only for train views, only if the flag exists."""
     if view_name.endswith("_train") and "is_duplicate" in df.columns:
         return " AND (is_duplicate IS NULL OR is_duplicate = false)"
     return ""

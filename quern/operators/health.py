@@ -71,26 +71,26 @@ def source_checks(df: DataFrame, columns: list[str] = EXPECTED_COLUMNS) -> DataF
     )
     total = df.agg(F.count("*").alias("n")).select(
         F.lit(PASS).alias("status"),
-        F.lit("source table").alias("check"),
+        F.lit("rows").alias("check"),
         F.concat(F.col("n").cast("string"), F.lit(" rows")).alias("detail"),
     )
-    named = F.concat(F.lit("column: "), F.col("column_name"))
+    named = F.concat(F.lit("values of "), F.col("column_name"))
     return total.unionByName(_checks(coverage, named, detail))
 
 
 def dedup_check(df: DataFrame) -> DataFrame:
     """Share of flagged rows, or SKIP without the flag."""
     if "is_duplicate" not in df.columns:
-        row = [(SKIP, "dedup", "is_duplicate column missing")]
+        row = [(SKIP, "copies", "no such column")]
         return df.sparkSession.createDataFrame(row, "status string, check string, detail string")
     row = df.agg(F.count("*").alias("total"), F.count_if("is_duplicate").alias("dups"))
     detail = F.concat(
         F.col("dups").cast("string"),
-        F.lit(" flagged ("),
+        F.lit(" copies ("),
         percent_text(F.col("dups"), F.col("total")),
         F.lit(")"),
     )
-    return _checks(row.withColumn("status", F.lit(PASS)), F.lit("dedup: duplicate rate"), detail)
+    return _checks(row.withColumn("status", F.lit(PASS)), F.lit("copies"), detail)
 
 
 def view_health(status: DataFrame, expected: list[str] = EXPECTED_VIEWS) -> DataFrame:
@@ -100,19 +100,13 @@ def view_health(status: DataFrame, expected: list[str] = EXPECTED_VIEWS) -> Data
     return found.withColumn("status", F.when(F.col("rows").isNull(), FAIL).otherwise(PASS))
 
 
-def view_checks(status: DataFrame, expected: list[str] = EXPECTED_VIEWS) -> DataFrame:
-    rows = view_health(status, expected)
-    detail = F.coalesce(F.concat(F.col("rows").cast("string"), F.lit(" rows")), F.lit("missing"))
-    return _checks(rows, F.concat(F.lit("view: "), F.col("name")), detail)
-
-
 def model_checks(compared: DataFrame) -> DataFrame:
     """Rows of ``compare_metrics`` as checks."""
     detail = F.coalesce(
         F.format_string("mAP %+.4f, recall %+.4f", F.col("map_50_delta"), F.col("recall_delta")),
         F.lit("no metrics"),
     )
-    return _checks(compared, F.concat(F.lit("train: "), F.col("model")), detail)
+    return _checks(compared, F.concat(F.lit("model "), F.col("model")), detail)
 
 
 def read_model_metrics(spark: SparkSession, root: str) -> DataFrame:

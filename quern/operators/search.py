@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.text import terms
 from quern.functions.vectors import l2_normalize, similarity_verdict
 from quern.schema import COSINE_THRESHOLD, VERBATIM_SIMILARITY
-from quern.session import checkpointed
+from quern.session import checkpointed, fresh_path
 
 # BM25 and rank fusion constants.
 BM25_K1, BM25_B = 1.2, 0.75
@@ -81,12 +82,15 @@ def top(scored: DataFrame, k: int) -> DataFrame:
     return scored.orderBy(F.col("score").desc(), F.col("id").asc()).limit(k)
 
 
-def text_search(df: DataFrame, id_col: str, text: str, query: str, k: int = 20) -> DataFrame:
+def text_search(
+    df: DataFrame, id_col: str, text: str, query: str, k: int = 20, columns: tuple[str, ...] = ()
+) -> DataFrame:
     """BM25 top-k over a table without an index; a document matches on any term.
 
     The text is scanned once, without a shuffle: each document yields its length and
-    its count of every query term. Those narrow rows are written to the shared
-    folder, and both the statistics and the scores come from them.
+    its count of every query term. Documents without a term only add to the count and
+    length sums, which are taken in the same pass; the others are written to the shared
+    folder, narrow, and the scores come from them. ``columns`` of the hits are added.
     """
     wanted = query_terms(df.sparkSession, query)
     tokens = df.where(F.col(text).isNotNull()).select(
@@ -94,20 +98,24 @@ def text_search(df: DataFrame, id_col: str, text: str, query: str, k: int = 20)
     )
     asked = F.array(*[F.lit(t) for t in wanted]).cast("array<string>")
     tf = F.transform(asked, lambda w: F.size(F.filter("tokens", lambda t: t == w)))
-    counted = checkpointed(tokens.select("id", F.size("tokens").alias("length"), tf.alias("tf")))
+    counted = tokens.select("id", F.size("tokens").alias("length"), tf.alias("tf"))
+    seen = Observation()
+    watched = counted.observe(seen, F.count("*").alias("docs"), F.sum("length").alias("words"))
+    path = fresh_path(df.sparkSession, "hits")
+    watched.where(F.exists("tf", lambda n: n > 0)).write.parquet(path)
+    docs = seen.get["docs"]
+    mean = (seen.get["words"] or 0) / docs if docs else 0.0
+    hits = df.sparkSession.read.schema(counted.schema).parquet(path)
     at = range(len(wanted))
-    stats = counted.agg(
-        F.count("*").alias("docs"),
-        F.avg("length").alias("mean_length"),
-        *[F.count_if(F.get("tf", i) > 0).alias(f"df{i}") for i in at],
-    )
-    scale = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.col("mean_length"))
+    # One row: in how many documents each of the query's terms is.
+    found = hits.agg(*[F.count_if(F.get("tf", i) > 0) for i in at]).first() if wanted else []
+    scale = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.lit(mean))
     score = F.lit(0.0)
     for i in at:
-        idf = F.log1p((F.col("docs") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
+        idf = math.log1p((docs - found[i] + 0.5) / (found[i] + 0.5))
         score = score + idf * F.get("tf", i) * (BM25_K1 + 1) / (F.get("tf", i) + scale)
-    hits = counted.where(F.exists("tf", lambda n: n > 0)).join(F.broadcast(stats))  # one row
-    return top(hits.select("id", score.alias("score")), k)
+    best = top(hits.select("id", score.alias("score")), k)
+    return with_columns_of(df, id_col, best, columns)
 
 
 def indexed_text_search(spark: SparkSession, path: str, query: str, k: int = 20) -> DataFrame:
@@ -152,9 +160,10 @@ def nearest(
     metric: str = "cosine",
     exclude_self: bool = False,
 ) -> DataFrame:
-    """(query_id, id, score): exact top-k rows per query vector; ids are bigint.
+    """(query_id, id, score): exact top-k rows per query vector.
 
-    The score is the cosine similarity, or minus the squared distance for
+    Ids are whole numbers (as bigint) or else compared as text. A vector of another
+    width than the queries is an error; rows without a vector are left out. The score is the cosine similarity, or minus the squared distance for
     ``metric="l2"``. One scan per QUERIES_PER_PASS queries: every task multiplies
     its Arrow batches with the query matrix and keeps k rows per query, so the
     shuffle carries tasks x queries x k rows whatever the table's size.
@@ -163,10 +172,16 @@ def nearest(
         raise ValueError(f"unknown metric {metric!r}")
     spark = df.sparkSession
     width = len(queries[0][1]) if queries else 0
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v")).where(
-        F.col("v").isNotNull() & (F.size("v") == width)
+    if any(len(v) != width for _, v in queries):
+        raise ValueError("query vectors differ in width")
+    id_type = id_kind(df, id_col)
+    kind = np.int64 if id_type == "bigint" else np.str_
+    wrong = F.raise_error(F.concat(F.lit(f"a vector has not {width} numbers, but "), F.size(vec_col)))
+    checked = F.when(F.size(vec_col) == width, F.col(vec_col)).otherwise(wrong)
+    rows = df.where(F.col(vec_col).isNotNull()).select(
+        F.col(id_col).cast(id_type).alias("id"), checked.alias("v")
     )
-    schema = "query_id bigint, id bigint, score double"
+    schema = f"query_id {id_type}, id {id_type}, score double"
     passes = [
         queries[i : i + QUERIES_PER_PASS] for i in range(0, len(queries), QUERIES_PER_PASS)
     ]
@@ -176,7 +191,7 @@ def nearest(
     def scan_for(part):
         shared = spark.sparkContext.broadcast(
             (
-                np.array([q for q, _ in part], np.int64),
+                np.array([q for q, _ in part], kind),
                 np.array([v for _, v in part], np.float64),
             )
         )
@@ -186,11 +201,11 @@ def nearest(
             if metric == "cosine":
                 wanted = wanted / np.linalg.norm(wanted, axis=1, keepdims=True)
             best_scores = np.empty((len(query_ids), 0))
-            best_ids = np.empty((len(query_ids), 0), np.int64)
+            best_ids = np.empty((len(query_ids), 0), kind)
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
+                ids = np.array(batch.column(0).to_pylist(), kind)
                 flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
                 vectors = flat.astype(np.float64).reshape(len(ids), width)
                 if metric == "cosine":
@@ -233,6 +248,19 @@ def nearest(
     return ranked.where(F.col("rank") <= k).drop("rank")
 
 
+def id_kind(df: DataFrame, id_col: str) -> str:
+    """Type in which ids are compared: bigint for whole numbers, else string."""
+    return "bigint" if isinstance(df.schema[id_col].dataType, T.IntegralType) else "string"
+
+
+def with_columns_of(df: DataFrame, id_col: str, hits: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """A cut list of hits with chosen columns of their rows."""
+    if not columns:
+        return hits
+    rows = df.select(F.col(id_col).cast(id_kind(df, id_col)).alias("id"), *columns)
+    return rows.join(F.broadcast(hits), "id").select(*hits.columns, *columns)
+
+
 def vectors_of(df: DataFrame, id_col: str, vec_col: str, ids: list[int]):
     """Stored vectors of a few rows, as queries."""
     found = df.where(F.col(id_col).isin(ids)).select(id_col, vec_col).collect()
@@ -248,16 +276,18 @@ def vector_search(
     metric: str = "cosine",
     prefilter: str | Column | None = None,
     postfilter: str | Column | None = None,
+    columns: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, score) of the top k. A prefilter limits what is ranked; a postfilter
+    """(id, score, columns) of the top k. A prefilter limits what is ranked; a postfilter
     drops ranked rows, so fewer than k may remain."""
     rows = df if prefilter is None else df.where(prefilter)
     found = nearest(rows, id_col, vec_col, [(0, vector)], k, metric).select("id", "score")
     if postfilter is None:
-        return found
+        return with_columns_of(df, id_col, found, columns)
     # The right side is scanned for at most k ids.
-    kept = df.where(postfilter).select(F.col(id_col).cast("bigint").alias("id"))
-    return kept.join(F.broadcast(found), "id")
+    return with_columns_of(df.where(postfilter), id_col, found, columns or (vec_col,)).select(
+        "id", "score", *columns
+    )
 
 
 def similar_to_row(df: DataFrame, id_col: str, vec_col: str, row_id: int, k: int) -> DataFrame:
@@ -276,17 +306,39 @@ def attribute(
     return hits.withColumn("verdict", similarity_verdict(best, VERBATIM_SIMILARITY))
 
 
+def neighbors_of(
+    df: DataFrame,
+    id_col: str,
+    vec_col: str,
+    k: int,
+    asked: str | Column | None = None,
+) -> DataFrame:
+    """(query_id, id, score): the ``k`` nearest other rows of every row that is ``asked`` about.
+
+    Rows are asked about in blocks of about QUERIES_PER_PASS, dealt by the hash of the
+    id, so the driver holds one block at a time; each block is compared with all rows.
+    """
+    rows = df.where(F.col(vec_col).isNotNull())
+    questions = rows if asked is None else rows.where(asked)
+    blocks = -(-questions.count() // QUERIES_PER_PASS)
+    found = nearest(df, id_col, vec_col, [], k)
+    for block in range(blocks):
+        own = questions.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == block)
+        part = [(r[0], list(r[1])) for r in own.select(id_col, vec_col).collect()]
+        if part:
+            found = found.unionByName(nearest(df, id_col, vec_col, part, k, exclude_self=True))
+    return found
+
+
 def near_neighbors(
     df: DataFrame,
     id_col: str,
     vec_col: str,
-    sample: int,
     threshold: float = COSINE_THRESHOLD,
+    asked: str | Column | None = None,
 ) -> DataFrame:
-    """(query_id, id, score, flagged): nearest other row of the first ``sample`` rows."""
-    rows = df.select(id_col, vec_col).orderBy(id_col).limit(sample).collect()
-    queries = [(r[0], list(r[1])) for r in rows]
-    found = nearest(df, id_col, vec_col, queries, 1, exclude_self=True)
+    """(query_id, id, score, flagged): nearest other row of each row asked about."""
+    found = neighbors_of(df, id_col, vec_col, 1, asked)
     return found.withColumn("flagged", F.col("score") >= threshold)
 
 
@@ -339,30 +391,22 @@ def hybrid_search(
     vector: list[float],
     k: int,
     depth: int = 100,
+    columns: tuple[str, ...] = (),
 ) -> DataFrame:
-    """BM25 and cosine lists of ``depth`` rows each, fused to the top k."""
+    """BM25 and cosine lists of ``depth`` rows each, fused to the top k, with ``columns`` of the texts."""
     text_hits = text_search(texts, id_col, text, query, depth)
     vector_hits = vector_search(vectors, id_col, vec_col, vector, depth)
-    return fuse(text_hits, vector_hits, k)
+    return with_columns_of(texts, id_col, fuse(text_hits, vector_hits, k), columns)
 
 
 # --- partitioned vector index ------------------------------------------------
 
-TRAIN_VECTORS_PER_CELL = 256
-
-
 def _fit_centroids(vectors: DataFrame, column: str, cells: int, seed: int) -> np.ndarray:
-    """K-means centers from at most TRAIN_VECTORS_PER_CELL rows per cell, in expectation.
-
-    Centers only decide where rows are stored, so fitting on a sample loses no row.
-    """
+    """K-means centers of all rows."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    rows = vectors.count()
-    fraction = min(1.0, cells * TRAIN_VECTORS_PER_CELL / max(rows, 1))
-    train = vectors if fraction == 1.0 else vectors.sample(fraction, seed=seed)
-    features = train.select(array_to_vector(F.col(column)).alias("features"))
+    features = vectors.select(array_to_vector(F.col(column)).alias("features"))
     model = KMeans(k=cells, seed=seed, maxIter=10, initSteps=1).fit(checkpointed(features))
     return np.array(model.clusterCenters())
 
@@ -402,7 +446,7 @@ def build_vector_index(
     """
     spark = df.sparkSession
     base = df.where(F.col(vec_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("id"),
+        F.col(id_col).cast(id_kind(df, id_col)).alias("id"),
         F.col(vec_col).alias("vector"),
         *carry,
     )
@@ -412,6 +456,8 @@ def build_vector_index(
     centers = _fit_centroids(rows, "_key", cells, seed)
     placed = _with_cell(rows, "_key", centers, "cell")
     if subspaces:
+        if centers.shape[1] % subspaces:
+            raise ValueError(f"{centers.shape[1]} dimensions do not divide into {subspaces} subspaces")
         width = centers.shape[1] // subspaces
         books = []
         for s in range(subspaces):

@@ -30,7 +30,7 @@ EXPECTED_VIEWS = [
 def create_view(store: TableStore, name: str, source: str, condition: str) -> None:
     """Materialize a filter under a name; an existing view is rebuilt with this filter.
 
-    Training views also leave out flagged copies.
+    Train views also leave out flagged copies.
     """
     table = store.read(source)
     full = condition + dedup_clause(table, name)
@@ -77,29 +77,50 @@ def materialize_spec(
 def refresh_view(store: TableStore, name: str, full: bool = False) -> tuple[int, int]:
     """Apply the stored filter to the source's current rows; returns rows before, after.
 
-    If the source only gained rows or filled columns since the last refresh, the
-    rows whose key is not in the view yet are appended. Any other change, or
-    ``full``, rewrites the view.
+    Rows appended to the source since the last refresh are filtered and added, read
+    from the files written since. The view is rewritten if anything else happened to
+    the source: a column that the view lacks, a value filled or computed anew for a row
+    that was there at the last refresh, or rows removed; or if ``full``.
     """
     live = store._live(name)
     rows = [c for c in live if c.kind in (CREATE, APPEND)]
     definition, before = live[0], sum(c.rows for c in rows)
+    source = definition.source
     seen = max(c.source_version for c in rows)
-    changes = [c for c in store._commits(definition.source) if c.version > seen]
-    source_version = store.version(definition.source)
-    matching = store.read(definition.source).where(definition.filter)
-    if full or any(c.kind not in (APPEND, COLUMNS) for c in changes):
+    source_version = store.version(source)
+    if source_version == seen and not full:
+        return before, before
+    if full or not _only_new_rows(store, source, seen, store.read_base(name).columns):
+        matching = store.read(source).where(definition.filter)
         commit = store.create(
-            name, matching, definition.key, True, definition.source, definition.filter,
-            source_version,
+            name, matching, definition.key, True, source, definition.filter, source_version
         )
         return before, commit.rows
-    have = store.read_base(name).select(definition.key)
-    added = matching.join(have, definition.key, "left_anti")
+    added = store.read(source, since=seen).where(definition.filter)
     commit = store.append(name, added, source_version=source_version)
     return before, before + commit.rows
 
 
+def _only_new_rows(store: TableStore, source: str, seen: int, columns: list[str]) -> bool:
+    """Whether all changes after a version concern rows appended after it."""
+    changes = [c for c in store._commits(source) if c.version > seen]
+    if any(c.kind not in (APPEND, COLUMNS) for c in changes):
+        return False
+    if set(store.read(source).columns) != set(columns):
+        return False
+    filled = [c for c in changes if c.kind == COLUMNS]
+    if not filled:
+        return True
+    # Only the files written since are read: keys that got values but are not new.
+    key = store.key(source)
+    new_keys = store.read_base(source, since=seen).select(key)
+    for commit in filled:
+        keys = store._parts([commit]).select(key)
+        if not keys.join(new_keys, key, "left_anti").isEmpty():
+            return False
+    return True
+
+
 def refresh_views(store: TableStore, full: bool = False) -> DataFrame:
     """Refresh every view; (name, before, after, delta)."""
     rows = []
@@ -127,9 +148,3 @@ def drop_views(store: TableStore) -> list[str]:
     for name in dropped:
         store.drop(name)
     return dropped
-
-
-def other_tables(store: TableStore, source: str) -> DataFrame:
-    """Tables except the source and system names."""
-    names = store.spark.createDataFrame([(n,) for n in store.tables()], "name string")
-    return names.where((F.col("name") != source) & ~F.col("name").startswith("__"))

@@ -466,19 +466,3 @@ def hamming_distance(spark, d):
     return paired.join(other, "other").select("vec_id", distance.cast("int").alias("distance"))
 
 
-@query(
-    "except_tables",
-    "select unnest(['rider_train', 'splits']) as name",
-)
-def except_tables(spark, d):
-    from quern.operators.views import other_tables
-    from quern.session import fresh_path
-    from quern.sources.store import TableStore
-
-    store = TableStore(spark, fresh_path(spark, "tables"))
-    rows = flagged_frames(spark, d).select("image_id", "split", "has_rider")
-    store.create("frames", rows, "image_id")
-    store.create("rider_train", rows.where("has_rider AND split = 'train'"), "image_id")
-    store.create("splits", rows.select("image_id", "split"), "image_id")
-    store.create("__system", rows.select("image_id"), "image_id")
-    return other_tables(store, "frames")

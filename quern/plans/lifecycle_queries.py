@@ -153,14 +153,14 @@ def frame_attr_defaults(spark, d):
 @query(
     "list_objects",
     """with o as (select concat(url, case page_id % 4 when 0 then '.JPG' when 1 then '.jpeg' when 2 then '.png' else '.html' end) as path, page_id from pages),
-      i as (select path, row_number() over (order by path) - 1 as p from o where regexp_matches(lower(path), '\\.(jpg|jpeg|png)$') order by path limit 10000)
+      i as (select path, row_number() over (order by path) - 1 as p from o where regexp_matches(lower(path), '\\.(jpg|jpeg|png)$'))
       select path, cast(p % 1000 as int) as label from i""",
 )
 def list_objects(spark, d):
     suffix = F.array(*[F.lit(s) for s in (".JPG", ".jpeg", ".png", ".html")])
     place = F.pmod(F.col("page_id"), F.lit(4)).cast("int")
     paths = table(spark, d, "pages").select(F.concat("url", F.get(suffix, place)).alias("path"))
-    return image_io.positional_labels(paths, limit=10_000)
+    return image_io.positional_labels(paths)
 
 
 @query(
@@ -213,23 +213,6 @@ def add_column_group(spark, d):
     return store.read("corpus").select("id", "source", "n_chars", "n_tokens")
 
 
-@query("storage_stats")
-def storage_stats(spark, d):
-    """Files and bytes before and after a column is added."""
-    store = new_store(spark)
-    store.create("corpus", corpus(spark, d), "id")
-    # Taken now: the report is lazy and the next commit changes the folder.
-    before = store.storage("corpus").first()
-    counted = store.read_base("corpus").select("id", byte_token_count(F.col("text")).alias("n_tokens"))
-    store.add_columns("corpus", counted)
-    return store.storage("corpus").select(
-        F.lit(before["files"]).alias("files_before"),
-        F.lit(before["bytes"]).alias("bytes_before"),
-        F.col("files").alias("files_after"),
-        F.col("bytes").alias("bytes_after"),
-    )
-
-
 @query(
     "drop_columns",
     FLAGGED + "select frame_key, has_rider, scene_description from flagged",
@@ -400,20 +383,6 @@ def add_view(spark, d):
     return store.read("snowy_train").select("frame_key", "scene", "weather")
 
 
-@query(
-    "catalog_list_drop",
-    "select 'after_create' as moment, unnest(['rider_train','rider_val']) as name",
-)
-def catalog_list_drop(spark, d):
-    store = frame_store(spark, d, features=["has_rider"])
-    chosen = {n: f for n, f in views.ANNOTATION_VIEWS.items() if n.startswith("rider")}
-    views.create_views(store, "frames", chosen)
-    names = [("after_create", n) for n in store.views()]
-    views.drop_views(store)
-    names += [("after_drop", n) for n in store.views()]
-    return spark.createDataFrame(names, "moment string, name string")
-
-
 GROWN = FLAGGED + """, g as (select 'rider_' || split as name, count(*) filter (where frame_key%2=0) as before, count(*) as after
   from flagged where has_rider group by split)
 """
@@ -444,6 +413,28 @@ def refresh_view(spark, d):
     return store.read("rider_train").select("frame_key", "split")
 
 
+@query(
+    "refresh_after_fill",
+    FLAGGED
+    + """select frame_key, split, is_duplicate from flagged where has_rider and split='train'
+      and (is_duplicate is null or not is_duplicate)""",
+)
+def refresh_after_fill(spark, d):
+    """Flags that arrive after a refresh take rows out of the view again."""
+    from quern.plans.inputs import flagged_frames
+
+    flags = flagged_frames(spark, d).select("frame_key", "is_duplicate")
+    store = frame_store(spark, d, half(frames(spark, d), 0), features=["has_rider"])
+    store.add_columns("frames", half(flags, 0))
+    views.create_view(store, "rider_train", "frames", views.ANNOTATION_VIEWS["rider_train"])
+    store.append("frames", half(frames(spark, d), 1))
+    backfill.backfill(store, "frames", ["has_rider"], ANNOTATION_FEATURES)
+    views.refresh_view(store, "rider_train")
+    store.add_columns("frames", half(flags, 1))
+    views.refresh_view(store, "rider_train")
+    return store.read("rider_train").select("frame_key", "split", "is_duplicate")
+
+
 @query(
     "materialize_spec",
     FLAGGED
@@ -459,8 +450,7 @@ def materialize_spec(spark, d):
 @query(
     "append_refresh_cycle",
     with_sql("frames")
-    + """select 'big_orders' as name, count(*) as rows, false as is_source from orders where o_totalprice >= 300000
-      union all select 'orders', count(*), true from orders""",
+    + """select o_orderkey, o_custkey, o_totalprice, o_totalprice >= 300000 as is_big, o_totalprice >= 300000 as in_view from orders""",
 )
 def append_refresh_cycle(spark, d):
     """Orders arrive as files; each batch is appended, flagged and reflected in the view."""
@@ -478,7 +468,11 @@ def append_refresh_cycle(spark, d):
         store, stream, "orders", ["is_big"], {"is_big": big}, ["big_orders"], checkpoint
     ).awaitTermination()
     store.reopen()
-    return views.view_status(store, "orders").select("name", "rows", "is_source")
+    seen = store.read("big_orders").select("o_orderkey", F.lit(True).alias("in_view"))
+    rows = store.read("orders").select("o_orderkey", "o_custkey", "o_totalprice", "is_big")
+    return rows.join(seen, "o_orderkey", "left").withColumn(
+        "in_view", F.coalesce("in_view", F.lit(False))
+    )
 
 
 @query(

@@ -36,13 +36,13 @@ budget as (select cast((sum(n_tokens) + count(*)) // {BLOCK_LEN} as bigint) // {
 
 
 def clean_counts(spark, d):
-    """(id, n_tokens) of the training rows, fixed so that laying out blocks is cheap."""
+    """(id, n_tokens) of the train rows, fixed so that laying out blocks is cheap."""
     kept = counted_corpus(spark, d).where(filters.train_filter(MIN_SCORE))
     return checkpointed(kept.select("id", "n_tokens"))
 
 
 def packed(spark, d, full: bool = False, world_size: int = 2):
-    """Blocks of the training rows; without ``full``, an equal number per split."""
+    """Blocks of the train rows; without ``full``, an equal number per split."""
     lengths = clean_counts(spark, d)
     budget = None if full else token_budget(lengths, SPLITS).first()["blocks"]
     docs = corpus(spark, d).select("id", "text")
@@ -337,18 +337,6 @@ def append_block_shards(spark, d):
     return found.groupBy("rank").agg(F.count("*").alias("n"))
 
 
-@query("layout_manifest")
-def layout_manifest(spark, d):
-    first = stored_blocks(spark, d)
-    stored = block_io.read_shards(spark, first)
-    root = fresh_path(spark, "layouts")
-    block_io.write_shuffled_shards(stored, f"{root}/blocks_shuffled", 8, SEED)
-    layouts = {"blocks": first, "blocks_shuffled": f"{root}/blocks_shuffled"}
-    manifest = block_io.layout_manifest(spark, layouts)
-    block_io.write_manifest(manifest, stored.count(), f"{root}/manifest")
-    return spark.read.json(f"{root}/manifest")
-
-
 # --- positioned reads --------------------------------------------------------
 
 
@@ -399,7 +387,7 @@ def take_by_position(spark, d):
 @query(
     "footer_layout",
     """select distinct (event_id*7919) % (select count(*) from orders) as position, 'orders.parquet' as file,
-      ((event_id*7919) % (select count(*) from orders)) // 1024 as row_group, ((event_id*7919) % (select count(*) from orders)) % 1024 as "offset" from events""",
+      (event_id*7919) % (select count(*) from orders) as "offset" from events""",
 )
 def footer_layout(spark, d):
     rows = table(spark, d, "orders")
@@ -411,20 +399,10 @@ def footer_layout(spark, d):
         .select(F.pmod(F.col("event_id") * 7919, F.col("n")).alias("position"))
         .distinct()
     )
-    found = text_io.locate(layout, wanted, rows_per_group=1024)
+    found = text_io.locate(layout, wanted)
     return found.withColumn("file", F.substring_index("file", "/", -1))
 
 
-@query(
-    "rank_file_assign",
-    """select cast((o_orderkey // 1024 + 1) % 4 as int) as worker, o_orderkey // 1024 + 1 as group_no, count(*) as n
-      from orders group by 1, 2""",
-)
-def rank_file_assign(spark, d):
-    rows = block_io.sequential_reads(table(spark, d, "orders"), rank=0, world_size=1, workers=4)
-    return rows.groupBy("worker", "group_no").agg(F.count("*").alias("n"))
-
-
 @query("limit_n", "select doc_id, source from documents order by doc_id limit 50")
 def limit_n(spark, d):
     return table(spark, d, "documents").select("doc_id", "source").orderBy("doc_id").limit(50)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.functions import text as text_fn
-from quern.functions.inference import text_embedding
 from quern.operators import counts, dedup, filters
 from quern.plans.inputs import corpus, counted_corpus, table, tokenized_corpus, with_sql
 from quern.plans.registry import query
@@ -157,15 +156,6 @@ def byte_tokenize(spark, d):
     return tokenized_corpus(spark, d).select("id", F.md5(joined_ids("input_ids")).alias("tokens_md5"))
 
 
-@query(
-    "subword_tokenize",
-    "select doc_id as id, cast(octet_length(encode(text)) as int) as n_tokens from documents",
-)
-def subword_tokenize(spark, d):
-    encode = text_fn.subword_tokens(text_fn.byte_level_encoder)
-    return corpus(spark, d).select("id", F.size(encode("text")).alias("n_tokens"))
-
-
 ROW_LEN = 256
 
 
@@ -202,22 +192,6 @@ def pad_id_rule(spark, d):
     )
 
 
-@query("batch_inference")
-def batch_inference(spark, d):
-    rows = corpus(spark, d)
-    return rows.select("id", text_embedding(384)("text").alias("embedding"))
-
-
-@query(
-    "stateful_udf",
-    """select source, cast(sum(octet_length(encode(text))) as bigint) as n_tokens from documents group by source""",
-)
-def stateful_udf(spark, d):
-    encode = text_fn.subword_tokens(text_fn.byte_level_encoder)
-    rows = corpus(spark, d).select("source", F.size(encode("text")).alias("n"))
-    return rows.groupBy("source").agg(F.sum("n").alias("n_tokens"))
-
-
 @query(
     "ingest_receipt",
     "select n, substr(md5(cast(n as varchar)), 1, 8) as checksum from (select count(*) as n from documents)",

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators.ordering import equal_shards, rank_stride, seeded_positions
+from quern.operators.ordering import equal_shards, seeded_positions
 from quern.operators.packing import shard_index, sized_shards
 from quern.schema import ROWS_PER_GROUP
-from quern.session import small_side
-from quern.sources.text import BROADCAST_FILES
 
 BYTES_PER_TOKEN = 4
 
@@ -24,6 +22,7 @@ def write_sharded(df: DataFrame, path: str, shard: str, order: list[str]) -> Non
         .sortWithinPartitions(shard, *order)
         .write.mode("overwrite")
         .option("compression", "none")
+        .option("parquet.block.row.count.limit", str(ROWS_PER_GROUP))
         .partitionBy(shard)
         .parquet(path)
     )
@@ -61,60 +60,3 @@ def write_sized_shards(blocks: DataFrame, path: str, limit: int, seed: int) -> D
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """All shards of a layout as one table."""
     return spark.read.parquet(path)
-
-
-def layout_manifest(spark: SparkSession, layouts: dict[str, str]) -> DataFrame:
-    """(layout, files, bytes) per output folder, from file lengths alone."""
-    found = None
-    for name, path in layouts.items():
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-        )
-        row = files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-        row = row.select(F.lit(name).alias("layout"), "files", "bytes")
-        found = row if found is None else found.unionByName(row)
-    return found
-
-
-def write_manifest(manifest: DataFrame, blocks: int, path: str) -> None:
-    manifest.withColumn("blocks", F.lit(blocks).cast("bigint")).write.mode("overwrite").json(path)
-
-
-def random_reads(
-    blocks: DataFrame, index: str, rank: int, world_size: int, seed: int, workers: int = 1
-) -> DataFrame:
-    """A rank's rows of a seeded permutation: every ``world_size``-th one, dealt to workers."""
-    placed = seeded_positions(blocks, seed, index)
-    return rank_stride(placed, world_size, workers).where(F.col("rank") == rank)
-
-
-def sequential_reads(
-    rows: DataFrame, rank: int, world_size: int, workers: int = 1,
-    rows_per_group: int = ROWS_PER_GROUP,
-) -> DataFrame:
-    """A rank's rows when ranks own files and workers own row groups in turn.
-
-    Adds ``file_no``, ``group_no`` (counted over the rank's files) and ``worker``.
-    Needs a file scan below it.
-    """
-    tagged = rows.withColumns(
-        {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
-    )
-    per_file = rows.groupBy(F.col("_metadata.file_path").alias("_file")).count()
-    numbered = per_file.withColumn("file_no", F.row_number().over(Window.orderBy("_file")) - 1)
-    mine = numbered.where(F.pmod(F.col("file_no"), F.lit(world_size)) == rank)
-    groups = F.ceil(F.col("count") / rows_per_group)
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    mine = mine.withColumn("_before", F.coalesce(F.sum(groups).over(earlier), F.lit(0)))
-    layout = small_side(mine.select("_file", "file_no", "_before"), BROADCAST_FILES)
-    joined = tagged.join(layout, "_file")
-    group = F.col("_before") + F.floor(F.col("_row") / rows_per_group) + 1
-    return (
-        joined.withColumn("group_no", group.cast("bigint"))
-        .withColumn("worker", F.pmod(F.col("group_no"), F.lit(workers)).cast("int"))
-        .withColumn("row_in_file", F.col("_row"))
-        .drop("_file", "_row", "_before")
-    )

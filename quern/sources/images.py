@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.images import image_size
+from quern.operators.ordering import running_totals
 from quern.schema import FRAME_SCHEMA, conform
 
 # Image suffixes and the class count of positional labels.
@@ -129,21 +130,23 @@ def scan_images_labels(images: DataFrame, labels: DataFrame, limit: int | None =
     return conform(frames, FRAME_SCHEMA)
 
 
-def list_objects(spark: SparkSession, prefix: str, limit: int = 10_000) -> DataFrame:
-    """(path, length, label) of the first image objects below a prefix, by path."""
+def list_objects(spark: SparkSession, prefix: str, limit: int | None = None) -> DataFrame:
+    """(path, length, label) of the image objects below a prefix, by path."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(prefix)
     )
     return positional_labels(files.select("path", "length"), limit)
 
 
-def positional_labels(objects: DataFrame, limit: int, classes: int = POSITION_CLASSES) -> DataFrame:
-    """First ``limit`` image paths with label = place in path order mod ``classes``."""
-    from pyspark.sql import Window
-
-    images = objects.where(F.lower("path").rlike(IMAGE_SUFFIXES)).orderBy("path").limit(limit)
-    place = F.row_number().over(Window.orderBy("path")) - 1  # at most ``limit`` rows
-    return images.withColumn("label", F.pmod(place, F.lit(classes)).cast("int"))
+def positional_labels(
+    objects: DataFrame, limit: int | None = None, classes: int = POSITION_CLASSES
+) -> DataFrame:
+    """Image paths with label = place in path order mod ``classes``, optionally the first few."""
+    images = objects.where(F.lower("path").rlike(IMAGE_SUFFIXES))
+    if limit is not None:
+        images = images.orderBy("path").limit(limit)
+    numbered = running_totals(images, [], [F.col("path")], {"_place": F.lit(1).cast("bigint")})
+    return numbered.withColumn("label", F.pmod(F.col("_place") - 1, F.lit(classes)).cast("int")).drop("_place")
 
 
 def labelled_rows(images: DataFrame, index: str, classes: int) -> DataFrame:

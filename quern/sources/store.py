@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 MANIFEST_SCHEMA = (
     "name string, version bigint, kind string, path string, rows bigint, "
     "columns array<string>, key string, source string, filter string, source_version bigint, "
-    "batch string, schema string"
+    "batch string, schema string, covers bigint"
 )
 
 # Kinds of commit. ``create`` and ``append`` add rows; ``columns`` adds a column
@@ -47,6 +47,8 @@ class Commit:
     source_version: int | None = None
     batch: str | None = None
     schema: str | None = None
+    # Version up to which all rows are settled for the columns of this commit.
+    covers: int | None = None
 
 
 class TableStore:
@@ -224,21 +226,39 @@ class TableStore:
     # --- columns -------------------------------------------------------------
 
     def add_columns(
-        self, name: str, df: DataFrame, recompute: bool = False, batch: str | None = None
-    ) -> Commit:
-        """Add a column group: ``df`` has the key and the new columns only."""
+        self,
+        name: str,
+        df: DataFrame,
+        recompute: bool = False,
+        batch: str | None = None,
+        covers: int | None = None,
+    ) -> Commit | None:
+        """Add a column group: ``df`` has the key and the new columns only.
+
+        ``covers`` says that with this commit every row up to that version is settled,
+        whatever its value. A group that exists gets no commit without rows.
+        """
         live = self._live(name)
         key = live[0].key
-        path, rows = self._write(df, name)
         columns = tuple(c for c in df.columns if c != key)
+        path, rows = self._write(df, name)
+        if not rows and not recompute and all(c in self._groups(live) for c in columns):
+            return None
         kind = RECOMPUTE if recompute else COLUMNS
         commit = Commit(
             name, live[-1].version + 1, kind, path, rows, columns, key, batch=batch,
-            schema=df.schema.json(),
+            schema=df.schema.json(), covers=covers,
         )
         self._commit(commit)
         return commit
 
+    def settled(self, name: str, columns: list[str]) -> int:
+        """Version up to which every row has all the columns; 0 if there is none."""
+        groups = self._groups(self._live(name))
+        return min(
+            max((c.covers or 0 for c in groups.get(column, [])), default=0) for column in columns
+        )
+
     def drop_columns(self, name: str, columns: list[str]) -> list[str]:
         """Hide added columns; returns those that existed."""
         live = self._live(name)
@@ -273,48 +293,62 @@ class TableStore:
             shared.setdefault(tuple(c.path for c in groups.get(column, [])), []).append(column)
         return list(shared.values())
 
-    def added(self, name: str, columns: list[str]) -> DataFrame | None:
+    def added(self, name: str, columns: list[str], since: int = 0) -> DataFrame | None:
         """(key, columns) rows computed so far, or None before the first commit.
 
-        The columns must be held by the same files.
+        The columns must be held by the same files; ``since`` leaves out older ones.
         """
         live = self._live(name)
-        parts = self._groups(live).get(columns[0])
+        parts = [c for c in self._groups(live).get(columns[0], []) if c.version > since]
         return self._group_frame(parts, live[0].key, columns) if parts else None
 
     def _group_frame(self, parts: list[Commit], key: str, columns: list[str]) -> DataFrame:
         frame = None
         for commit in parts:
-            part = self._parts([commit]).select(key, *columns)
+            version = F.lit(commit.version).alias("_version")
+            part = self._parts([commit]).select(key, *columns, version)
             frame = part if frame is None else frame.unionByName(part)
         if len(parts) == 1:
-            return frame
-        # A key filled twice (once with NULL) keeps its value; keys are unique per part.
-        return frame.groupBy(key).agg(*[F.max_by(c, F.col(c).isNotNull()).alias(c) for c in columns])
+            return frame.drop("_version")
+        # Of a key filled twice the latest value counts; keys are unique per part.
+        latest = [
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_version"))).alias(c) for c in columns
+        ]
+        return frame.groupBy(key).agg(*latest)
 
-    def read(self, name: str, version: int | None = None) -> DataFrame:
+    def read(self, name: str, version: int | None = None, since: int = 0) -> DataFrame:
         """The table at a version; added columns are joined on the key.
 
+        With ``since`` only rows appended after that version, from the files written
+        after it; columns that none of these files holds are NULL.
+
         Columns that share the same files are joined once. A query that uses none
         of a group's columns still keeps every row, so Spark drops the join's
         columns but not the join; use ``read_base`` when only base columns matter.
         """
         live = self._live(name, version)
-        table = self._base(live)
+        table = self._base(live, since)
         by_parts: dict[tuple[Commit, ...], list[str]] = {}
         for col, parts in self._groups(live).items():
-            by_parts.setdefault(tuple(parts), []).append(col)
+            newer = tuple(c for c in parts if c.version > since)
+            by_parts.setdefault(newer, []).append(col)
+            if not newer:
+                kind = T.StructType.fromJson(json.loads(parts[-1].schema))[col].dataType
+                table = table.withColumn(col, F.lit(None).cast(kind))
+        by_parts.pop((), None)
         for parts, columns in by_parts.items():
             group = self._group_frame(list(parts), live[0].key, columns)
             table = table.join(group, live[0].key, "left")
         return table
 
-    def _base(self, live: list[Commit]) -> DataFrame:
-        return self._parts([c for c in live if c.kind in (CREATE, APPEND)])
+    def _base(self, live: list[Commit], since: int = 0) -> DataFrame:
+        parts = [c for c in live if c.kind in (CREATE, APPEND)]
+        newer = [c for c in parts if c.version > since]
+        return self._parts(newer) if newer else self._parts(parts[:1]).where("false")
 
-    def read_base(self, name: str, version: int | None = None) -> DataFrame:
+    def read_base(self, name: str, version: int | None = None, since: int = 0) -> DataFrame:
         """The rows without added columns: one scan, no join."""
-        return self._base(self._live(name, version))
+        return self._base(self._live(name, version), since)
 
     # --- reports -------------------------------------------------------------
 

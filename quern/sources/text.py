@@ -54,8 +54,8 @@ def file_layout(rows: DataFrame) -> DataFrame:
     return counts.withColumn("_offset", before(F.col("_rows"), Window.orderBy("_file")))
 
 
-def locate(layout: DataFrame, positions: DataFrame, rows_per_group: int) -> DataFrame:
-    """File, row group and offset of each global ``position``.
+def locate(layout: DataFrame, positions: DataFrame) -> DataFrame:
+    """File and row in it of each global ``position``.
 
     A range join as an equi-join: positions are cut into buckets as wide as the mean
     file, and each file is listed under the buckets it spans, which are about twice
@@ -69,12 +69,10 @@ def locate(layout: DataFrame, positions: DataFrame, rows_per_group: int) -> Data
     asked = positions.withColumn("_span", F.expr(f"position div {width}"))
     inside = (F.col("position") >= F.col("_offset")) & (F.col("position") < end)
     joined = asked.join(files, "_span").where(inside)
-    local = F.col("position") - F.col("_offset")
     return joined.select(
         *positions.columns,
         F.col("_file").alias("file"),
-        F.floor(local / rows_per_group).cast("bigint").alias("row_group"),
-        F.pmod(local, F.lit(rows_per_group)).cast("bigint").alias("offset"),
+        (F.col("position") - F.col("_offset")).cast("bigint").alias("offset"),
     )
 
 

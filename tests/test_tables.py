@@ -14,7 +14,6 @@ from quern.functions.frames import Feature
 from quern.functions.inference import detector
 from quern.operators import backfill, dedup, evaluate, filters, health, search, views
 from quern.schema import missing_columns
-from quern.sources import blocks as block_io
 from quern.sources import images as image_io
 from quern.sources import text as text_io
 from quern.sources.store import TableStore
@@ -63,14 +62,78 @@ def test_backfill_fills_only_what_is_missing(spark, store):
     assert sorted(store.read("rows").collect()) == incremental
 
 
-def test_null_results_are_computed_again(spark, store):
-    late = spark.range(10).select("id", F.when(F.col("id") < 6, True).alias("flag"))
-    store.add_columns("rows", late)
-    feature = Feature(("id",), T.BooleanType(), lambda c: F.lit(False))
-    assert backfill.backfill(store, "rows", ["flag"], {"flag": feature}).first()["rows"] == 4
+def test_null_results_count_as_computed(spark, store):
+    calls = Feature(("id",), T.BooleanType(), lambda c: F.when(c < 6, True))
+    assert backfill.backfill(store, "rows", ["flag"], {"flag": calls}).first()["rows"] == 10
+    version = store.version("rows")
+    assert backfill.backfill(store, "rows", ["flag"], {"flag": calls}).first()["rows"] == 0
+    assert store.version("rows") == version  # nothing to do adds no commit
+    store.append("rows", spark.range(10, 13).withColumn("text", F.lit("x")))
+    assert backfill.pending(store, "rows", ["flag"], ["id"]).count() == 3
+    assert backfill.backfill(store, "rows", ["flag"], {"flag": calls}).first()["rows"] == 3
     assert store.read("rows").where("flag").count() == 6
 
 
+def test_the_latest_of_several_values_counts(spark, store):
+    for value in (1, 2, 3):
+        store.add_columns("rows", spark.range(value, 10).select("id", F.lit(value).alias("v")))
+    got = {r["id"]: r["v"] for r in store.read("rows").collect()}
+    assert got == {0: None, 1: 1, 2: 2, **{i: 3 for i in range(3, 10)}}
+
+
+def test_refresh_follows_values_that_come_later(spark, store):
+    store.add_columns("rows", spark.range(10).select("id", F.lit(False).alias("is_duplicate")))
+    views.create_view(store, "low_train", "rows", "id < 90")
+    store.append("rows", spark.range(10, 14).withColumn("text", F.lit("x")))
+    assert views.refresh_view(store, "low_train") == (10, 14)
+    store.add_columns("rows", spark.range(10, 14).select("id", (F.col("id") > 11).alias("is_duplicate")))
+    assert views.refresh_view(store, "low_train") == (14, 12)
+    condition = store._live("low_train")[0].filter
+    assert sorted(store.read("low_train").collect()) == sorted(store.read("rows").where(condition).collect())
+    store.add_columns("rows", store.read_base("rows").select("id", F.lit(1).alias("later")))
+    views.refresh_view(store, "low_train")
+    assert "later" in store.read("low_train").columns
+
+
+def test_a_batch_reads_only_its_own_rows(spark, store):
+    registry = {"even": EVEN}
+    backfill.backfill(store, "rows", ["even"], registry)
+    views.create_view(store, "evens", "rows", "even = true")
+    for start in (10, 14, 18):
+        store.append("rows", spark.range(start, start + 4).withColumn("text", F.lit("x")))
+        assert backfill.pending(store, "rows", ["even"], ["id"]).count() == 4
+        assert store.read("rows", since=store.version("rows") - 1).count() == 4
+        backfill.backfill(store, "rows", ["even"], registry)
+        before, after = views.refresh_view(store, "evens")
+        assert after - before == 2
+    full = store.read("rows").where("even = true")
+    assert sorted(store.read("evens").collect()) == sorted(full.collect())
+
+
+def test_vector_ids_of_any_type_and_wrong_widths(spark):
+    rows = spark.createDataFrame(
+        [(f"frame_{i}", [float(i), 1.0, 0.5], f"s{i}") for i in range(30)], "image_id string, v array<double>, scene string")
+    hits = search.vector_search(rows, "image_id", "v", [1.0, 1.0, 0.5], 3, columns=("scene",)).collect()
+    assert [(h["id"], h["scene"]) for h in sorted(hits, key=lambda h: -h["score"])][0] == ("frame_1", "s1")
+    near = search.neighbors_of(rows, "image_id", "v", 1).collect()
+    assert len(near) == 30 and all(n["query_id"] != n["id"] for n in near)
+    ragged = rows.unionByName(spark.createDataFrame([("odd", [1.0], "x")], rows.schema))
+    with pytest.raises(Exception, match="has not 3 numbers"):
+        search.vector_search(ragged, "image_id", "v", [1.0, 1.0, 0.5], 3).collect()
+
+
+def test_neighbors_of_more_rows_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERIES_PER_PASS", 40)
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(130, 6))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    scores = unit @ unit.T
+    np.fill_diagonal(scores, -2)
+    got = {r["query_id"]: r["id"] for r in search.near_neighbors(rows, "id", "v", 0.9, asked="id % 2 = 0").collect()}
+    assert got == {i: int(scores[i].argmax()) for i in range(0, 130, 2)}
+
+
 def test_duplicate_backfill_keeps_old_flags_unless_overwritten(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "dups"))
     rows = spark.createDataFrame([(1, 7), (2, -1)], "id bigint, bits bigint")
@@ -102,7 +165,7 @@ def test_view_refresh_appends_or_rewrites(spark, store):
     assert store.tables() == ["rows"]
 
 
-def test_training_views_leave_out_copies(spark, store):
+def test_train_views_leave_out_copies(spark, store):
     flags = spark.range(10).select("id", F.when(F.col("id") < 8, F.col("id") < 2).alias("is_duplicate"))
     store.add_columns("rows", flags)
     views.create_view(store, "low_train", "rows", "id < 9")
@@ -236,14 +299,11 @@ def test_text_shards_and_positions(spark, tmp_path):
     assert text_io.scan_parquet_shards(spark, paths, "web", rows=7).count() == 7
     layout = text_io.file_layout(spark.read.parquet(root))
     wanted = spark.range(30).select(F.col("id").alias("position"))
-    found = text_io.locate(layout, wanted, rows_per_group=4).collect()
+    found = text_io.locate(layout, wanted).collect()
     sizes = {r["_file"]: r["_rows"] for r in layout.collect()}
     starts = dict(zip(sorted(sizes), np.cumsum([0] + [sizes[f] for f in sorted(sizes)]).tolist()))
     for r in found:
-        assert starts[r["file"]] + r["row_group"] * 4 + r["offset"] == r["position"]
-    ranks = [block_io.sequential_reads(spark.read.parquet(root), r, 2, 2, 4) for r in (0, 1)]
-    assert sum(r.count() for r in ranks) == 30
-    assert ranks[1].select("file_no").distinct().count() == 1
+        assert starts[r["file"]] + r["offset"] == r["position"]
 
 
 def test_json_records(spark, tmp_path):
@@ -277,12 +337,6 @@ def test_repeat_flags_keep_the_first_and_null(spark):
     assert dict(dedup.repeat_flags(df).collect()) == {1: False, 2: True, 3: None, 4: False, 5: True}
 
 
-def test_subword_tokens_keep_nulls(spark):
-    encode = text_fn.subword_tokens(text_fn.byte_level_encoder)
-    rows = spark.createDataFrame([("aé",), (None,), ("",)], "t string")
-    assert [r[0] for r in rows.select(encode("t")).collect()] == [list("aé".encode()), None, []]
-
-
 def test_detector_column(spark):
     def make_predict():
         return lambda batch: [([[0.0, 0.0, float(len(b)), 1.0]], [1], [0.9]) for b in batch]
