@@ -21,15 +21,15 @@ from quern.llm.common import fold, stored
 from quern.llm.words import pieces, split_words
 
 #: Documents and lines the weights are fitted on, at most about; longer documents are not drawn.
-SAMPLE_DOCS = 20_000
-SAMPLE_LINES = 400_000
+SAMPLE_DOCS = 6_000
+SAMPLE_LINES = 80_000
 LONGEST_SAMPLED = 20_000
 #: Places that the hash of an id is drawn by.
 PLACES = 1 << 20
 #: Score from which a document is predicted to be good.
 GOOD_FROM = 0.3
 RIDGE = 1e-4
-STEPS = 150
+STEPS = 100
 
 OWN = 15
 
