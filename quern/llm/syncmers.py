@@ -117,24 +117,37 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document as a neighbour; a row without doc_id has an empty neighbour. Other columns are
     ignored. An empty table gives an empty result.
     """
-    rows = docs.select(
+    every = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("tie", F.xxhash64("text"))
-    lengths = stored(
-        rows.filter("doc_id IS NOT NULL").groupBy("doc_id")
-        .agg(F.max(F.char_length("text")).alias("longest")), "lengths")
+    rows = every.filter("doc_id IS NOT NULL")
+    lengths = stored(rows.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("longest")), "lengths")
     chain = stored(following(lengths).join(lengths, "doc_id"), "chain")
 
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("tie"))
-    single = rows.withColumn("rank", one).filter("rank = 1").select(F.col("doc_id").alias("of"), "text")
+    # Both uses of the texts are dealt by doc_id in the same form, so they are shuffled once.
+    first = F.lag("tie").over(Window.partitionBy("doc_id").orderBy("tie")).isNull()
+    single = rows.withColumn("first", first).filter("first").select(F.col("doc_id").alias("of"), "text")
     heads = chain.join(single, chain.next_id == single.of).select(
         F.col("doc_id").alias("at"), "next_id",
         F.expr("substring(text, 1, cast(floor(longest / 4) as int))").alias("head"))
+    placed = rows.join(heads, rows.doc_id == heads["at"]).select("doc_id", "text", "tie", "next_id", "head")
+    alone = every.filter("doc_id IS NULL").select(
+        "doc_id", "text", "tie", F.lit(None).cast("long").alias("next_id"), F.lit("").alias("head"))
+    # Apart, so that the rows in order keep the places they are dealt to.
+    per_row = stored(_both_fingerprints(placed).union(_both_fingerprints(alone)), "fingerprints")
+    neighbours = per_row.filter("doc_id IS NOT NULL").select("doc_id", "tie", "own").withColumn(
+        "first", first).filter("first").select(F.col("doc_id").alias("of"), F.col("own").alias("next_own"))
+    return per_row.join(neighbours, per_row.next_id == neighbours.of, "left").select(
+        "doc_id", "n_chars", "edited_sha256", shown(F.col("own")).alias("fingerprint"),
+        shown(F.col("changed")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        likeness(F.col("own"), F.coalesce("next_own", F.array().cast("array<int>"))).alias("near_next"))
+
 
-    size = F.char_length("text")
+def _both_fingerprints(rows: DataFrame) -> DataFrame:
+    """For rows (doc_id, text, tie, next_id, head): the hashes of the text and of the edited text."""
     joined = (
-        rows.join(heads, rows.doc_id == heads["at"], "left")
-        .withColumn("n_chars", size)
+        rows.withColumn("n_chars", F.char_length("text"))
         .withColumn("cut", (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
         .withColumn("new", F.coalesce(F.expr("substring(head, 1, n_chars - cut)"), F.lit("")))
         .withColumn("edited", F.concat(F.expr("substring(text, 1, cut)"), "new")))
@@ -164,14 +177,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def filled(hashes: str, alone: str, there: Column) -> Column:
         return F.when((F.size(hashes) == 0) & there, F.array(alone)).otherwise(F.col(hashes)).alias(hashes)
 
-    per_row = stored(per_row.select(
+    return per_row.select(
         "doc_id", "tie", "next_id", "n_chars", "edited_sha256", filled("own", "whole", F.col("n_chars") > 0),
-        filled("changed", "edited_whole", F.col("some"))), "fingerprints")
-    first_of = F.row_number().over(Window.partitionBy("doc_id").orderBy("tie"))
-    neighbours = per_row.select("doc_id", "tie", "own").withColumn("rank", first_of).filter("rank = 1").select(
-        F.col("doc_id").alias("of"), F.col("own").alias("next_own"))
-    return per_row.join(neighbours, per_row.next_id == neighbours.of, "left").select(
-        "doc_id", "n_chars", "edited_sha256", shown(F.col("own")).alias("fingerprint"),
-        shown(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.coalesce("next_own", F.array().cast("array<int>"))).alias("near_next"))
+        filled("changed", "edited_whole", F.col("some")))
