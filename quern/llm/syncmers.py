@@ -13,6 +13,8 @@ character's place in UTF-8 is found by counting from the start.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,21 +91,20 @@ def anchors(docs: DataFrame) -> DataFrame:
         "doc_id", (F.col("segment").cast("long") * SEGMENT + F.col("found.at")).alias("place"), "found.anchor")
 
 
-def following(ids: DataFrame) -> DataFrame:
-    """(doc_id, next_id) for distinct, non-null ids: the next larger id, after the last the first.
+def range_starts(rows: DataFrame) -> list[int]:
+    """First ids of ranges of about equally many rows; one number per shuffle partition."""
+    dealt = rows.select("doc_id").repartitionByRange("doc_id").withColumn("range", F.spark_partition_id())
+    firsts = dealt.groupBy("range").agg(F.min("doc_id").alias("first")).collect()
+    return sorted({r["first"] for r in firsts})
 
-    Ids are dealt into ranges, so no window holds the table; the ranges' first ids make a small one.
-    """
-    ranges = stored(
-        ids.select("doc_id").repartitionByRange("doc_id").withColumn("range", F.spark_partition_id()), "ids")
-    firsts = ranges.groupBy("range").agg(F.min("doc_id").alias("first"))
-    in_order = Window.orderBy("range")
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = firsts.select(
-        "range", F.coalesce(F.lead("first").over(in_order), F.first("first").over(whole)).alias("after"))
-    inside = F.lead("doc_id").over(Window.partitionBy("range").orderBy("doc_id"))
-    return ranges.withColumn("inside", inside).join(firsts, "range").select(
-        "doc_id", F.coalesce("inside", "after").alias("next_id"))
+
+def block_of(doc_id: Column, starts: list[int]) -> Column:
+    """Number of the range an id lies in, found in two steps over the starts."""
+    step = max(1, math.isqrt(len(starts)))
+    coarse, fine = F.array(*map(F.lit, starts[::step])), F.array(*map(F.lit, starts))
+    part = F.size(F.filter(coarse, lambda s: s <= doc_id)) - 1
+    inside = F.filter(F.slice(fine, part * step + 1, step), lambda s: s <= doc_id)
+    return part * step + F.size(inside) - 1
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -113,43 +114,47 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     as many, or all, of the next document in ascending doc_id order. Returns doc_id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Texts without an
     anchor have the hash of the whole text as their only one; null and empty texts have an empty
-    fingerprint. Of rows that repeat a doc_id, that with the smallest text hash stands for the
-    document as a neighbour; a row without doc_id has an empty neighbour. Other columns are
-    ignored. An empty table gives an empty result.
+    fingerprint. Rows that repeat a doc_id follow one another by their text's hash; a row without
+    doc_id has no place in the order and an empty neighbour. Other columns are ignored. An empty
+    table gives an empty result.
     """
     every = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("tie", F.xxhash64("text"))
     rows = every.filter("doc_id IS NOT NULL")
-    lengths = stored(rows.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("longest")), "lengths")
-    chain = stored(following(lengths).join(lengths, "doc_id"), "chain")
-
-    # Both uses of the texts are dealt by doc_id in the same form, so they are shuffled once.
-    first = F.lag("tie").over(Window.partitionBy("doc_id").orderBy("tie")).isNull()
-    single = rows.withColumn("first", first).filter("first").select(F.col("doc_id").alias("of"), "text")
-    heads = chain.join(single, chain.next_id == single.of).select(
-        F.col("doc_id").alias("at"), "next_id",
-        F.expr("substring(text, 1, cast(floor(longest / 4) as int))").alias("head"))
-    placed = rows.join(heads, rows.doc_id == heads["at"]).select("doc_id", "text", "tie", "next_id", "head")
-    alone = every.filter("doc_id IS NULL").select(
-        "doc_id", "text", "tie", F.lit(None).cast("long").alias("next_id"), F.lit("").alias("head"))
-    # Apart, so that the rows in order keep the places they are dealt to.
-    per_row = stored(_both_fingerprints(placed).union(_both_fingerprints(alone)), "fingerprints")
-    neighbours = per_row.filter("doc_id IS NOT NULL").select("doc_id", "tie", "own").withColumn(
-        "first", first).filter("first").select(F.col("doc_id").alias("of"), F.col("own").alias("next_own"))
-    return per_row.join(neighbours, per_row.next_id == neighbours.of, "left").select(
+    alone = _both_fingerprints(every.filter("doc_id IS NULL").select(
+        F.lit(0).alias("block"), F.lit(False).alias("copy"), "doc_id", "tie", "text", F.lit("").alias("following")))
+    starts = range_starts(rows)
+    if not starts:
+        per_row = stored(alone, "fingerprints")
+    else:
+        # A block ends in a copy of the next one's first row, so a window over a block sees
+        # all neighbours and texts are shuffled once.
+        block = block_of(F.col("doc_id"), starts)
+        least = F.row_number().over(Window.partitionBy("doc_id").orderBy("tie"))
+        ends = rows.filter(F.col("doc_id").isin(starts)).withColumn("least", least).filter("least = 1").select(
+            F.pmod(block - 1, F.lit(len(starts))).alias("block"), F.lit(True).alias("copy"), "doc_id", "tie", "text")
+        blocked = rows.select(block.alias("block"), F.lit(False).alias("copy"), "doc_id", "tie", "text").union(ends)
+        next_text = F.lead("text").over(Window.partitionBy("block").orderBy("copy", "doc_id", "tie"))
+        in_order = blocked.withColumn("following", F.coalesce(next_text, F.lit("")))
+        per_row = stored(_both_fingerprints(in_order).union(alone), "fingerprints")
+    by_block = Window.partitionBy("block").orderBy("copy", "doc_id", "tie")
+    own = F.lead("own").over(by_block)
+    nothing = F.array().cast("array<int>")
+    paired = per_row.withColumn("next_own", F.when(F.col("doc_id").isNotNull(), own)).filter("NOT copy")
+    return paired.select(
         "doc_id", "n_chars", "edited_sha256", shown(F.col("own")).alias("fingerprint"),
         shown(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.coalesce("next_own", F.array().cast("array<int>"))).alias("near_next"))
+        likeness(F.col("own"), F.coalesce("next_own", nothing)).alias("near_next"))
 
 
 def _both_fingerprints(rows: DataFrame) -> DataFrame:
-    """For rows (doc_id, text, tie, next_id, head): the hashes of the text and of the edited text."""
+    """For rows (block, copy, doc_id, tie, text, following): hashes of the text and of the edited text."""
     joined = (
         rows.withColumn("n_chars", F.char_length("text"))
         .withColumn("cut", (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
-        .withColumn("new", F.coalesce(F.expr("substring(head, 1, n_chars - cut)"), F.lit("")))
+        .withColumn("new", F.coalesce(F.expr("substring(following, 1, n_chars - cut)"), F.lit("")))
         .withColumn("edited", F.concat(F.expr("substring(text, 1, cut)"), "new")))
     # Anchors are free of context, so both texts share those that lie in what they share.
     seam = F.expr(f"greatest(cut - {K - 1}, 0)").cast("int")
@@ -160,7 +165,7 @@ def _both_fingerprints(rows: DataFrame) -> DataFrame:
                  F.substring(F.col("edited"), seam + 1, F.char_length("edited")).alias("chars")))
     # The row's number is given before its pieces part.
     numbered = joined.select(
-        "doc_id", "tie", F.monotonically_increasing_id().alias("row"), "next_id",
+        "block", "copy", "doc_id", "tie", F.monotonically_increasing_id().alias("row"),
         F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.hash("text").alias("whole"), (F.char_length("edited") > 0).alias("some"),
         F.hash("edited").alias("edited_whole"),
@@ -169,8 +174,8 @@ def _both_fingerprints(rows: DataFrame) -> DataFrame:
     cut = numbered.withColumn("piece", F.explode("pieces")).drop("pieces")
     found = cut.withColumn(
         "hashes", smallest(closed_syncmers(F.col("piece.chars"), lambda kmer, at: F.hash(kmer))))
-    per_row = found.groupBy("doc_id", "tie", "row").agg(
-        *[F.first(c).alias(c) for c in ("next_id", "n_chars", "edited_sha256", "whole", "some", "edited_whole")],
+    per_row = found.groupBy("block", "copy", "doc_id", "tie", "row").agg(
+        *[F.first(c).alias(c) for c in ("n_chars", "edited_sha256", "whole", "some", "edited_whole")],
         smallest(F.flatten(F.collect_list(F.when(F.col("piece.kind") != 2, F.col("hashes"))))).alias("own"),
         smallest(F.flatten(F.collect_list(F.when(F.col("piece.kind") != 1, F.col("hashes"))))).alias("changed"))
 
@@ -178,5 +183,5 @@ def _both_fingerprints(rows: DataFrame) -> DataFrame:
         return F.when((F.size(hashes) == 0) & there, F.array(alone)).otherwise(F.col(hashes)).alias(hashes)
 
     return per_row.select(
-        "doc_id", "tie", "next_id", "n_chars", "edited_sha256", filled("own", "whole", F.col("n_chars") > 0),
+        "block", "copy", "doc_id", "tie", "n_chars", "edited_sha256", filled("own", "whole", F.col("n_chars") > 0),
         filled("changed", "edited_whole", F.col("some")))

@@ -72,7 +72,7 @@ def test_odd_rows(spark):
     rows = [(1, "one text that is long enough to have anchors " * 3), (1, "another one"), (None, "no id, no neighbour"), (2, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = syncmers.fingerprints(docs).collect()
-    assert len(got) == 4
+    assert len(got) == 4 and sorted(r.n_chars for r in got) == [0, 11, 19, 135]
     alone = next(r for r in got if r.doc_id is None)
     assert alone.near_next == 0.0 and alone.edited_sha256 == hashlib.sha256(b"no id, no neigh").hexdigest()
     only = syncmers.fingerprints(docs.filter("doc_id = 2")).collect()
