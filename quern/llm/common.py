@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -51,6 +52,18 @@ def running_total(df: DataFrame, group: list[str], bucket: str, order: list[str]
     return joined.withColumn(out, F.col("__before") + inside).drop("__before")
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Jobs run inside send at most ``rows`` rows to Python at once; for rows of many kilobytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: computed once, safe to lose tasks."""
     path = fresh_path(df.sparkSession, name)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.near_duplicates import mixed
+from quern.llm.words import pieces
 
 Q = 12
 WINDOW = 96
@@ -214,19 +215,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark text; all columns stay."""
     for index in indexes(benchmark):
-        docs = docs.filter(_clean(docs.sparkSession.sparkContext.broadcast(index))("text"))
+        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index)), docs.schema)
     return docs
 
 
 def _clean(shared):
-    @F.pandas_udf("boolean")
-    def clean(column):
-        import pandas as pd
-
-        texts = [normal(t) for t in column]
-        keep = np.ones(len(texts), bool)
-        for begin, group in in_groups(texts):
-            keep[[begin + hit[0] for hit in find(group, shared.value)]] = False
-        return pd.Series(keep)
+    """A function that keeps the rows without text of one block of items."""
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in (p for b in batches for p in pieces(b)):
+            texts = [normal(t.as_py()) for t in piece["text"]]
+            keep = np.ones(len(texts), bool)
+            for begin, group in in_groups(texts):
+                keep[[begin + hit[0] for hit in find(group, shared.value)]] = False
+            yield piece.filter(pa.array(keep))
 
     return clean

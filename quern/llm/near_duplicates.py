@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import stored
+from quern.llm.common import arrow_rows, stored
 from quern.llm.graph import components
 from quern.llm.words import pieces, split_words
 
@@ -34,8 +34,10 @@ SHINGLE = 5
 SIMILAR = 75
 #: Rounds in which a hub of each bucket is compared with its members, before the rest is tiled.
 HUB_ROUNDS = 2
+#: Pairs of sets that Python compares at once.
+PAIRS_AT_ONCE = 500
 #: Shingle hashes that one block of a tile holds, in bytes.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -196,7 +198,9 @@ def linked_components(members: DataFrame, sets: DataFrame, similar: int = SIMILA
             (F.col("hub.component") != F.col("component"))
             & (100 * F.least("hub.n", "n") >= similar * F.greatest("hub.n", "n"))
         ).select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-        labels, links = _merged(labels, links, stored(confirmed(pairs, sets, similar), "confirmed"))
+        with arrow_rows(members.sparkSession, PAIRS_AT_ONCE):
+            found = stored(confirmed(pairs, sets, similar), "confirmed")
+        labels, links = _merged(labels, links, found)
         members = rows.filter("id != hub.id").select("key", "id", "n")
     # With its hubs settled, a bucket is done if the other members are one component.
     rows = stored(_open_rows(members, labels), "open-buckets")

@@ -238,19 +238,9 @@ def fit_field(docs: DataFrame, labels: DataFrame) -> Field | None:
     return fit(with_neighbours(own, counts), counts, labels_of)
 
 
-def score_column(field: Field | None):
-    """A column function from text to score; without a fitted field every text scores 1."""
-
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string(), from_pandas=True)], names=["text"])
-        if field is None:
-            return pd.Series(np.ones(len(texts)))
-        return pd.Series(np.concatenate([np.empty(0), *[field.score(p["text"]) for p in pieces(batch)]]))
-
-    return score
+def _scored(piece: pa.RecordBatch, field: Field | None) -> np.ndarray:
+    """Scores of a piece's texts; without a fitted field every text scores 1."""
+    return np.ones(piece.num_rows) if field is None else field.score(piece["text"])
 
 
 def quality(docs: DataFrame, labels: DataFrame, good_from: float = GOOD_FROM) -> DataFrame:
@@ -261,12 +251,25 @@ def quality(docs: DataFrame, labels: DataFrame, good_from: float = GOOD_FROM) ->
     looked at. An empty table gives an empty result.
     """
     field = fit_field(docs, labels)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in (p for b in batches for p in pieces(b)):
+            yield pa.RecordBatch.from_arrays(
+                [piece["doc_id"], piece["held_out"], pa.array(_scored(piece, field))],
+                names=["doc_id", "held_out", "score"])
+
     rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id")) == 0).alias("held_out"),
-        score_column(field)("text").alias("score"))
+        F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id")) == 0).alias("held_out"), "text",
+    ).mapInArrow(score, "doc_id long, held_out boolean, score double")
     return rows.withColumn("predicted", (F.col("score") >= good_from).cast("int"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, good_from: float = GOOD_FROM) -> DataFrame:
     """The rows of ``docs`` that are predicted to be good; all columns stay."""
-    return docs.filter(score_column(fit_field(docs, labels))("text") >= good_from)
+    field = fit_field(docs, labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in (p for b in batches for p in pieces(b)):
+            yield piece.filter(pa.array(_scored(piece, field) >= good_from))
+
+    return docs.mapInArrow(keep, docs.schema)

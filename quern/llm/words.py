@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text looked at together, in bytes; bounds what a task holds beside its batch.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
