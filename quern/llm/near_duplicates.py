@@ -34,7 +34,8 @@ SHINGLE = 5
 SIMILAR = 75
 #: Rounds in which a hub of each bucket is compared with its members, before the rest is tiled.
 HUB_ROUNDS = 2
-#: Pairs of sets that Python compares at once.
+#: Documents, and pairs of sets, that are sent to Python at once.
+DOCUMENTS_AT_ONCE = 1000
 PAIRS_AT_ONCE = 500
 #: Shingle hashes that one block of a tile holds, in bytes.
 BLOCK_BYTES = 4 << 20
@@ -278,7 +279,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMI
     links of all their texts. A row without doc_id is kept, its component is null. Other columns
     of ``docs`` are ignored. An empty table gives an empty result.
     """
-    signed = stored(signatures(docs, shingle), "signatures")
+    with arrow_rows(docs.sparkSession, DOCUMENTS_AT_ONCE):
+        signed = stored(signatures(docs, shingle), "signatures")
     firsts = signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"))
     named = signed.join(firsts, "digest", "left").select(
         "doc_id", "n", "bands", F.coalesce("first", "doc_id").alias("first"))
@@ -287,7 +289,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMI
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("key")
     members = stored(
         banded.join(shared, "key", "left_semi").select("key", F.col("doc_id").alias("id"), "n"), "members")
-    sets = stored(shingle_sets(docs, members.select("id").distinct(), shingle), "sets")
+    with arrow_rows(docs.sparkSession, DOCUMENTS_AT_ONCE):
+        sets = stored(shingle_sets(docs, members.select("id").distinct(), shingle), "sets")
     labels = linked_components(members, sets, similar)
     if labels is None:
         named = named.withColumn("component_id", F.col("first"))
