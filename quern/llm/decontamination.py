@@ -1,7 +1,7 @@
 """Benchmark passages inside documents, by the q-gram lemma and banded alignment.
 
-Texts are compared as words lower-cased (A-Z) with one space between. Every benchmark item is cut
-into overlapping windows. A window of n bytes that occurs with at most e edits shares at least
+Texts are compared as words without case (of all letters, after Unicode's canonical caseless matching)
+with one space between. Every benchmark item is cut into overlapping windows. A window of n bytes that occurs with at most e edits shares at least
 ``n - Q + 1 - Q * e`` of its q-grams with the document, all on diagonals that differ by at most e. So
 shared q-grams are counted in bands of ``2 * (e + 1)`` diagonals that overlap by half, which put any such
 run wholly into one band; bands below the bound cannot hold the window and are dropped. What is
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,11 @@ FILTER_BITS = 21
 
 
 def normal(text: str | None) -> bytes:
-    return b" ".join(text.encode().lower().split()) if text else b""
+    if not text:
+        return b""
+    if not text.isascii():
+        text = normalize("NFC", normalize("NFD", text).casefold())
+    return b" ".join(text.encode().lower().split())
 
 
 def qgrams(data: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Benchmark passages against a search of every window in every document."""
 
 import random
+import unicodedata
 
 import numpy as np
 
@@ -90,3 +91,13 @@ def test_qgram_codes_tell_grams_apart():
     codes = dec.qgrams(np.frombuffer(data, np.uint8))
     grams = [data[i : i + dec.Q] for i in range(len(data) - dec.Q + 1)]
     assert len(codes) == len(grams) and len(set(codes.tolist())) == len(set(grams))
+
+
+def test_case_of_all_letters_is_folded(spark):
+    item = "Élève à l'école où la forêt brûlée règne : déjà près du chêne, l'été créa çà et là des lièvres gênés, straße"
+    forms = [item.upper(), unicodedata.normalize("NFD", item.upper()), item.title(), item]
+    docs = spark.createDataFrame([(i, f"x1 y2 {t} z3") for i, t in enumerate(forms)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, item.upper())], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.edits) for r in dec.contamination(docs, bench).collect())
+    assert got == [(d, i, 0) for d in range(4) for i in (7, 8)]
+    assert dec.without_contamination(docs, bench).count() == 0
