@@ -27,6 +27,9 @@ INNER = K - S + 1
 KEPT = 96
 BLOCK = 64
 SEGMENT = 1 << 15
+#: Text of neighbouring documents that one task puts in order together, and parts it is measured in.
+RANGE_BYTES = 16 << 20
+RANGE_PARTS = 4
 
 
 def segments(text: Column) -> Column:
@@ -92,10 +95,27 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def range_starts(rows: DataFrame) -> list[int]:
-    """First ids of ranges of about equally many rows; one number per shuffle partition."""
-    dealt = rows.select("doc_id").repartitionByRange("doc_id").withColumn("range", F.spark_partition_id())
-    firsts = dealt.groupBy("range").agg(F.min("doc_id").alias("first")).collect()
-    return sorted({r["first"] for r in firsts})
+    """First ids of ranges that hold about ``RANGE_BYTES`` of text each, or one id with more.
+
+    The number of narrow ranges follows from the measured bytes; a given number is not merged by
+    adaptive execution. An id counts once and once more for each mean length in its text, so a range
+    of long texts holds at most twice the mean bytes. Neighbouring ranges are joined up to the size.
+    """
+    sizes = stored(rows.select("doc_id", F.octet_length("text").cast("long").alias("bytes")), "text-sizes")
+    count, total = sizes.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    parts = max(1, -(-total * RANGE_PARTS // RANGE_BYTES))
+    times = F.floor(F.col("bytes") / (max(total, 1) / max(count, 1))).cast("int")
+    weighed = sizes.select("doc_id", "bytes", F.explode(F.sequence(F.lit(0), times)).alias("time"))
+    dealt = weighed.repartitionByRange(parts, "doc_id").withColumn("range", F.spark_partition_id())
+    firsts = dealt.groupBy("range").agg(
+        F.min("doc_id").alias("first"), F.sum(F.when(F.col("time") == 0, F.col("bytes")).otherwise(0)).alias("bytes")).collect()
+    starts, held = [], 0
+    for first, size in sorted((r["first"], r["bytes"]) for r in firsts):
+        if not starts or held + size > RANGE_BYTES:
+            starts.append(first)
+            held = 0
+        held += size
+    return starts
 
 
 def block_of(doc_id: Column, starts: list[int]) -> Column:

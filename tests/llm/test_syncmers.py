@@ -78,3 +78,14 @@ def test_odd_rows(spark):
     only = syncmers.fingerprints(docs.filter("doc_id = 2")).collect()
     assert [(r.near_edited, r.near_next, r.fingerprint) for r in only] == [(1.0, 1.0, "")]
     assert syncmers.fingerprints(docs.filter("false")).count() == 0
+
+
+def test_ranges_follow_the_bytes_of_text(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "RANGE_BYTES", 20_000)
+    sizes = [100] * 3000 + [5000] * 100
+    docs = spark.createDataFrame([(i, "x" * n) for i, n in enumerate(sizes)], "doc_id long, text string")
+    starts = syncmers.range_starts(docs)
+    assert starts[0] == 0 and starts == sorted(set(starts))
+    held = [sum(sizes[a:b]) for a, b in zip(starts, [*starts[1:], len(sizes)])]
+    assert 40 <= len(held) <= 160 and max(held) <= 30_000
+    assert syncmers.range_starts(docs.filter("doc_id < 0")) == []
