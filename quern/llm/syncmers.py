@@ -3,9 +3,8 @@
 A k-mer (``K`` characters) is a closed syncmer if the smallest hash among its inner substrings of
 ``S`` characters lies at its first or last place. The choice depends on the k-mer alone, so equal
 passages give equal anchors wherever they stand, and any ``2K - S - 1`` characters hold one. A
-fingerprint is the ``KEPT`` smallest distinct hashes of all anchors of the whole text; likeness
-is the Jaccard similarity read from the smallest hashes of the union, exact for texts with up to
-``KEPT`` anchors.
+fingerprint is the ``KEPT`` smallest distinct hashes of all anchors of the whole text. Likeness is
+the Jaccard similarity of all anchors, or else that read from a number of smallest hashes.
 
 Texts are cut to segments and these to blocks before positions are looked at, because a
 character's place in UTF-8 is found by counting from the start.
@@ -66,15 +65,29 @@ def closed_syncmers(segment: Column, keep) -> Column:
     return F.when(F.char_length(segment) >= K, found)
 
 
-def smallest(hashes: Column) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, KEPT)
+def smallest(hashes: Column, kept: int = KEPT) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, kept)
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """0 to 1; two empty fingerprints are alike, an empty one is unlike any other."""
-    union = smallest(F.concat(a, b))
-    both = F.size(F.array_intersect(F.array_intersect(a, b), union))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+def likeness(a: Column, b: Column, kept: int | None = None) -> Column:
+    """0 to 1 from all hashes, or from the ``kept`` smallest of the union of as many each.
+
+    Two empty sets are alike, an empty one is unlike any other. The hashes of a set are distinct.
+    """
+    if kept is None:
+        both = F.size(F.array_intersect(a, b))
+        union = F.size(a) + F.size(b) - both
+    else:
+        all_kept = smallest(F.concat(a, b), kept)
+        both, union = F.size(F.array_intersect(F.array_intersect(a, b), all_kept)), F.size(all_kept)
+    return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
+
+
+def anchor_hashes(text: Column) -> Column:
+    """Hashes of all anchors of a text, with repeats."""
+    nothing = F.array().cast("array<int>")
+    return F.flatten(F.transform(
+        segments(text), lambda c: F.coalesce(closed_syncmers(c, lambda kmer, at: F.hash(kmer)), nothing)))
 
 
 def shown(hashes: Column) -> Column:
@@ -127,12 +140,13 @@ def block_of(doc_id: Column, starts: list[int]) -> Column:
     return part * step + F.size(inside) - 1
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, compared: int | None = KEPT) -> DataFrame:
     """Fingerprints of each whole text and of its edited text, and their likeness.
 
     The edited text has the last quarter (floor of n_chars / 4 code points) replaced by the first
     as many, or all, of the next document in ascending doc_id order. Returns doc_id, n_chars,
-    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Texts without an
+    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. The likeness is that of the
+    ``compared`` smallest anchors, or exactly that of all anchors if this is None. Texts without an
     anchor have the hash of the whole text as their only one; null and empty texts have an empty
     fingerprint. Rows that repeat a doc_id follow one another by their text's hash; a row without
     doc_id has no place in the order and an empty neighbour. Other columns are ignored. An empty
@@ -142,35 +156,32 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("tie", F.xxhash64("text"))
     rows = every.filter("doc_id IS NOT NULL")
+    nothing = F.array().cast("array<int>")
     alone = _both_fingerprints(every.filter("doc_id IS NULL").select(
-        F.lit(0).alias("block"), F.lit(False).alias("copy"), "doc_id", "tie", "text", F.lit("").alias("following")))
+        F.lit(0).alias("block"), F.lit(False).alias("copy"), "doc_id", "tie", "text", F.lit("").alias("following")),
+        compared).withColumn("next_own", nothing)
     starts = range_starts(rows)
-    if not starts:
-        per_row = stored(alone, "fingerprints")
-    else:
+    paired = alone
+    if starts:
         # A block ends in a copy of the next one's first row, so a window over a block sees
-        # all neighbours and texts are shuffled once.
+        # all neighbours and texts are shuffled once. Anchors of the next row come from a second
+        # window in the same order, which needs no shuffle.
         block = block_of(F.col("doc_id"), starts)
         least = F.row_number().over(Window.partitionBy("doc_id").orderBy("tie"))
         ends = rows.filter(F.col("doc_id").isin(starts)).withColumn("least", least).filter("least = 1").select(
             F.pmod(block - 1, F.lit(len(starts))).alias("block"), F.lit(True).alias("copy"), "doc_id", "tie", "text")
         blocked = rows.select(block.alias("block"), F.lit(False).alias("copy"), "doc_id", "tie", "text").union(ends)
-        next_text = F.lead("text").over(Window.partitionBy("block").orderBy("copy", "doc_id", "tie"))
-        in_order = blocked.withColumn("following", F.coalesce(next_text, F.lit("")))
-        per_row = stored(_both_fingerprints(in_order).union(alone), "fingerprints")
-    by_block = Window.partitionBy("block").orderBy("copy", "doc_id", "tie")
-    own = F.lead("own").over(by_block)
-    nothing = F.array().cast("array<int>")
-    paired = per_row.withColumn("next_own", F.when(F.col("doc_id").isNotNull(), own)).filter("NOT copy")
+        by_block = Window.partitionBy("block").orderBy("copy", "doc_id", "tie")
+        in_order = blocked.withColumn("following", F.coalesce(F.lead("text").over(by_block), F.lit("")))
+        per_row = _both_fingerprints(in_order, compared).withColumn("next_own", F.lead("own").over(by_block))
+        paired = per_row.filter("NOT copy").union(alone)
     return paired.select(
-        "doc_id", "n_chars", "edited_sha256", shown(F.col("own")).alias("fingerprint"),
-        shown(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        likeness(F.col("own"), F.coalesce("next_own", nothing)).alias("near_next"))
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+        likeness(F.col("own"), F.coalesce("next_own", nothing), compared).alias("near_next"))
 
 
-def _both_fingerprints(rows: DataFrame) -> DataFrame:
-    """For rows (block, copy, doc_id, tie, text, following): hashes of the text and of the edited text."""
+def _both_fingerprints(rows: DataFrame, compared: int | None) -> DataFrame:
+    """For rows (block, copy, doc_id, tie, text, following): what is told of a row, and its ``own`` anchors."""
     joined = (
         rows.withColumn("n_chars", F.char_length("text"))
         .withColumn("cut", (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
@@ -178,30 +189,26 @@ def _both_fingerprints(rows: DataFrame) -> DataFrame:
         .withColumn("edited", F.concat(F.expr("substring(text, 1, cut)"), "new")))
     # Anchors are free of context, so both texts share those that lie in what they share.
     seam = F.expr(f"greatest(cut - {K - 1}, 0)").cast("int")
-    pieces = F.array(
-        F.struct(F.lit(0).alias("kind"), F.expr("substring(text, 1, cut)").alias("chars")),
-        F.struct(F.lit(1).alias("kind"), F.substring(F.col("text"), seam + 1, F.col("n_chars")).alias("chars")),
-        F.struct(F.lit(2).alias("kind"),
-                 F.substring(F.col("edited"), seam + 1, F.char_length("edited")).alias("chars")))
-    # The row's number is given before its pieces part.
-    numbered = joined.select(
-        "block", "copy", "doc_id", "tie", F.monotonically_increasing_id().alias("row"),
-        F.col("n_chars").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.hash("text").alias("whole"), (F.char_length("edited") > 0).alias("some"),
-        F.hash("edited").alias("edited_whole"),
-        F.flatten(F.transform(pieces, lambda p: F.transform(
-            segments(p["chars"]), lambda c: F.struct(p["kind"].alias("kind"), c.alias("chars"))))).alias("pieces"))
-    cut = numbered.withColumn("piece", F.explode("pieces")).drop("pieces")
-    found = cut.withColumn(
-        "hashes", smallest(closed_syncmers(F.col("piece.chars"), lambda kmer, at: F.hash(kmer))))
-    per_row = found.groupBy("block", "copy", "doc_id", "tie", "row").agg(
-        *[F.first(c).alias(c) for c in ("n_chars", "edited_sha256", "whole", "some", "edited_whole")],
-        smallest(F.flatten(F.collect_list(F.when(F.col("piece.kind") != 2, F.col("hashes"))))).alias("own"),
-        smallest(F.flatten(F.collect_list(F.when(F.col("piece.kind") != 1, F.col("hashes"))))).alias("changed"))
-
-    def filled(hashes: str, alone: str, there: Column) -> Column:
-        return F.when((F.size(hashes) == 0) & there, F.array(alone)).otherwise(F.col(hashes)).alias(hashes)
-
-    return per_row.select(
-        "block", "copy", "doc_id", "tie", "n_chars", "edited_sha256", filled("own", "whole", F.col("n_chars") > 0),
-        filled("changed", "edited_whole", F.col("some")))
+    found = joined.select(
+        "block", "copy", "doc_id", "tie", F.col("n_chars").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.hash("text").alias("whole"), F.hash("edited").alias("edited_whole"),
+        (F.char_length("edited") > 0).alias("some"),
+        anchor_hashes(F.expr("substring(text, 1, cut)")).alias("both"),
+        anchor_hashes(F.substring(F.col("text"), seam + 1, F.col("n_chars"))).alias("tail"),
+        anchor_hashes(F.substring(F.col("edited"), seam + 1, F.char_length("edited"))).alias("new_tail"))
+
+    def of(tail: str, alone: str, there: Column) -> Column:
+        hashes = F.array_distinct(F.concat("both", tail))
+        return F.when((F.size("both") == 0) & (F.size(tail) == 0) & there, F.array(alone)).otherwise(hashes)
+
+    told = found.select(
+        "block", "copy", "doc_id", "tie", "n_chars", "edited_sha256",
+        of("tail", "whole", F.col("n_chars") > 0).alias("own"),
+        of("new_tail", "edited_whole", F.col("some")).alias("changed"))
+    if compared is not None:
+        told = told.withColumns({c: smallest(F.col(c), compared) for c in ("own", "changed")})
+    return told.select(
+        "block", "copy", "doc_id", "tie", "n_chars", "edited_sha256", shown(smallest(F.col("own"))).alias("fingerprint"),
+        shown(smallest(F.col("changed"))).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed"), compared).alias("near_edited"), "own")

@@ -3,9 +3,11 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quern.llm import syncmers
+from quern.llm.queries import QUERIES
 from quern.llm.syncmers import INNER, KEPT, K, S
 
 
@@ -89,3 +91,19 @@ def test_ranges_follow_the_bytes_of_text(spark, monkeypatch):
     held = [sum(sizes[a:b]) for a, b in zip(starts, [*starts[1:], len(sizes)])]
     assert 40 <= len(held) <= 160 and max(held) <= 30_000
     assert syncmers.range_starts(docs.filter("doc_id < 0")) == []
+
+
+def test_likeness_of_all_anchors_in_the_query(spark, tmp_path):
+    rng = random.Random(11)
+    prose = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    shared = prose(600)
+    texts = [prose(15_000) + shared + prose(15_000), prose(14_000) + shared + prose(16_000), prose(40_000) + shared]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in QUERIES["op9_syncmer_fingerprints"](spark, str(tmp_path)).collect())
+    edited = [t[: len(t) - len(t) // 4] + texts[(i + 1) % 3][: len(t) // 4] for i, t in enumerate(texts)]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setitem(globals(), "KEPT", None)
+        own, changed = plain(spark, texts), plain(spark, edited)
+        for i, row in enumerate(got):
+            assert row[5:] == (like(own[i], changed[i]), like(own[i], own[(i + 1) % 3])) and row[6] > 0
+    assert [len(r[3]) for r in got] == [8 * KEPT] * 3
