@@ -134,6 +134,30 @@ def test_neighbors_of_more_rows_than_a_block(spark, monkeypatch):
     assert got == {i: int(scores[i].argmax()) for i in range(0, 130, 2)}
 
 
+def test_neighbors_pass_no_vectors_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(search, "QUERIES_PER_PASS", 25)
+    vectors = np.random.default_rng(6).normal(size=(120, 5))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
+    sent = []
+    collect = type(rows).collect
+
+    def watched(self):
+        sent.extend(f.name for f in self.schema if f.dataType.typeName() == "array")
+        return collect(self)
+
+    monkeypatch.setattr(type(rows), "collect", watched)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append("broadcast"))
+    found = search.neighbors_of(rows, "id", "v", 3)
+    monkeypatch.undo()
+    assert not sent
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    scores = unit @ unit.T
+    np.fill_diagonal(scores, -2)
+    got = {(r["query_id"], r["id"]) for r in found.collect()}
+    assert got == {(i, int(j)) for i in range(120) for j in np.argsort(-scores[i])[:3]}
+    assert search.neighbors_of(rows, "id", "v", 3, "id < 0").count() == 0
+
+
 def test_duplicate_backfill_keeps_old_flags_unless_overwritten(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "dups"))
     rows = spark.createDataFrame([(1, 7), (2, -1)], "id bigint, bits bigint")
