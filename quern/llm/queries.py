@@ -10,6 +10,7 @@ from quern.llm import (
     balancing,
     chunks,
     decontamination,
+    filter_audit,
     lengths,
     near_duplicates,
     personal_data,
@@ -110,3 +111,46 @@ def op9_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(documents(spark, sf_dir))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lab AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+flags AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(words.doc_id > min(words.doc_id) OVER (PARTITION BY t), false)::INT AS bits
+  FROM words LEFT JOIN lab ON lab.doc_id = words.doc_id),
+cells AS (SELECT part, bits, count(*) AS n, sum(good) AS g, sum(toxic) AS x FROM flags GROUP BY 1, 2),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS b),
+orders(filter_order, used, step, f, b, before) AS (
+  SELECT f, b, 1, f, b, 0 FROM letters
+  UNION ALL
+  SELECT o.filter_order || l.f, o.used | l.b, o.step + 1, l.f, l.b, o.used FROM orders o JOIN letters l ON o.used & l.b = 0),
+full_orders AS (
+  SELECT p.filter_order, o.step, o.f, o.b, o.before FROM orders o
+  JOIN (SELECT filter_order FROM orders WHERE step = 5) p ON p.filter_order[:o.step] = o.filter_order),
+parts AS (SELECT DISTINCT part FROM cells),
+steps AS (
+  SELECT p.part, o.filter_order, o.step, o.f, o.b,
+    sum(CASE WHEN bits & (before | b) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN bits & before = 0 AND bits & b > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN bits & before > 0 AND bits & b > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN bits = b THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN bits & before = 0 AND bits & b > 0 THEN g ELSE 0 END) AS good_lost,
+    sum(CASE WHEN bits & before = 0 AND bits & b > 0 THEN x ELSE 0 END) AS toxic_lost
+  FROM parts p JOIN cells c USING (part) CROSS JOIN full_orders o GROUP BY 1, 2, 3, 4, 5)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM steps
+"""
