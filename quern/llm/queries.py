@@ -10,6 +10,7 @@ from quern.llm import (
     balancing,
     chunks,
     decontamination,
+    divergence,
     filter_audit,
     lengths,
     near_duplicates,
@@ -113,6 +114,43 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(documents(spark, sf_dir))
 
 
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
+
+
+ORACLES["op12_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+tokens AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS cl FROM tokens GROUP BY 1, 2 HAVING count(DISTINCT d) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS c FROM tokens JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+langs AS (SELECT lang, count(*) AS v, sum(cl) AS n FROM kept GROUP BY 1),
+sizes AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM groups g LEFT JOIN counts USING (lang, source) GROUP BY 1, 2),
+freq AS (
+  SELECT s.lang, s.source, k.term, coalesce(c, 0) AS c,
+    1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (s.n + 5 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (k.cl + 5)) // (l.n + 5 * l.v) AS q
+  FROM sizes s JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN counts x ON x.lang = s.lang AND x.source = s.source AND x.term = k.term),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM freq a JOIN freq b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM freq WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
