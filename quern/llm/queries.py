@@ -19,6 +19,7 @@ from quern.llm import (
     scoring,
     syncmers,
     token_files,
+    vector_graph,
 )
 from quern.llm.common import documents, table
 
@@ -114,6 +115,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data(documents(spark, sf_dir))
 
 
+@query
+def op11_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.vector_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(documents(spark, sf_dir))
