@@ -3,9 +3,12 @@
 Patterns find e-mail addresses, network addresses, card and phone numbers; a match that fails its
 check is dropped and not tried again. Generators then propose far more spans: every run of digit
 groups is cut at all group borders, so a number that a pattern swallowed with its neighbour is
-among them. Boosted trees judge a candidate by its format and by what stands beside it. They learn
-from candidates where the patterns gave a clear answer; a calibrated threshold, set on documents
-that were not learned from, selects spans to add. Spans of the patterns always stay.
+among them. Boosted trees judge a candidate by its format and by the characters and words beside
+it. They learn from candidates with a clear answer (see ``label``); a calibrated threshold, set on
+documents that were not learned from, selects spans to add. Spans of the patterns always stay.
+
+The texts are scanned twice, once for what the trees learn and once to decide; no candidate is kept
+in between. All patterns start where a match can start, so a scan is linear in the text's length.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +28,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.boosting import BoostedTrees, platt
 from quern.llm.common import fold, stored
+from quern.llm.words import pieces
 
 #: Kinds in the order of equal starts.
 KINDS = ("email", "ip", "card", "phone")
@@ -30,15 +36,18 @@ EMAIL, IP, CARD, PHONE = range(4)
 
 LOCAL_PART = re.compile(r"[A-Za-z0-9._%+-]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP_MATCH = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD_MATCH = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE_MATCH = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 RUN = re.compile(r"[0-9]+(?:[\x20().-]{1,3}[0-9]+)*")
 GROUP = re.compile(r"[0-9]+")
-LOOSE_EMAIL = re.compile(r"[^\s@]+@[^\s@]+")
-
-FEATURES = 20
+TOKEN = re.compile(r"\S+")
+#: What is looked at on either side of a candidate for words, in characters.
+BESIDE = 24
+WORD_BUCKETS = 16
+#: Candidates judged together.
+JUDGED = 4096
 #: Candidates the trees learn from and are calibrated on, at most about.
 SAMPLE = 60_000
 #: Precision the threshold must reach on documents that were not learned from.
@@ -73,15 +82,26 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, free))
 
 
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Four numbers joined by dots, leftmost first; a longer run of numbers is cut into fours."""
+    for m in DOTTED.finditer(text):
+        if text.count(".", *m.span()) < 3:
+            continue
+        numbers = [(m.start() + g.start(), m.start() + g.end()) for g in GROUP.finditer(m.group())]
+        for k in range(0, len(numbers) - 3, 4):
+            yield numbers[k][0], numbers[k + 3][1]
+
+
 def matches(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
     """Spans (kind, start, end) that pass their check, and the extents of those that fail."""
     found, failed = [(EMAIL, *s) for s in emails(text)], []
-    for kind, pattern in ((IP, IP_MATCH), (CARD, CARD_MATCH), (PHONE, PHONE_MATCH)):
-        for m in pattern.finditer(text):
-            if passes(kind, m.group()):
-                found.append((kind, *m.span()))
-            else:
-                failed.append(m.span())
+    spans = [(IP, *s) for s in addresses(text)]
+    spans += [(k, *m.span()) for k, p in ((CARD, CARD_MATCH), (PHONE, PHONE_MATCH)) for m in p.finditer(text)]
+    for kind, start, end in spans:
+        if passes(kind, text[start:end]):
+            found.append((kind, start, end))
+        else:
+            failed.append((start, end))
     return sorted(found, key=lambda s: (s[1], s[0])), failed
 
 
@@ -96,14 +116,19 @@ def passes(kind: int, span: str) -> bool:
 
 def candidates(text: str) -> Iterator[tuple[int, int, int, list[float]]]:
     """(kind, start, end, features) of overlapping spans that may be personal data."""
-    for m in LOOSE_EMAIL.finditer(text):
-        inner = DOMAIN.search(m.group(), m.group().index("@"))
-        end = m.start() + inner.end() if inner else m.end()
-        start = m.start()
-        at = text.index("@", start)
-        while start < at and not LOCAL_PART.match(text[start]):
-            start += 1
-        yield EMAIL, start, end, features(EMAIL, text, start, end, [])
+    for token in TOKEN.finditer(text) if "@" in text else ():
+        left = token.start()
+        at = text.find("@", left, token.end())
+        while at >= 0:
+            right = text.find("@", at + 1, token.end())
+            stop = right if right >= 0 else token.end()
+            inner = DOMAIN.search(text, at + 1, stop)
+            start, end = left, inner.end() if inner else stop
+            while start < at and not LOCAL_PART.match(text[start]):
+                start += 1
+            if start < at and end > at + 1:
+                yield EMAIL, start, end, features(EMAIL, text, start, end, [])
+            left, at = at + 1, right
     for m in RUN.finditer(text):
         groups = [(m.start() + g.start(), m.start() + g.end()) for g in GROUP.finditer(m.group())]
         for i, (start, _) in enumerate(groups):
@@ -129,20 +154,28 @@ def _beside(char: str) -> float:
     return 0.0 if not char or char.isspace() else 1.0 if char.isdigit() else 2.0 if char.isalpha() else 3.0
 
 
+def _word(text: str) -> tuple[float, float]:
+    """Bucket and length of a word beside a span; (-1, 0) if there is none."""
+    letters = "".join(c for c in text.lower() if c.isalpha())
+    return (float(crc32(letters.encode()) % WORD_BUCKETS), float(len(letters))) if letters else (-1.0, 0.0)
+
+
 def features(kind: int, text: str, start: int, end: int, groups: list[tuple[int, int]]) -> list[float]:
-    """Format of a span and what stands next to it."""
-    span = text[start:end]
+    """Format of a span, and the characters and words beside it."""
+    span = text[start : min(end, start + 256)]
     digits = "".join(text[a:b] for a, b in groups)
     sizes = [b - a for a, b in groups] or [0]
-    before, after = text[max(0, start - 3) : start], text[end : end + 3]
+    before, after = text[max(0, start - BESIDE) : start], text[end : end + BESIDE]
     return [
         float(kind), float(len(digits)), float(len(groups)), float("+" in span[:1]), float("(" in span),
         float(span.count(" ")), float(span.count("-")), float(span.count(".")), float(max(sizes)), float(min(sizes)),
         float(len(digits) > 1 and luhn(digits)),
         float(all(small(text[a:b]) for a, b in groups)),
-        _beside(before[-1:]), _beside(after[:1]), float(any(c.isdigit() for c in before)),
-        float(any(c.isdigit() for c in after)), float(sizes[0]), float(sizes[-1]),
+        _beside(before[-1:]), _beside(after[:1]), float(any(c.isdigit() for c in before[-3:])),
+        float(any(c.isdigit() for c in after[:3])), float(sizes[0]), float(sizes[-1]),
         float(DOMAIN.fullmatch(span.partition("@")[2]) is not None), float(min(end - start, 64)),
+        *_word((before.split() or [""])[-1]), *_word((after.split() or [""])[0]),
+        float(before.rstrip()[-1:] == ":"), float(crc32(digits[:2].encode()) % WORD_BUCKETS if digits else -1),
     ]
 
 
@@ -169,39 +202,62 @@ class Covered:
         self.ends.insert(k, end)
 
 
-SCANNED = ("doc_id long, base array<struct<kind:int,start:long,`end`:long>>, "
-           "proposed array<struct<kind:int,start:long,`end`:long,label:int,x:array<float>>>")
+def label(kind: int, start: int, end: int, text: str, known: set, base: Covered, dropped: Covered) -> int:
+    """What the patterns say of a candidate: 1, 0, or -1 where they leave it open.
 
+    A pattern's span is 1. Part of one, or a span that reaches over one, is 0, and so is a number
+    whose checksum, parts or count of digits no kind allows. What would pass its check is open, as
+    a pattern may have lost it to the number beside it; so is a telephone number without ``+``.
+    """
+    if (kind, start, end) in known:
+        return 1
+    span = text[start : min(end, start + 256)]
+    if base.overlaps(start, end) or (kind != EMAIL and not passes(kind, span)):
+        return 0
+    if kind == EMAIL and not DOMAIN.fullmatch(span.partition("@")[2]):
+        return 0
+    return -1 if kind == PHONE or dropped.overlaps(start, end) else 0
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """Per row: the patterns' spans, and candidates with a label: 1, 0, or -1 where none is known.
 
-    A candidate that is a pattern's span is labelled 1. One that lies in a dropped match has no
-    label, as the pattern may have taken too much. Any other is labelled 0.
-    """
+def learned_from(docs: DataFrame) -> DataFrame:
+    """(doc_id, start, end, kind, label, x) of all candidates with a label."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
-        proposal = pa.struct([*span, ("label", pa.int32()), ("x", pa.list_(pa.float32()))])
-        interesting = re.compile("[0-9@]")
+        names = ["doc_id", "start", "end", "kind", "label", "x"]
         for batch in batches:
-            bases, proposals = [], []
-            for value in batch["text"]:
-                text = value.as_py() or ""
-                base, failed, found = [], [], []
-                if interesting.search(text):
-                    base, failed = matches(text)
-                    known, dropped = set(base), Covered(failed)
-                    for kind, start, end, x in candidates(text):
-                        label = 1 if (kind, start, end) in known else -1 if dropped.overlaps(start, end) else 0
-                        found.append({"kind": kind, "start": start, "end": end, "label": label, "x": x})
-                bases.append([{"kind": k, "start": s, "end": e} for k, s, e in base])
-                proposals.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(bases, pa.list_(span)), pa.array(proposals, pa.list_(proposal))],
-                names=["doc_id", "base", "proposed"])
+            held: list[tuple] = []
+            for doc_id, text in _texts(batch):
+                base, failed = matches(text)
+                known, covered, dropped = set(base), Covered(base), Covered(failed)
+                for kind, start, end, x in candidates(text):
+                    told = label(kind, start, end, text, known, covered, dropped)
+                    if told >= 0:
+                        held.append((doc_id, start, end, kind, told, x))
+                    if len(held) >= JUDGED:
+                        yield _batch(held, names)
+                        held = []
+            if held:
+                yield _batch(held, names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, SCANNED)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(scan, "doc_id long, start long, `end` long, kind int, label int, x array<float>")
+
+
+_KINDS = {"doc_id": pa.int64(), "start": pa.int64(), "end": pa.int64(), "kind": pa.int32(), "label": pa.int32(),
+          "x": pa.list_(pa.float32())}
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[n]) for n, c in zip(names, zip(*rows))], names=names)
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str]]:
+    """Ids and texts that may hold a span."""
+    interesting = re.compile("[0-9@]")
+    for doc_id, value in zip(batch["doc_id"].to_pylist(), batch["text"]):
+        text = value.as_py() or ""
+        if interesting.search(text):
+            yield doc_id, text
 
 
 @dataclass
@@ -217,18 +273,17 @@ class Judge:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.trees.margin(x) + self.offset, -30, 30)))
 
 
-def fit_judge(scans: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Judge | None:
+def fit_judge(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> Judge | None:
     """Learns from a bounded sample of labelled candidates, drawn by hash; None without both labels.
 
     Documents whose id has remainder 0 are kept for calibration and the threshold, which is the
     lowest probability from which on the added candidates reach the precision.
     """
-    rows = scans.select(
-        "doc_id", (fold(F.col("doc_id")) == 0).alias("aside"), F.explode("proposed").alias("p")).filter("p.label >= 0")
+    rows = stored(learned_from(docs), "candidates")
     total = rows.count()
-    place = F.pmod(F.xxhash64("doc_id", "p.start", "p.end", "p.kind"), F.lit(1 << 20))
+    place = F.pmod(F.xxhash64("doc_id", "start", "end", "kind"), F.lit(1 << 20))
     drawn = rows.filter(place < int(min(1.0, sample / max(1, total)) * (1 << 20))).select(
-        "aside", "p.label", "p.x").collect()
+        (fold(F.col("doc_id")) == 0).alias("aside"), "label", "x").collect()
     if not drawn:
         return None
     x = np.array([r.x for r in drawn], np.float32)
@@ -247,7 +302,12 @@ def fit_judge(scans: DataFrame, sample: int = SAMPLE, precision: float = PRECISI
     hits = np.cumsum(y[aside][order]) / np.arange(1, len(order) + 1)
     last = np.append(p[order][1:] != p[order][:-1], True)  # ties share a threshold
     good = np.flatnonzero((hits >= precision) & last)
-    judge.threshold = max(0.5, float(p[order][good[-1]])) if len(good) else 1.1
+    if len(good):
+        # Down to the next candidate below, which would spoil the precision; never under one half.
+        below = p[order][good[-1] + 1 :]
+        judge.threshold = max(0.5, float(np.nextafter(below[0], 1)) if len(below) else 0.5)
+    else:
+        judge.threshold = 1.1
     return judge
 
 
@@ -259,24 +319,16 @@ def personal_data(docs: DataFrame, judge: Judge | None = None) -> DataFrame:
     Null and empty texts have no spans. Rows that repeat an id are judged each; a null id is kept.
     Other columns are ignored. An empty table gives an empty result.
     """
-    scans = stored(scanned(docs), "spans")
-    judge = judge or fit_judge(scans)
+    judge = judge or fit_judge(docs)
+    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             columns: dict[str, list] = {n: [] for n in names}
-            for doc_id, spans, proposed in zip(*(batch[n].to_pylist() for n in ("doc_id", "base", "proposed"))):
-                base = [(s["kind"], s["start"], s["end"]) for s in spans]
-                added, taken = [], Covered(base)
-                free = [p for p in proposed if p["label"] != 1 and not taken.overlaps(p["start"], p["end"])]
-                if judge is not None and free:
-                    likely = judge.probability(np.array([p["x"] for p in free], np.float32))
-                    for k in sorted(range(len(free)), key=lambda i: (-likely[i], free[i]["start"], free[i]["end"])):
-                        p = free[k]
-                        if likely[k] >= judge.threshold and not taken.overlaps(p["start"], p["end"]):
-                            added.append((p["kind"], p["start"], p["end"]))
-                            taken.add(p["start"], p["end"])
+            for doc_id, value in zip(batch["doc_id"].to_pylist(), batch["text"]):
+                text = value.as_py() or ""
+                base, _ = matches(text)
+                added = added_spans(text, base, judge) if judge is not None else []
                 columns["doc_id"].append(doc_id)
                 for k, kind in enumerate(KINDS):
                     columns[f"n_{kind}"].append(sum(s[0] == k for s in base))
@@ -287,10 +339,25 @@ def personal_data(docs: DataFrame, judge: Judge | None = None) -> DataFrame:
                 [pa.array(v, pa.string() if n in ("base_sha256", "spans") else pa.int64()) for n, v in columns.items()],
                 names=names)
 
-    return scans.mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         decide, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
         "spans string, n_added long")
 
 
+def added_spans(text: str, base: list[tuple[int, int, int]], judge: Judge) -> list[tuple[int, int, int]]:
+    """Candidates beside the patterns' spans that reach the threshold; the likelier of two that overlap."""
+    taken, likely = Covered(base), []
+    found = (c for c in candidates(text) if not taken.overlaps(c[1], c[2]))
+    while chunk := list(islice(found, JUDGED)):
+        p = judge.probability(np.array([c[3] for c in chunk], np.float32))
+        likely += [(-p[i], *chunk[i][:3]) for i in np.flatnonzero(p >= judge.threshold)]
+    added = []
+    for _, kind, start, end in sorted(likely, key=lambda c: (c[0], c[2], c[3])):
+        if not taken.overlaps(start, end):
+            added.append((kind, start, end))
+            taken.add(start, end)
+    return added
+
+
 def _shown(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans, key=lambda s: (s[1], s[0], s[2])))

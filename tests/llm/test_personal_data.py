@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -116,3 +117,28 @@ def test_candidates_of_many_digit_groups():
     found = {(k, text[s:e]) for text in (f"pay {card} now", f"call {phone} now")
              for k, s, e, _ in pd.candidates(text)}
     assert (pd.CARD, card) in found and (pd.PHONE, phone) in found
+
+
+def test_runs_of_one_character_pass_in_seconds():
+    for text in ("a" * 5_000_000, "7" * 5_000_000, "." * 1_000_000, "@" * 200_000, "+1 " * 200_000, "+1" + " " * 1_000_000):
+        began = time.time()
+        assert pd.matches(text)[0] == [] and sum(1 for _ in pd.candidates(text)) == 0
+        assert time.time() - began < 20
+
+
+def test_given_texts_have_both_labels_and_get_spans(spark):
+    """Swallowed numbers of the kind the tables hold are added; what the patterns found teaches them."""
+    rng = random.Random(7)
+    phone = lambda: f"+1 ({rng.randrange(1000):03}) 555-{rng.randrange(10**4):04}"
+    rows = []
+    for i in range(400):
+        words = ["und", "the", "of", card(rng), phone(), ".".join(str(rng.randrange(256)) for _ in range(4)),
+                 "".join(rng.choice("0123456789") for _ in range(16)), f"a.{i}@mail.example.com"]
+        rng.shuffle(words)
+        rows.append((i, " word ".join(words)))
+    swallowed = [(1000 + i, f"call {phone()} {rng.randrange(100, 256)}.7.8.{i} now") for i in range(30)]
+    docs = spark.createDataFrame(rows + swallowed, "doc_id long, text string")
+    labels = {r.label for r in pd.learned_from(docs).select("label").distinct().collect()}
+    assert labels == {0, 1}
+    got = [r for r in pd.personal_data(docs).collect() if r.doc_id >= 1000]
+    assert sum("phone:5:" in r.spans for r in got) >= 27
