@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from quern.llm.words import split_words
 
-#: Words one encoder remembers before it starts afresh; bounds a worker's memory.
+#: Words one encoder remembers, in two generations of half as many each; bounds a worker's memory.
 REMEMBERED_WORDS = 600_000
 
 END_PUNCTUATION = ".,;:!?"
@@ -33,10 +35,10 @@ class TextEncoder:
         self.by_word = _drops_white_space(json.loads(self.tokenizer.to_str()))
         self.remembered = remembered
         self.model = self.tokenizer.model
-        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters: dict[str, str] = {}
+        self.letters = Letters(pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False))
         self.words: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.ends: dict[str, bytes] = {}
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after one another (unsigned 32 bits), and how many each text has."""
@@ -44,13 +46,18 @@ class TextEncoder:
             found = [self.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
             return np.array([i for f in found for i in f], "<u4"), np.array([len(f) for f in found], np.int64)
         distinct, codes, words = split_words(texts)
-        known = self.words
-        new = [w for w in distinct if w not in known]
-        if len(known) + len(new) > self.remembered:
-            known.clear()
-            self.stems.clear()
-            known[""] = b""
-            new = [w for w in distinct if w]
+        if len(self.words) > self.remembered // 2:
+            # A word in use moves on to the next generation, so frequent ones are never forgotten.
+            self.older, self.words = self.words, {"": b""}
+        known, older = self.words, self.older
+        new = []
+        for word in distinct:
+            if word not in known:
+                ids = older.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    known[word] = ids
         self._learn(new)
         held = [known[w] for w in distinct]
         sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
@@ -65,31 +72,51 @@ class TextEncoder:
 
     def _learn(self, words: list[str]) -> None:
         """Remembers the ids of new words."""
+        if not words:
+            return
+        stems = pc.utf8_rtrim(pa.array(words, pa.string()), characters=END_PUNCTUATION)
+        simple = pc.and_(pc.string_is_ascii(stems), pc.ascii_is_alpha(stems)).to_pylist()
         rest = []
-        for word in words:
-            stem = word.rstrip(END_PUNCTUATION)
-            if _plain(stem):
-                end = word[len(stem):]
-                self.words[word] = self._piece(stem.lower()) + (self._piece(end) if end else b"")
-            else:
-                rest.append(word)
+        for word, stem, ascii_letters in zip(words, pc.ascii_lower(stems).to_pylist(), simple):
+            if not ascii_letters:
+                given = word[: len(stem)]
+                if not _plain(given):
+                    rest.append(word)
+                    continue
+                stem = given.lower()
+            self._remember(word, stem, len(word) - len(stem) if ascii_letters else len(word) - len(given))
         if rest:
             found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-            self.words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, found))
+            self.words.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found))
+
+    def _remember(self, word: str, stem: str, ending: int) -> None:
+        """A word whose stem and ``ending`` last characters are encoded apart."""
+        known = self.words
+        ids = known.get(stem)
+        if ids is None:
+            ids = known[stem] = self._piece(stem)
+        if ending:
+            end = word[-ending:]
+            if end not in self.ends:
+                self.ends[end] = self._piece(end)
+            ids += self.ends[end]
+        known[word] = ids
 
     def _piece(self, piece: str) -> bytes:
         """Ids of one piece that the vocabulary's own splitting would not cut further."""
-        ids = self.stems.get(piece)
-        if ids is None:
-            shown = piece if piece.isascii() else "".join(map(self._letter, piece))
-            ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            self.stems[piece] = ids
-        return ids
-
-    def _letter(self, char: str) -> str:
-        shown = self.letters.get(char)
-        if shown is None:
-            shown = self.letters[char] = self.byte_level.pre_tokenize_str(char)[0][0]
+        shown = piece if piece.isascii() else piece.translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+
+class Letters(dict):
+    """What byte-level vocabularies write for a character, by code point; filled as asked for."""
+
+    def __init__(self, byte_level):
+        super().__init__()
+        self.byte_level = byte_level
+
+    def __missing__(self, code: int) -> str:
+        self[code] = shown = self.byte_level.pre_tokenize_str(chr(code))[0][0]
         return shown
 
 

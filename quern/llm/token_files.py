@@ -33,6 +33,8 @@ from quern.llm.words import pieces
 from quern.session import fresh_path
 
 BLOCK_IDS = 1 << 17
+#: Text that is encoded together, in bytes; in larger pieces a word is looked up less often.
+ENCODED_BYTES = 8 << 20
 BLOCKS = "part int, block int, first long, width int, payload binary, doc_ids array<long>, lengths array<long>"
 SUMS = "part int, doc_id long, first long, n_tokens long, ids_crc32 long"
 
@@ -98,7 +100,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int,
         end = np.array([end_id], "<u4")
         held, ids, lengths, size, first, block = [], [], [], 0, 0, 0
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, size=ENCODED_BYTES):
                 found, counts = encode.ids(piece["text"])
                 stops = np.cumsum(counts)
                 for doc_id, count, stop in zip(piece["doc_id"].to_pylist(), counts.tolist(), stops.tolist()):
