@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from quern.functions.text import terms
 from quern.functions.vectors import l2_normalize, similarity_verdict
+from quern.operators.neighbors import id_kind, neighbors
 from quern.schema import COSINE_THRESHOLD, VERBATIM_SIMILARITY
 from quern.session import checkpointed, fresh_path
 
@@ -163,7 +164,8 @@ def nearest(
     """(query_id, id, score): exact top-k rows per query vector.
 
     Ids are whole numbers (as bigint) or else compared as text. A vector of another
-    width than the queries is an error; rows without a vector are left out. The score is the cosine similarity, or minus the squared distance for
+    width than the queries is an error; rows without a vector are left out; one of length zero
+    has the similarity 0 with any. The score is the cosine similarity, or minus the squared distance for
     ``metric="l2"``. One scan per QUERIES_PER_PASS queries: every task multiplies
     its Arrow batches with the query matrix and keeps k rows per query, so the
     shuffle carries tasks x queries x k rows whatever the table's size.
@@ -199,7 +201,8 @@ def nearest(
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             query_ids, wanted = shared.value
             if metric == "cosine":
-                wanted = wanted / np.linalg.norm(wanted, axis=1, keepdims=True)
+                lengths = np.linalg.norm(wanted, axis=1, keepdims=True)
+                wanted = wanted / np.where(lengths == 0, 1, lengths)
             best_scores = np.empty((len(query_ids), 0))
             best_ids = np.empty((len(query_ids), 0), kind)
             for batch in batches:
@@ -248,11 +251,6 @@ def nearest(
     return ranked.where(F.col("rank") <= k).drop("rank")
 
 
-def id_kind(df: DataFrame, id_col: str) -> str:
-    """Type in which ids are compared: bigint for whole numbers, else string."""
-    return "bigint" if isinstance(df.schema[id_col].dataType, T.IntegralType) else "string"
-
-
 def with_columns_of(df: DataFrame, id_col: str, hits: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """A cut list of hits with chosen columns of their rows."""
     if not columns:
@@ -312,65 +310,13 @@ def neighbors_of(
     vec_col: str,
     k: int,
     asked: str | Column | None = None,
+    within: float | None = None,
 ) -> DataFrame:
     """(query_id, id, score): the ``k`` nearest other rows of every row that is ``asked`` about.
 
-    Rows are dealt by the hash of their id to blocks of about QUERIES_PER_PASS. A tile is a block
-    of questions and a block of rows; its product is taken in a task and k rows per question are
-    kept, so no vector passes through the driver. The shuffle carries each row once per block.
+    Exact; see ``neighbors`` for how cells are ruled out and what odd vectors give.
     """
-    id_type = id_kind(df, id_col)
-    given = df.where(F.col(vec_col).isNotNull())
-    mark = F.lit(True) if asked is None else F.expr(asked) if isinstance(asked, str) else asked
-    rows = given.select(
-        F.col(id_col).cast(id_type).alias("id"), F.col(vec_col).alias("v"),
-        F.coalesce(mark, F.lit(False)).alias("asked"))
-    counts = rows.agg(
-        F.count("*").alias("rows"), F.count_if("asked").alias("asked"),
-        F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
-    schema = f"query_id {id_type}, id {id_type}, score double"
-    if not counts["asked"]:
-        return df.sparkSession.createDataFrame([], schema)
-    if counts["least"] != counts["most"]:
-        raise ValueError(f"a vector has not {counts['most']} numbers, but {counts['least']}")
-    question_blocks = -(-counts["asked"] // QUERIES_PER_PASS)
-    row_blocks = -(-counts["rows"] // QUERIES_PER_PASS)
-
-    def dealt(side: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-        # Both sides come from one table, so their columns are named anew.
-        return side.select(
-            F.col("id").alias(f"{own}_id"), F.col("v").alias(f"{own}_v"), block.alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
-
-    questions = dealt(rows.where("asked"), "i", question_blocks, "j", row_blocks)
-    candidates = dealt(rows, "j", row_blocks, "i", question_blocks)
-    kind = np.int64 if id_type == "bigint" else np.str_
-
-    def read(table: pa.Table, side: str) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(table[f"{side}_id"].to_pylist(), kind)
-        flat = table[f"{side}_v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return ids, flat.astype(np.float64).reshape(len(ids), -1)
-
-    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table([[], [], []], pa.schema([("query_id", names), ("id", names), ("score", pa.float64())]))
-        query_ids, wanted = read(left, "i")
-        ids, vectors = read(right, "j")
-        wanted = wanted / np.linalg.norm(wanted, axis=1, keepdims=True)
-        norms = np.linalg.norm(vectors, axis=1)
-        # Equal vectors may differ in the last bits of a product; ties go by id.
-        scores = np.round(wanted @ vectors.T / np.where(norms == 0, np.inf, norms), 12)
-        scores[query_ids[:, None] == ids[None, :]] = -np.inf
-        best_scores, best_ids = _best(*_candidates(scores, ids, k), k)
-        keep = np.isfinite(best_scores.ravel())
-        return pa.table({
-            "query_id": pa.array(np.repeat(query_ids, best_ids.shape[1])[keep], names),
-            "id": pa.array(best_ids.ravel()[keep], names), "score": pa.array(best_scores.ravel()[keep])})
-
-    names = pa.int64() if id_type == "bigint" else pa.string()
-    found = questions.groupBy("i", "j").cogroup(candidates.groupBy("i", "j")).applyInArrow(tile, schema)
-    by_rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return found.withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= k).drop("rank")
+    return neighbors(df, id_col, vec_col, k, asked, within)
 
 
 def near_neighbors(

@@ -12,7 +12,7 @@ from quern.functions import images as image_fn
 from quern.functions import text as text_fn
 from quern.functions.frames import Feature
 from quern.functions.inference import detector
-from quern.operators import backfill, dedup, evaluate, filters, health, search, views
+from quern.operators import backfill, dedup, evaluate, filters, health, neighbors, search, views
 from quern.schema import missing_columns
 from quern.sources import images as image_io
 from quern.sources import text as text_io
@@ -123,7 +123,7 @@ def test_vector_ids_of_any_type_and_wrong_widths(spark):
 
 
 def test_neighbors_of_more_rows_than_a_block(spark, monkeypatch):
-    monkeypatch.setattr(search, "QUERIES_PER_PASS", 40)
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 40)
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(130, 6))
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
@@ -135,7 +135,7 @@ def test_neighbors_of_more_rows_than_a_block(spark, monkeypatch):
 
 
 def test_neighbors_pass_no_vectors_through_the_driver(spark, monkeypatch):
-    monkeypatch.setattr(search, "QUERIES_PER_PASS", 25)
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 25)
     vectors = np.random.default_rng(6).normal(size=(120, 5))
     rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
     sent = []
@@ -158,6 +158,57 @@ def test_neighbors_pass_no_vectors_through_the_driver(spark, monkeypatch):
     assert search.neighbors_of(rows, "id", "v", 3, "id < 0").count() == 0
 
 
+def plain_neighbors(vectors, k):
+    length = np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = vectors / np.where(length == 0, 1, length)
+    scores = np.round(unit @ unit.T, 12)
+    np.fill_diagonal(scores, -2)
+    return {(i, int(j)) for i in range(len(vectors)) for j in np.argsort(-scores[i], kind="stable")[:k]}
+
+
+def test_neighbors_in_groups_with_copies_ties_and_zero_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(neighbors, "ASKED_AT_ONCE", 24)
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(9, 5))
+    vectors = np.concatenate([c + 0.02 * rng.normal(size=(20, 5)) for c in centers] + [np.tile(centers[0], (40, 1)), np.zeros((3, 5))])
+    vectors = vectors[rng.permutation(len(vectors))]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
+    rows = rows.withColumn("asked", F.lit(1)).unionByName(spark.createDataFrame([(900, None)], "id bigint, v array<double>"), True)
+    for k in (1, 3):
+        found = search.neighbors_of(rows, "id", "v", k).collect()
+        assert {(r["query_id"], r["id"]) for r in found} == plain_neighbors(vectors, k)
+    near = {(r["query_id"], r["id"]) for r in search.neighbors_of(rows, "id", "v", 500, within=0.99).collect()}
+    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-30)
+    scores = np.round(unit @ unit.T, 12)
+    assert near == {(int(i), int(j)) for i, j in zip(*np.nonzero(scores >= 0.99)) if i != j}
+
+
+def test_the_angle_bound_leaves_cells_unvisited(spark, monkeypatch):
+    """Groups far apart: a question is sent to few of the blocks."""
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(9)
+    vectors = np.concatenate([c + 0.01 * rng.normal(size=(50, 24)) for c in rng.normal(size=(20, 24))])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
+    sizes = []
+    keep = neighbors.checkpointed
+    monkeypatch.setattr(neighbors, "checkpointed", lambda df: sizes.append(keep(df)) or sizes[-1])
+    found = search.neighbors_of(rows, "id", "v", 2)
+    assert {(r["query_id"], r["id"]) for r in found.collect()} == plain_neighbors(vectors, 2)
+    sent = sizes[-1].where("kind = 1").agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
+    assert sent < 0.4 * len(vectors) * 20
+
+
+def test_odd_vectors_are_errors_and_ids_may_repeat(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], "id bigint, v array<double>")
+    assert {(r["query_id"], r["id"]) for r in search.neighbors_of(rows, "id", "v", 2).collect()} == {(1, 2), (2, 1)}
+    for bad in ([1.0], [1.0, None], [1.0, float("nan")]):
+        with pytest.raises(ValueError):
+            search.neighbors_of(rows.unionByName(spark.createDataFrame([(3, bad)], rows.schema)), "id", "v", 1)
+    zero = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "id bigint, v array<double>")
+    assert [r["score"] for r in search.nearest(zero, "id", "v", [(2, [0.0, 0.0])], 1, exclude_self=True).collect()] == [0.0]
+
+
 def test_duplicate_backfill_keeps_old_flags_unless_overwritten(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "dups"))
     rows = spark.createDataFrame([(1, 7), (2, -1)], "id bigint, bits bigint")
