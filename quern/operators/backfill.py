@@ -6,21 +6,24 @@ from pyspark.sql import DataFrame
 
 from quern.functions.frames import Feature
 from quern.operators.dedup import flag_near_duplicates
+from quern.operators.fills import run_fill
 from quern.schema import HAMMING_THRESHOLD, require_columns
 from quern.sources.store import TableStore
 
 
-def pending(store: TableStore, table: str, columns: list[str], inputs: list[str]) -> DataFrame:
+def pending(
+    store: TableStore, table: str, columns: list[str], inputs: list[str], version: int | None = None
+) -> DataFrame:
     """(key, inputs) of the rows for which the columns were never computed.
 
     Rows up to the version that earlier fills settled are not read; of newer rows, those
     whose key a later file holds are left out, whatever its value. The columns must be
-    held by the same files.
+    held by the same files. Rows appended after ``version`` are left out.
     """
     key = store.key(table)
     since = store.settled(table, columns)
-    base = store.read_base(table, since=since)
-    source = base if set(inputs) <= set(base.columns) else store.read(table, since=since)
+    base = store.read_base(table, version, since)
+    source = base if set(inputs) <= set(base.columns) else store.read(table, version, since)
     require_columns(source, inputs)
     rows = source.select(key, *[c for c in inputs if c != key])
     done = store.added(table, columns, since)
@@ -35,12 +38,18 @@ def backfill(
     overwrite: bool = False,
     task_rows: int | None = None,
     one_at_a_time: bool = False,
+    checkpoint_rows: int | None = None,
+    most_ranges: int | None = None,
 ) -> DataFrame:
     """Fill the named columns where they are missing; (column_name, status, rows).
 
     ``overwrite`` computes all rows anew and replaces the columns once that is done. Columns at the same stage share a scan and a commit; ``one_at_a_time`` commits
     each on its own, so that a run with slow functions resumes between them.
     ``task_rows`` bounds the rows of a task. Unregistered names are skipped.
+
+    With ``checkpoint_rows`` a fill is cut into ranges of about so many rows, each of which is kept
+    once written: a run that was stopped, or that stops itself after ``most_ranges`` ranges
+    (status OPEN), is gone on with by the next call. Its rows are those computed by this call.
     """
     known = [c for c in columns if c in registry]
     report = [(c, "SKIP", 0) for c in columns if c not in registry]
@@ -48,6 +57,14 @@ def backfill(
     for group in groups:
         inputs = sorted({i for c in group for i in registry[c].inputs})
         version = store.version(table)
+        if checkpoint_rows and not overwrite:
+            commit, rows_now = run_fill(
+                store, table, group, lambda at, g=group, i=inputs: pending(store, table, g, i, at),
+                lambda some, g=group: some.select(store.key(table), *[registry[c].column().alias(c) for c in g]),
+                checkpoint_rows, task_rows, most_ranges)
+            status = "DONE" if commit or not rows_now else "OPEN"
+            report += [(c, status, rows_now) for c in group]
+            continue
         if overwrite:
             rows = store.read(table).select(store.key(table), *[i for i in inputs if i != store.key(table)])
         else:

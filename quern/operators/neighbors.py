@@ -25,6 +25,8 @@ from quern.session import checkpointed
 #: Rows of a block; questions that meet a block in one task.
 BLOCK_ROWS = 4096
 ASKED_AT_ONCE = 16_384
+#: Rows of the blocks that meet their questions in one task.
+SHELF_ROWS = 65_536
 #: The most pivots, about.
 PIVOTS = 1024
 #: Rows of a product taken at once.
@@ -143,7 +145,7 @@ def neighbors(
         raise ValueError(f"a vector has not {told['most']} numbers, but {told['least']}")
     if told["wrong"]:
         raise ValueError(f"{told['wrong']} vectors hold a missing or non-finite number")
-    found = _compared(rows.where("NOT zero"), told["rows"] - told["zero"], Packed(id_type, element), id_type, k, within)
+    found = _compared(rows.where("NOT zero"), told["rows"] - told["zero"], Packed(id_type, element), id_type, k, within, told["asked"])
     if told["zero"]:
         found = found.unionByName(_beside_zero(rows, k))
     if within is not None:
@@ -167,13 +169,29 @@ def _beside_zero(rows: DataFrame, k: int) -> DataFrame:
     return both.select("query_id", "id", F.lit(0.0).alias("score"))
 
 
-def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int, within: float | None) -> DataFrame:
+def _one_block(rows: DataFrame, packed: Packed, id_type: str, k: int) -> DataFrame:
+    """Rows that make up one block, which has no cells to rule out."""
+
+    def compare(own: pa.Table) -> pa.Table:
+        ids, unit = packed.ids(own["id"]), unit_rows(packed.matrix(own["v"]))
+        q = np.flatnonzero(np.array(own["asked"].to_pylist(), bool))
+        at, found, cosine = best_rows(unit[q], ids[q], unit, ids, k)
+        return pa.table({"query_id": pa.array(ids[q[at]].tolist(), packed.arrow_id),
+                         "id": pa.array(found.tolist(), packed.arrow_id), "score": pa.array(cosine)})
+
+    block = rows.select("id", "v", "asked", F.lit(0).alias("block"))
+    return block.groupBy("block").applyInArrow(compare, f"query_id {id_type}, id {id_type}, score double")
+
+
+def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int, within: float | None, asked_count: int) -> DataFrame:
     buckets = max(1, -(-count // BLOCK_ROWS))
+    if buckets == 1:
+        return _one_block(rows, packed, id_type, k)
     bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
     dealt = rows.select("id", "v", "asked", bucket.alias("bucket"))
-    pivot_share = 1.0 if buckets == 1 else min(1.0, min(PIVOTS, buckets) / count)
+    pivot_share = min(PIVOTS, buckets) / count
     place = F.pmod(F.xxhash64(F.lit(3), F.col("id")), F.lit(1 << 30))
-    drawn = dealt.where(place <= int(pivot_share * (1 << 30))) if buckets > 1 else dealt.limit(1)
+    drawn = dealt.where(place <= int(pivot_share * (1 << 30)))
     numbered = drawn.select("v", (F.row_number().over(Window.orderBy("id", "v")) - 1).alias("pivot_no"))  # few rows
     pivots = numbered.select(
         F.col("v").alias("pivot"), "pivot_no", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
@@ -255,29 +273,42 @@ def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int,
     own = both.where("kind = 2").select(arrays).select(
         F.col("f.query_ids").alias("query_id"), F.col("f.found").alias("id"), F.col("f.scores").alias("score"))
     waiting = both.where("kind = 1").select("cell", "from_cell", "from_chunk", "ids", "asked", "vectors")
-    # Questions for one block are dealt to parts, and the block goes to each of them.
-    parts = waiting.groupBy("cell").agg(F.expr(f"cast((sum(size(ids)) - 1) div {ASKED_AT_ONCE} + 1 as int)").alias("parts"))
-    spread = parts.join(cells.select("cell", "chunks"), "cell")
-    questions = waiting.join(spread, "cell").select(
-        "cell", F.expr("explode(sequence(0, chunks - 1))").alias("chunk"),
-        F.expr("cast(pmod(xxhash64(from_cell, from_chunk), parts) as int)").alias("part"), "from_cell", "from_chunk", "ids", "asked", "vectors",
+    # Blocks share shelves, and questions are dealt to parts by where they come from: what a question
+    # finds on a shelf is cut to its best k rows before it leaves the task.
+    shelf = F.pmod(F.xxhash64("cell", "chunk"), F.lit(max(1, -(-count // SHELF_ROWS)))).cast("int").alias("shelf")
+    parts = max(1, -(-asked_count // ASKED_AT_ONCE))
+    questions = waiting.join(cells.select("cell", "chunks"), "cell").select(
+        "cell", F.expr("explode(sequence(0, chunks - 1))").alias("chunk"), "from_cell", "from_chunk", "ids", "asked", "vectors",
     ).where("NOT (cell = from_cell AND chunk = from_chunk)").select(
-        F.col("cell").alias("to_cell"), F.col("chunk").alias("to_chunk"), F.col("part").alias("to_part"),
+        F.col("cell").alias("to_cell"), F.col("chunk").alias("to_chunk"), shelf.alias("to_shelf"),
+        F.pmod(F.xxhash64("from_cell", "from_chunk"), F.lit(parts)).cast("int").alias("to_part"),
         *[F.col(c).alias(c) for c in ("ids", "asked", "vectors")])
-    blocks = both.where("kind = 0").join(parts, "cell").select(
-        "cell", "chunk", F.expr("explode(sequence(0, parts - 1))").alias("part"), "ids", "asked", "vectors")
+    blocks = both.where("kind = 0").select(
+        "cell", "chunk", shelf, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "ids", "asked", "vectors")
 
     def tile(rows_: pa.Table, asked_: pa.Table) -> pa.Table:
-        empty = {"query_id": pa.array([], arrow_id), "id": pa.array([], arrow_id), "score": pa.array([], pa.float64())}
-        if not rows_.num_rows or not asked_.num_rows:
-            return pa.table(empty)
-        ids, _, x = packed.unpack(rows_)
-        q_ids, _, q = packed.unpack(asked_)
-        at, found, cosine = best_rows(unit_rows(q), q_ids, unit_rows(x), ids, k)
-        return pa.table({"query_id": pa.array(q_ids[at].tolist(), arrow_id), "id": pa.array(found.tolist(), arrow_id),
-                         "score": pa.array(cosine)})
-
-    keys = ["cell", "chunk", "part"]
-    more = blocks.groupBy(*keys).cogroup(questions.groupBy(*["to_" + c for c in keys])).applyInArrow(
+        names, found, cosines = [], [], []
+        to = list(zip(asked_["to_cell"].to_pylist(), asked_["to_chunk"].to_pylist())) if asked_.num_rows else []
+        for r, block in enumerate(zip(rows_["cell"].to_pylist(), rows_["chunk"].to_pylist()) if to else ()):
+            own_questions = [i for i, t in enumerate(to) if t == block]
+            if own_questions:
+                q_ids, _, q = packed.unpack(asked_.take(own_questions))
+                ids, _, x = packed.unpack(rows_.slice(r, 1))
+                at, near, cosine = best_rows(unit_rows(q), q_ids, unit_rows(x), ids, k)
+                names.append(q_ids[at])
+                found.append(near)
+                cosines.append(cosine)
+        if not names:
+            return pa.table({"query_id": pa.array([], arrow_id), "id": pa.array([], arrow_id), "score": pa.array([], pa.float64())})
+        names, found, cosines = (np.concatenate(c) for c in (names, found, cosines))
+        order = np.argsort(found, kind="stable")
+        order = order[np.argsort(-cosines[order], kind="stable")]
+        order = order[np.argsort(names[order], kind="stable")]
+        names, found, cosines = names[order], found[order], cosines[order]
+        keep = np.arange(len(names)) - np.searchsorted(names, names, "left") < k
+        return pa.table({"query_id": pa.array(names[keep].tolist(), arrow_id), "id": pa.array(found[keep].tolist(), arrow_id),
+                         "score": pa.array(cosines[keep])})
+
+    more = blocks.groupBy("shelf", "part").cogroup(questions.groupBy("to_shelf", "to_part")).applyInArrow(
         tile, f"query_id {id_type}, id {id_type}, score double")
     return own.unionByName(more)

@@ -273,6 +273,25 @@ def incremental_backfill(spark, d):
     return done.join(F.broadcast(flagged))
 
 
+@query(
+    "resumable_backfill",
+    FLAGGED
+    + """select frame_key, has_person, scene_description,
+      (select count(*) from flagged) as computed, 'OPEN,DONE' as states from flagged""",
+)
+def resumable_backfill(spark, d):
+    """A fill in key ranges that stops after two of them; the next call computes only the rest."""
+    store = frame_store(spark, d, features=[])
+    columns = ["has_person", "scene_description"]
+    size = max(1, store.read_base("frames").count() // 5)
+    options = {"checkpoint_rows": size, "task_rows": 50_000}
+    first = backfill.backfill(store, "frames", columns, ANNOTATION_FEATURES, most_ranges=2, **options).first()
+    rest = backfill.backfill(store, "frames", columns, ANNOTATION_FEATURES, **options).first()
+    return store.read("frames").select(
+        "frame_key", *columns, F.lit(first["rows"] + rest["rows"]).cast("bigint").alias("computed"),
+        F.lit(first["status"] + "," + rest["status"]).alias("states"))
+
+
 # --- functions registered with the table -------------------------------------
 
 

@@ -252,6 +252,15 @@ class TableStore:
         self._commit(commit)
         return commit
 
+    def adopt_columns(self, name: str, path: str, rows: int, schema: T.StructType, covers: int) -> Commit:
+        """Make files already written under the store a column group; its folders may be ranges."""
+        live = self._live(name)
+        columns = tuple(c for c in schema.fieldNames() if c != live[0].key)
+        commit = Commit(
+            name, live[-1].version + 1, COLUMNS, path, rows, columns, live[0].key, schema=schema.json(), covers=covers)
+        self._commit(commit)
+        return commit
+
     def settled(self, name: str, columns: list[str]) -> int:
         """Version up to which every row has all the columns; 0 if there is none."""
         groups = self._groups(self._live(name))

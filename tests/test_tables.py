@@ -12,7 +12,7 @@ from quern.functions import images as image_fn
 from quern.functions import text as text_fn
 from quern.functions.frames import Feature
 from quern.functions.inference import detector
-from quern.operators import backfill, dedup, evaluate, filters, health, neighbors, search, views
+from quern.operators import backfill, dedup, evaluate, fills, filters, health, neighbors, search, views
 from quern.schema import missing_columns
 from quern.sources import images as image_io
 from quern.sources import text as text_io
@@ -169,6 +169,7 @@ def plain_neighbors(vectors, k):
 def test_neighbors_in_groups_with_copies_ties_and_zero_vectors(spark, monkeypatch):
     monkeypatch.setattr(neighbors, "BLOCK_ROWS", 16)
     monkeypatch.setattr(neighbors, "ASKED_AT_ONCE", 24)
+    monkeypatch.setattr(neighbors, "SHELF_ROWS", 50)
     rng = np.random.default_rng(8)
     centers = rng.normal(size=(9, 5))
     vectors = np.concatenate([c + 0.02 * rng.normal(size=(20, 5)) for c in centers] + [np.tile(centers[0], (40, 1)), np.zeros((3, 5))])
@@ -209,6 +210,43 @@ def test_odd_vectors_are_errors_and_ids_may_repeat(spark):
     assert [r["score"] for r in search.nearest(zero, "id", "v", [(2, [0.0, 0.0])], 1, exclude_self=True).collect()] == [0.0]
 
 
+def test_a_stopped_fill_goes_on_with_the_rest(spark, tmp_path):
+    """A run dies in the middle; the next one computes only what is missing, on the same ranges."""
+    store = TableStore(spark, str(tmp_path / "fills"))
+    store.create("rows", spark.range(1000).withColumn("n", F.col("id") * 2), "id")
+    sound = {"double": Feature(("n",), T.LongType(), lambda c: c * 2)}
+    dying = {"double": Feature(("n",), T.LongType(), lambda c: F.when(c > 1100, F.raise_error(F.lit("lost"))).otherwise(c * 2).cast("long"))}
+    with pytest.raises(Exception, match="lost"):
+        backfill.backfill(store, "rows", ["double"], dying, checkpoint_rows=100, task_rows=30)
+    begun = fills.open_fill(store, "rows", ["double"])
+    assert 0 < len(begun.done) < len(begun.ranges) and "double" not in store.read("rows").columns
+    kept = sum(begun.done.values())
+    # Rows that come meanwhile are no part of the fill, and a new handle finds the ledger.
+    store.append("rows", spark.range(1000, 1100).withColumn("n", F.col("id") * 2))
+    store = TableStore(spark, str(tmp_path / "fills"))
+    report = backfill.backfill(store, "rows", ["double"], sound, checkpoint_rows=100).first()
+    assert (report["status"], report["rows"]) == ("DONE", 1000 - kept)
+    assert fills.open_fill(store, "rows", ["double"]) is None
+    assert store.read("rows").where("double = 4 * id").count() == 1000
+    assert backfill.backfill(store, "rows", ["double"], sound, checkpoint_rows=70, most_ranges=1).first()["status"] == "OPEN"
+    assert 0 < backfill.backfill(store, "rows", ["double"], sound, checkpoint_rows=70).first()["rows"] < 100
+    assert store.read("rows").where("double = 4 * id").count() == 1100
+    assert backfill.backfill(store, "rows", ["double"], sound, checkpoint_rows=70).first()["rows"] == 0
+    assert sum(c.kind == "columns" for c in store._commits("rows")) == 2
+
+
+def test_fills_with_text_keys_and_no_rows(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "fills"))
+    rows = spark.createDataFrame([(f"k{i % 37:02}-{i}", i) for i in range(200)], "id string, n long")
+    store.create("rows", rows, "id")
+    one = {"one": Feature(("n",), T.LongType(), lambda c: c + 1)}
+    while backfill.backfill(store, "rows", ["one"], one, checkpoint_rows=23, most_ranges=2).first()["status"] == "OPEN":
+        pass
+    assert store.read("rows").where("one = n + 1").count() == 200
+    store.create("none", rows.limit(0), "id")
+    assert backfill.backfill(store, "none", ["one"], one, checkpoint_rows=5).first()["rows"] == 0
+
+
 def test_duplicate_backfill_keeps_old_flags_unless_overwritten(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "dups"))
     rows = spark.createDataFrame([(1, 7), (2, -1)], "id bigint, bits bigint")
