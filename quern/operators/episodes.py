@@ -94,6 +94,57 @@ def episode_windows(
     return windows.where(F.col("_chunk") == F.col("_home")).drop("_chunk", "_home")
 
 
+def time_windows(
+    rows: DataFrame,
+    group: str,
+    time: str,
+    key: str,
+    value: str,
+    offsets: list[int],
+    tolerance: int,
+    chunk: int = 3_600_000_000,
+) -> DataFrame:
+    """(key, values): for each row the ``value`` of the nearest row of its group at each offset of time.
+
+    ``time`` is a whole number, such as microseconds, and so are ``offsets``, ``tolerance`` and
+    ``chunk``; rows may be uneven in time. A row further than ``tolerance`` from the wanted time
+    gives NULL. Ties: the earlier row, then the lower key. Keys are unique; rows without a time or
+    group have NULL at every offset.
+
+    Wanted times and rows are laid side by side in chunks of time, a row near a border in both of
+    its chunks, and sorted; the nearest on either side is the last seen from either end. A group of
+    any length is so cut to pieces, and rows that crowd one moment cost a sort, not their pairs.
+    """
+    chunk = max(chunk, 2 * tolerance + 1)
+    in_chunk = lambda t: F.expr(f"cast(floor(({t}) / {chunk}) as bigint)")
+    plain = rows.select(
+        F.col(group).alias("_group"), F.col(time).cast("bigint").alias("_time"), F.col(key).alias("_key"), F.col(value).alias("_value"))
+    timed = plain.where("_group IS NOT NULL AND _time IS NOT NULL")
+    steps = F.posexplode(F.array(*[F.lit(o).cast("bigint") for o in offsets])).alias("_step", "_offset")
+    wanted = timed.select("_group", "_time", "_key", steps).select(
+        "_group", (F.col("_time") + F.col("_offset")).alias("_at"), "_key", "_step", F.lit(1).alias("_asks"),
+        F.lit(None).cast(plain.schema["_value"].dataType).alias("_value"))
+    given = timed.select("_group", F.col("_time").alias("_at"), "_key", F.lit(-1).alias("_step"), F.lit(0).alias("_asks"), "_value")
+    near = F.array_distinct(F.array(in_chunk(f"_at - {tolerance}"), in_chunk(f"_at + {tolerance}")))
+    both = wanted.withColumn("_chunk", in_chunk("_at")).unionByName(given.withColumn("_chunk", F.explode(near)))
+    row = F.when(F.col("_asks") == 0, F.struct("_at", "_key", "_value"))
+    seen = lambda order: F.last(row, ignorenulls=True).over(
+        Window.partitionBy("_group", "_chunk").orderBy(order, F.col("_asks"), F.col("_key").desc())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sided = both.select(
+        "*", seen(F.col("_at").asc()).alias("_before"), seen(F.col("_at").desc()).alias("_after")).where("_asks = 1")
+    gap = lambda side: F.abs(F.col(f"{side}._at") - F.col("_at"))
+    nearer = F.when(
+        F.col("_before").isNull() | (gap("_after") < gap("_before")), F.col("_after")).otherwise(F.col("_before"))
+    picked = sided.withColumn("_near", nearer).select(
+        "_key", "_step", F.when(F.abs(F.col("_near._at") - F.col("_at")) <= tolerance, F.col("_near._value")).alias("_value"))
+    lists = picked.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_step", "_value"))).alias("_list"))
+    told = lists.select("_key", F.transform("_list", lambda s: s["_value"]).alias("values"))
+    none = F.array_repeat(F.lit(None).cast(plain.schema["_value"].dataType), len(offsets))
+    untimed = plain.where("_group IS NULL OR _time IS NULL").select("_key", none.alias("values"))
+    return told.unionByName(untimed).withColumnRenamed("_key", key)
+
+
 # --- feature metadata --------------------------------------------------------
 
 

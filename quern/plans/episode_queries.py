@@ -59,6 +59,31 @@ def episode_window_join(spark, d):
     return rows.select("event_id", text("actions"), text("observations"))
 
 
+TIME_STEPS = [-7200, -900, 0, 900, 3600, 7200]
+TIME_TOLERANCE = 600
+
+
+@query(
+    "episode_time_windows",
+    f"""with e as (select event_id, user_id, epoch_us(ts) as t from events),
+      w as (select event_id, user_id, i, t + cast(s as bigint) * 1000000 as want from e,
+        (select unnest({TIME_STEPS}) as s, unnest(range({len(TIME_STEPS)})) as i)),
+      n as (select w.event_id, w.i, e.event_id as near,
+        row_number() over (partition by w.event_id, w.i order by abs(e.t - want), e.t, e.event_id) as r
+        from w join e on e.user_id = w.user_id and abs(e.t - want) <= {TIME_TOLERANCE} * 1000000)
+      select w.event_id, string_agg(coalesce(cast(near as varchar), '-'), ',' order by w.i) as near
+      from w left join n on n.event_id = w.event_id and n.i = w.i and r = 1 group by w.event_id""",
+)
+def episode_time_windows(spark, d):
+    """The nearest event of the same user at each offset in seconds; events are uneven in time."""
+    rows = table(spark, d, "events").select(
+        "event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col("event_id").alias("near"))
+    found = ep.time_windows(
+        rows, "user_id", "t", "event_id", "near", [s * 1_000_000 for s in TIME_STEPS], TIME_TOLERANCE * 1_000_000)
+    shown = F.transform("values", lambda v: F.coalesce(v.cast("string"), F.lit("-")))
+    return found.select("event_id", F.array_join(shown, ",").alias("near"))
+
+
 @query(
     "action_window_deltas",
     f"""select event_id, array_to_string(case when w = 16 then {ACTION_STEPS} when w = 1 then [0] else range(-1, -1 + w) end, ',') as steps

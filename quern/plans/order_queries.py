@@ -380,8 +380,7 @@ def take_by_position(spark, d):
             F.pmod(F.col("event_id") * 7919, F.col("n")).alias("position"),
         )
     )
-    indexed = text_io.with_global_index(rows).select("position", "o_orderkey", "o_custkey")
-    return ordering.take_positions(indexed, requests)
+    return text_io.take_rows(rows.select("o_orderkey", "o_custkey"), requests)
 
 
 @query(

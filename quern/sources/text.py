@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.operators.ordering import before
 from quern.schema import CORPUS_SCHEMA, conform
-from quern.session import small_side
+from quern.session import checkpointed, small_side
 
 # Files whose layout is sent to every executor: a path and two numbers each.
 BROADCAST_FILES = 100_000
+# Requested positions that are sent to every executor: a path and three numbers each.
+BROADCAST_REQUESTS = 200_000
 
 
 def list_files(spark: SparkSession, root: str, pattern: str, first: int | None = None) -> list[str]:
@@ -76,6 +80,28 @@ def locate(layout: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
+def take_rows(rows: DataFrame, requests: DataFrame) -> DataFrame:
+    """Rows of a file scan at the requested positions, in request order.
+
+    Two phases: positions are first located in files and rows of them, then only the files that
+    hold one are read. ``requests`` has (request_order, position); positions may repeat, and those
+    outside the table give no row. ``rows`` must be a scan of Parquet files.
+    """
+    asked = checkpointed(locate(file_layout(rows), requests).select(
+        F.col("request_order").alias("_order"), F.col("position").alias("_position"), F.col("file").alias("_file"),
+        F.col("offset").alias("_row")))
+    # No more names than the scan itself has files, which Spark's driver lists anyway.
+    # Paths in a scan's metadata are written as in an address.
+    files = [unquote(r["_file"]) for r in asked.select("_file").distinct().collect()]
+    if not files:
+        empty = rows.where("false")
+        return empty.select(F.lit(0).cast("bigint").alias("request_order"), F.lit(0).cast("bigint").alias("position"), "*")
+    picked = rows.sparkSession.read.schema(rows.schema).parquet(*files)
+    tagged = picked.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    found = tagged.join(small_side(asked, BROADCAST_REQUESTS), ["_file", "_row"])
+    return found.select(F.col("_order").alias("request_order"), F.col("_position").alias("position"), *rows.columns).orderBy("request_order")
+
+
 def as_corpus(rows: DataFrame, id_col: str, text: str = "text", source: str | None = None):
     """(id, text, source, score, n_chars); a missing score is 0."""
     score = F.col("score") if "score" in rows.columns else F.lit(None)

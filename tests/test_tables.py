@@ -12,6 +12,7 @@ from quern.functions import images as image_fn
 from quern.functions import text as text_fn
 from quern.functions.frames import Feature
 from quern.functions.inference import detector
+from quern.operators import episodes as ep
 from quern.operators import backfill, dedup, evaluate, fills, filters, health, neighbors, search, views
 from quern.schema import missing_columns
 from quern.sources import images as image_io
@@ -210,6 +211,38 @@ def test_odd_vectors_are_errors_and_ids_may_repeat(spark):
     assert [r["score"] for r in search.nearest(zero, "id", "v", [(2, [0.0, 0.0])], 1, exclude_self=True).collect()] == [0.0]
 
 
+def test_take_reads_only_the_files_asked_for(spark, tmp_path):
+    root = str(tmp_path / "with space & 5%")
+    for n in range(6):
+        spark.range(n * 100, n * 100 + 40 + n).coalesce(1).write.mode("append").parquet(root)
+    rows = spark.read.parquet(root)
+    every = [r["id"] for r in text_io.with_global_index(rows).orderBy("position").collect()]
+    layout = text_io.file_layout(rows).orderBy("_file").collect()
+    some = [layout[1]["_offset"], layout[4]["_offset"] + 3, layout[1]["_offset"] + 5, layout[1]["_offset"], -1, 10_000]
+    requests = spark.createDataFrame(list(enumerate(some)), "request_order long, position long")
+    taken = text_io.take_rows(rows, requests)
+    assert [(r["request_order"], r["id"]) for r in taken.collect()] == [(i, every[p]) for i, p in enumerate(some[:4])]
+    assert len(taken.inputFiles()) == 2
+    assert text_io.take_rows(rows, requests.where("position < 0")).collect() == []
+
+
+def test_windows_by_uneven_time(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, int(rng.integers(0, 4)), int(rng.integers(0, 400)) * 10, float(i)) for i in range(300)]
+    rows += [(1000 + i, 7, 50, 0.5) for i in range(60)] + [(2000, None, 5, 1.0), (2001, 1, None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, g long, t long, v double")
+    offsets, tolerance = [-95, 0, 30, 2000], 40
+    got = {r["id"]: r["values"] for r in ep.time_windows(df, "g", "t", "id", "v", offsets, tolerance, chunk=100).collect()}
+    for i, g, t, _ in rows:
+        want = []
+        for o in offsets:
+            near = [(abs(u - t - o), u, j, v) for j, h, u, v in rows
+                    if t is not None and g is not None and h == g and u is not None and abs(u - t - o) <= tolerance]
+            want.append(min(near)[3] if near else None)
+        assert got[i] == want
+    assert ep.time_windows(df.limit(0), "g", "t", "id", "v", offsets, tolerance).count() == 0
+
+
 def test_a_stopped_fill_goes_on_with_the_rest(spark, tmp_path):
     """A run dies in the middle; the next one computes only what is missing, on the same ranges."""
     store = TableStore(spark, str(tmp_path / "fills"))
