@@ -32,7 +32,7 @@ def sized(docs: DataFrame, prior: str | None = None) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), "source",
         F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source")).alias("key"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        (F.col(prior).cast("double") if prior else F.lit(1.0)).alias("prior"),
+        (F.coalesce(F.col(prior).cast("double"), F.lit(1.0)) if prior else F.lit(1.0)).alias("prior"),
         F.xxhash64("text").alias("tie"))
 
 
@@ -125,7 +125,7 @@ def mixed(docs: DataFrame, prior: str | None = None, repeats: int = REPEATS) ->
 
     ``taken`` is ``copies * size`` with at most ``repeats`` copies. Null and empty texts have size
     0 and no copy. Rows that repeat an id are documents of their own; a null id is like any
-    other value. Equal input gives equal results: hashes decide, not the order of rows. Other
+    other value, a null prior counts as 1. Equal input gives equal results: hashes decide, not the order of rows. Other
     columns of ``docs`` are ignored. An empty table gives an empty result.
     """
     rows = stored(sized(docs, prior), "sizes")
@@ -153,13 +153,13 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
 
     Rows with the same id and text count as one document with the copies of all of them.
     """
-    tie = F.xxhash64("text")
     plan = mixed(docs, **options).filter("copies > 0").groupBy(
-        _named(F.col("doc_id")).alias("__id"), F.col("tie").alias("__tie")).agg(
-        F.sum("copies").cast("int").alias("__copies"))
-    own = docs.withColumn("__own", _named(F.col("doc_id").cast("long"))).withColumn("__text", tie)
-    rank = F.row_number().over(Window.partitionBy("__own", "__text").orderBy("__own"))
-    one = own.withColumn("__rank", rank).filter("__rank = 1")
-    taken = one.join(plan, (one["__own"] == plan["__id"]) & (one["__text"] == plan["__tie"]))
-    return taken.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(
-        *[taken[c] for c in docs.columns])
+        _named(F.col("doc_id")).alias("id"), "tie").agg(F.sum("copies").cast("int").alias("copies"))
+    # The columns stay together in one, so none can clash with those of the plan.
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), _named(docs["doc_id"].cast("long")).alias("own_id"),
+        F.xxhash64(docs["text"]).alias("own_tie"))
+    rank = F.row_number().over(Window.partitionBy("own_id", "own_tie").orderBy("own_id"))
+    one = rows.withColumn("rank", rank).filter("rank = 1")
+    taken = one.join(plan, (one.own_id == plan["id"]) & (one.own_tie == plan["tie"]))
+    return taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

@@ -24,7 +24,7 @@ from quern.llm.words import pieces
 
 Q = 12
 WINDOW = 96
-STRIDE = 48
+STRIDE = 8
 #: One edit is granted for so many bytes of a window.
 BYTES_PER_EDIT = 16
 #: Benchmark text compared in one pass over the documents, at most; larger sets take more passes.

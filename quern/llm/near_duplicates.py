@@ -306,13 +306,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, similar: int = SIMI
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with one document of each group: that with the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays, that with the smallest text hash; rows without doc_id
-    all stay. All columns are kept.
+    Rows that repeat an id with another text all stay; of equal ones (id and text) one does. Rows
+    without doc_id all stay. All columns are kept.
     """
-    verdict = near_duplicates(docs, **options).filter("NOT kept").select(
-        F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.join(verdict, docs["doc_id"] == verdict["__dropped"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return kept.withColumn("__rank", rank).filter(
-        (F.col("__rank") == 1) | F.col("doc_id").isNull()).drop("__rank")
-
+    dropped = near_duplicates(docs, **options).filter("NOT kept").select(F.col("doc_id").alias("id")).distinct()
+    # The columns stay together in one, so none can clash with those added here.
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("own_id"),
+        F.xxhash64(docs["text"]).alias("tie"))
+    numbered = rows.filter("own_id IS NOT NULL")
+    kept = numbered.join(dropped, numbered.own_id == dropped["id"], "left_anti")
+    rank = F.row_number().over(Window.partitionBy("own_id", "tie").orderBy("own_id"))
+    once = kept.withColumn("rank", rank).filter("rank = 1").select("row.*")
+    return once.unionAll(rows.filter("own_id IS NULL").select("row.*"))

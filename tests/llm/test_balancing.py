@@ -80,3 +80,15 @@ def test_odd_rows(spark):
         (repr(r.doc_id), next(t for d, t, _ in rows if d == r.doc_id)) for r in got for _ in range(r.copies))
     assert balancing.mixed(docs.filter("false")).count() == 0
     assert balancing.mixed(docs.filter("size(split(coalesce(text, ''), '[a-e]')) = 1")).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_a_null_prior_counts_as_one_and_names_may_clash(spark):
+    rows = [(i, " ".join(["w"] * (3 + i % 4)), "ab"[i % 2], None if i % 3 else 1.0, i) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, prior double, own_id long")
+    got = balancing.mixed(docs, prior="prior").collect()
+    assert len(got) == len(rows)
+    plain = {r.doc_id: r.taken for r in balancing.mixed(docs).collect()}
+    assert {r.doc_id: r.taken for r in got} == plain
+    again = balancing.repeated(docs.withColumnRenamed("prior", "rank"))
+    assert again.columns == ["doc_id", "text", "source", "rank", "own_id"]
+    assert again.count() == sum(r.copies for r in got)

@@ -101,3 +101,18 @@ def test_case_of_all_letters_is_folded(spark):
     got = sorted((r.doc_id, r.item_id, r.edits) for r in dec.contamination(docs, bench).collect())
     assert got == [(d, i, 0) for d in range(4) for i in (7, 8)]
     assert dec.without_contamination(docs, bench).count() == 0
+
+
+def test_excerpts_of_longer_items_are_found(spark):
+    """Excerpts of 104 bytes and more hold a whole window wherever they begin."""
+    rng = random.Random(13)
+    items = [(i, words(rng, 120)) for i in range(10)]
+    docs = []
+    for i in range(80):
+        text = items[i % 10][1]
+        at = rng.randrange(len(text) - 110)
+        docs.append((i, words(rng, 12) + " " + text[at : at + 104 + i % 5] + " " + words(rng, 12)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in dec.contamination(frame, bench).collect()}
+    assert found >= {(i, i % 10) for i in range(80)}

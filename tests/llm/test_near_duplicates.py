@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quern.llm import graph, near_duplicates
 
@@ -81,6 +82,16 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted(repr(r.doc_id) for r in near_duplicates.one_of_each(docs).collect()) == ["1", "3", "None"]
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    rows = [(1, "a b c d e f g", 5), (1, "quite another text of this id", 6), (1, "a b c d e f g", 7), (2, "a b c d e f g", 8),
+            (None, "x", 1), (None, "x", 2), (3, None, 3), (3, "", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rank long").withColumn("own_id", F.lit(0))
+    kept = near_duplicates.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, rows[0][1]), (1, rows[1][1]), (None, "x"), (None, "x"), (3, None), (3, "")], key=repr)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates.near_duplicates(empty).count() == 0
