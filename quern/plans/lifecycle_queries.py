@@ -13,6 +13,7 @@ from quern.plans.inputs import corpus, frames, table, with_sql
 from quern.plans.registry import query
 from quern.session import fresh_path
 from quern.sources import images as image_io
+from quern.sources.bucketed import BucketedTable
 from quern.sources.store import TableStore
 from quern.streaming.cycle import file_stream, run_cycle
 
@@ -213,6 +214,23 @@ def add_column_group(spark, d):
     return store.read("corpus").select("id", "source", "n_chars", "n_tokens")
 
 
+@query(
+    "bucketed_column_groups",
+    """select doc_id as id, source, cast(n_chars as int) as n_chars, cast(octet_length(encode(text)) + 2 as int) as n_tokens,
+      case when doc_id % 2 = 0 then doc_id % 7 end as part from documents""",
+)
+def bucketed_column_groups(spark, d):
+    """Two column groups beside the base rows in one bucketed layout; the read has no shuffle."""
+    stored = BucketedTable(spark, fresh_path(spark, "bucketed"))
+    rows = corpus(spark, d)
+    even = F.pmod(F.col("id"), F.lit(2)) == 0
+    stored.create(rows.where(even), "id", 8)
+    stored.add_columns(stored.read(["id"]).select("id", F.pmod(F.col("id"), F.lit(7)).alias("part")))
+    stored.append(rows.where(~even))
+    stored.add_columns(stored.read(["text"]).select("id", byte_token_count(F.col("text")).alias("n_tokens")))
+    return stored.read(["source", "n_chars", "n_tokens", "part"])
+
+
 @query(
     "drop_columns",
     FLAGGED + "select frame_key, has_rider, scene_description from flagged",
