@@ -25,6 +25,8 @@ TERM_BUCKETS = 64
 
 # Query vectors compared in one pass over the table.
 QUERIES_PER_PASS = 2048
+# Rows of one cell that a task of a batched index search holds.
+PROBED_ROWS = 32_768
 
 
 # --- full text ---------------------------------------------------------------
@@ -525,3 +527,106 @@ def _code_distance(spark, path: str, vector: list[float], metric: str) -> Column
         lookup = F.array(*[F.lit(gaps[c]) for c in sorted(gaps)])
         total = total + F.get(lookup, F.get("code", s))
     return total
+
+
+def indexed_search_many(
+    spark: SparkSession,
+    path: str,
+    queries: DataFrame,
+    k: int,
+    nprobe: int = 20,
+    metric: str = "cosine",
+    refine: int = 0,
+    exclude_self: bool = False,
+) -> DataFrame:
+    """(query_id, id, score): the top ``k`` of many queries through the partitioned index.
+
+    ``queries`` has (query_id, vector) and may be as large as the table. Each query goes to its
+    ``nprobe`` nearest cells; a cell of more than PROBED_ROWS rows is cut into blocks by id, and its
+    queries into parts, so a task holds one block and one part. With ``refine`` a block's codes
+    first pick ``refine * k`` rows by the query's table of distances to the codebook, and only
+    those are compared exactly. Approximate unless all cells are probed without ``refine``; see
+    ``index_recall``. A query of length zero has the cosine 0 with any row.
+    """
+    centers = spark.read.parquet(f"{path}/centers").orderBy("cell").collect()  # one row per cell
+    cell_of, middle = [r["cell"] for r in centers], np.array([r["center"] for r in centers], np.float64)
+    book = None
+    if refine:
+        rows = spark.read.parquet(f"{path}/codebook").orderBy("subspace", "code").collect()  # subspaces x codes
+        book = [np.array([r["center"] for r in rows if r["subspace"] == s]) for s in sorted({r["subspace"] for r in rows})]
+    stored = spark.read.parquet(f"{path}/vectors")
+    id_type, query_type = dict(stored.dtypes)["id"], id_kind(queries, "query_id")
+    arrow = {"bigint": pa.int64(), "string": pa.string()}
+
+    def unit(x: np.ndarray) -> np.ndarray:
+        length = np.linalg.norm(x, axis=1, keepdims=True)
+        return x / np.where(length == 0, 1, length)
+
+    def matrix(column) -> np.ndarray:
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = matrix(batch["vector"])
+                x = unit(x) if metric == "cosine" else x
+                gaps = (middle * middle).sum(axis=1) - 2 * x @ middle.T
+                near = np.argsort(gaps, axis=1, kind="stable")[:, :nprobe]
+                cells = [[cell_of[c] for c in row] for row in near.tolist()]
+                yield batch.append_column("cells", pa.array(cells, pa.list_(pa.int32())))
+
+    asked = queries.select(F.col("query_id").cast(query_type).alias("query_id"), F.col("vector").cast("array<double>").alias("vector"))
+    probed = asked.mapInArrow(probe, f"query_id {query_type}, vector array<double>, cells array<int>")
+    probed = checkpointed(probed.select("query_id", F.col("vector").alias("wanted"), F.explode("cells").alias("to_cell")))
+    blocks = stored.groupBy("cell").agg(F.expr(f"cast((count(1) - 1) div {PROBED_ROWS} + 1 as int)").alias("blocks"))
+    parts = probed.groupBy("to_cell").agg(F.expr(f"cast((count(1) - 1) div {QUERIES_PER_PASS} + 1 as int)").alias("parts"))
+    split = checkpointed(blocks.join(parts, blocks["cell"] == parts["to_cell"]).drop("to_cell"))  # a row per cell
+    rows = stored.join(split, "cell").select(
+        "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), "id", "vector", *(["code"] if refine else []))
+    to = probed.join(split.withColumnRenamed("cell", "to_cell"), "to_cell").select(
+        "to_cell", F.explode(F.expr("sequence(0, blocks - 1)")).alias("to_block"),
+        F.pmod(F.xxhash64("query_id"), F.col("parts")).cast("int").alias("to_part"), "query_id", "wanted")
+
+    def scan(own: pa.Table, those: pa.Table) -> pa.Table:
+        out = [[], [], []]
+        if own.num_rows and those.num_rows:
+            ids = np.array(own["id"].to_pylist(), np.int64 if id_type == "bigint" else np.object_)
+            order = np.argsort(ids, kind="stable")
+            ids, x = ids[order], matrix(own["vector"])[order]
+            names, wanted = those["query_id"].to_pylist(), matrix(those["wanted"])
+            if metric == "cosine":
+                x, wanted = unit(x), unit(wanted)
+            codes = np.array(own["code"].to_pylist())[order] if refine else None
+            for name, q in zip(names, wanted):
+                at = np.arange(len(ids))
+                if refine and len(ids) > refine * k:
+                    width = len(q) // len(book)
+                    rough = sum(((book[s] - q[s * width : (s + 1) * width]) ** 2).sum(axis=1)[codes[:, s]] for s in range(len(book)))
+                    at = np.sort(np.argpartition(rough, refine * k)[: refine * k])
+                score = x[at] @ q if metric == "cosine" else -((x[at] - q) ** 2).sum(axis=1)
+                score = np.round(score, 12)
+                if exclude_self:
+                    at, score = at[ids[at] != name], score[ids[at] != name]
+                best = np.argsort(-score, kind="stable")[:k]
+                out[0] += [name] * len(best)
+                out[1] += ids[at[best]].tolist()
+                out[2] += score[best].tolist()
+        return pa.table({"query_id": pa.array(out[0], arrow[query_type]), "id": pa.array(out[1], arrow[id_type]),
+                         "score": pa.array(out[2], pa.float64())})
+
+    found = rows.groupBy("cell", "block", "part").cogroup(to.groupBy("to_cell", "to_block", "to_part")).applyInArrow(
+        scan, f"query_id {query_type}, id {id_type}, score double")
+    by_rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    return found.withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= k).drop("rank")
+
+
+def index_recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row (queries, wanted, found, recall): how much of the exact lists an approximate search gives."""
+    hits = exact.select("query_id", "id").join(
+        found.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    return hits.agg(
+        F.count_distinct("query_id").alias("queries"), F.count("*").alias("wanted"), F.count("hit").alias("found")).withColumn(
+        "recall", F.coalesce(F.try_divide(F.col("found"), F.col("wanted")), F.lit(1.0)))

@@ -283,15 +283,48 @@ def vector_partition_index(spark, d):
     return rounded(search.indexed_vector_search(spark, path, vector, 10, nprobe=8))
 
 
+#: Of the cells an approximate search visits, and rows compared exactly per wanted one and block.
+CELLS, PROBES, REFINE = 8, 6, 40
+
+
+def probed_index(spark, d) -> str:
+    path = fresh_path(spark, "vector-index")
+    search.build_vector_index(vectors(spark, d), "vec_id", "embedding", path, cells=CELLS, subspaces=8, codes=32)
+    return path
+
+
+def every_twentieth(spark, d):
+    return vectors(spark, d).where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+
+
 @query("vector_partition_probe")
 def vector_partition_probe(spark, d):
-    """Approximate search: two cells of eight, product-quantizer codes, exact re-ranking."""
-    path = fresh_path(spark, "vector-index")
-    search.build_vector_index(
-        vectors(spark, d), "vec_id", "embedding", path, cells=8, subspaces=4, codes=16
-    )
-    vector = query_vector(spark, d)
-    return rounded(search.indexed_vector_search(spark, path, vector, 10, nprobe=2, refine=10))
+    """Approximate search: six cells of eight, product-quantizer codes, exact re-ranking."""
+    path = probed_index(spark, d)
+    return rounded(search.indexed_vector_search(spark, path, query_vector(spark, d), 10, nprobe=PROBES, refine=REFINE))
+
+
+@query(
+    "batched_vector_search",
+    """with q as (select vec_id as query_id, embedding as qv from embeddings where vec_id % 20 = 0),
+      p as (select query_id, vec_id as id, list_cosine_similarity(cast(embedding as double[]), cast(qv as double[])) as score from embeddings, q),
+      r as (select *, row_number() over (partition by query_id order by score desc, id) as r from p where id <> query_id)
+      select query_id, id from r where r <= 10""",
+)
+def batched_vector_search(spark, d):
+    """All queries in one join with the index, every cell probed, which is exact."""
+    path = probed_index(spark, d)
+    found = search.indexed_search_many(spark, path, every_twentieth(spark, d), 10, nprobe=CELLS, exclude_self=True)
+    return found.select("query_id", "id")
+
+
+@query("batched_vector_recall")
+def batched_vector_recall(spark, d):
+    """Recall at 10 of the approximate batched search against the exact one, over every twentieth row."""
+    path, queries = probed_index(spark, d), every_twentieth(spark, d)
+    exact = search.indexed_search_many(spark, path, queries, 10, nprobe=CELLS, exclude_self=True)
+    found = search.indexed_search_many(spark, path, queries, 10, nprobe=PROBES, refine=REFINE, exclude_self=True)
+    return search.index_recall(found, exact)
 
 
 @query(

@@ -211,6 +211,28 @@ def test_odd_vectors_are_errors_and_ids_may_repeat(spark):
     assert [r["score"] for r in search.nearest(zero, "id", "v", [(2, [0.0, 0.0])], 1, exclude_self=True).collect()] == [0.0]
 
 
+def test_batched_index_search(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "PROBED_ROWS", 40)
+    monkeypatch.setattr(search, "QUERIES_PER_PASS", 15)
+    rng = np.random.default_rng(21)
+    data = np.concatenate([c + 0.4 * rng.normal(size=(60, 16)) for c in rng.normal(size=(8, 16))])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id bigint, v array<double>")
+    queries = rows.where("id % 5 = 0").select(F.col("id").alias("query_id"), F.col("v").alias("vector"))
+    path = str(tmp_path / "index")
+    search.build_vector_index(rows, "id", "v", path, cells=6, subspaces=4, codes=16)
+    exact = search.indexed_search_many(spark, path, queries, 5, nprobe=6, exclude_self=True)
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    scores = unit @ unit.T
+    np.fill_diagonal(scores, -2)
+    want = {(i, int(j)) for i in range(0, 480, 5) for j in np.argsort(-scores[i], kind="stable")[:5]}
+    assert {(r["query_id"], r["id"]) for r in exact.collect()} == want
+    found = search.indexed_search_many(spark, path, queries, 5, nprobe=3, refine=8, exclude_self=True)
+    told = search.index_recall(found, exact).first()
+    assert told["queries"] == 96 and told["wanted"] == 480 and told["recall"] >= 0.9
+    near = search.indexed_search_many(spark, path, queries, 1, nprobe=6, metric="l2").collect()
+    assert all(r["query_id"] == r["id"] for r in near)
+
+
 def test_take_reads_only_the_files_asked_for(spark, tmp_path):
     root = str(tmp_path / "with space & 5%")
     for n in range(6):
