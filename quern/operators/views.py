@@ -46,17 +46,18 @@ def create_views(store: TableStore, source: str, views: dict[str, str]) -> None:
     """
     table = store.read(source)
     full = {name: sql + dedup_clause(table, name) for name, sql in views.items()}
-    names = F.array(*[F.when(F.expr(sql), F.lit(name)) for name, sql in full.items()])
+    # Folders are named by numbers, so a view's name may hold any character.
+    names = F.array(*[F.when(F.expr(sql), F.lit(number)) for number, sql in enumerate(full.values())])
     path = store.part_path("_views")
     marked = table.withColumn("_view", F.explode(F.array_compact(names)))
     marked.write.partitionBy("_view").parquet(path)
     stored = store.spark.read.schema(marked.schema).parquet(path)
     counts = {r["_view"]: r["count"] for r in stored.groupBy("_view").count().collect()}
     key, version = store.key(source), store.version(source)
-    for name, sql in full.items():
-        if name in counts:
-            part = f"{path}/_view={name}"
-            store.adopt(name, part, counts[name], table.schema, key, source, sql, version)
+    for number, (name, sql) in enumerate(full.items()):
+        if number in counts:
+            part = f"{path}/_view={number}"
+            store.adopt(name, part, counts[number], table.schema, key, source, sql, version)
         else:
             store.create(name, table.where("false"), key, True, source, sql, version)
 

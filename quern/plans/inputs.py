@@ -13,7 +13,7 @@ from quern.functions.frames import add_features
 from quern.functions.text import byte_token_count, byte_tokens
 from quern.operators.dedup import repeat_flags
 from quern.operators.ordering import running_totals
-from quern.schema import CATEGORIES
+from quern.schema import CATEGORIES, LIGHT_COLORS, SCENES, TIMES_OF_DAY, WEATHER
 
 EPISODE_STRIDE = 1_000_000_000
 
@@ -72,22 +72,15 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         y2 = y1 + F.pmod(key * 11 + i * 13, F.lit(210)) + 10
         return F.array(*[e.cast("float") for e in (x1, y1, x2, y2)])
 
-    weather = ["clear", "overcast", "rainy", "snowy", "foggy", "undefined"]
-    scenes = [
-        "city street", "highway", "residential", "parking lot", "gas stations", "tunnel",
-        "undefined",
-    ]
-    times = ["daytime", "night", "dawn/dusk", "undefined"]
-    lights = ["none", "red", "green", "yellow"]
     return table(spark, sf_dir, "orders").select(
         key.alias("frame_key"),
         F.concat(F.lit("frame_"), F.lpad(key.cast("string"), 9, "0")).alias("image_id"),
         F.when(F.pmod(key, F.lit(5)) == 0, "val").otherwise("train").alias("split"),
         F.lit(1280).alias("width"),
         F.lit(720).alias("height"),
-        _pick(weather, F.pmod(key, F.lit(6))).alias("weather"),
-        _pick(scenes, F.pmod(cust, F.lit(7))).alias("scene"),
-        _pick(times, F.pmod(key + cust, F.lit(4))).alias("timeofday"),
+        _pick(WEATHER, F.pmod(key, F.lit(6))).alias("weather"),
+        _pick(SCENES, F.pmod(cust, F.lit(7))).alias("scene"),
+        _pick(TIMES_OF_DAY, F.pmod(key + cust, F.lit(4))).alias("timeofday"),
         epoch.alias("timestamp"),
         F.transform(
             slots, lambda i: _pick(CATEGORIES, F.pmod(key * 3 + cust + i * 7, F.lit(10)))
@@ -95,7 +88,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(slots, box).alias("ann_bboxes"),
         F.transform(slots, lambda i: F.pmod(key + i, F.lit(3)) == 0).alias("ann_occluded"),
         F.transform(slots, lambda i: F.pmod(cust + i, F.lit(4)) == 0).alias("ann_truncated"),
-        F.transform(slots, lambda i: _pick(lights, F.pmod(key + cust + i, F.lit(4)))).alias(
+        F.transform(slots, lambda i: _pick(LIGHT_COLORS, F.pmod(key + cust + i, F.lit(4)))).alias(
             "ann_traffic_light_colors"
         ),
         count.alias("num_annotations"),

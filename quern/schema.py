@@ -15,6 +15,7 @@ SCENES = [
     "gas stations", "tunnel", "undefined",
 ]
 TIMES_OF_DAY = ["daytime", "night", "dawn/dusk", "undefined"]
+LIGHT_COLORS = ["none", "red", "green", "yellow"]
 
 # Detector class of each category; a category not listed has none.
 CLASS_IDS = {
@@ -39,6 +40,7 @@ VERBATIM_SIMILARITY = 0.9
 OBSERVATION_STEPS = [-1, 0]
 ACTION_STEPS = list(range(-1, 15))
 
+# Prefix of injected copies, and columns that previews leave out.
 CANARY_PREFIX = "syndup_"
 HEAVY_COLUMNS = {"image_bytes", "ann_bboxes", "ann_occluded", "ann_truncated"}
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,7 +122,7 @@ class TableStore:
     # --- rows ----------------------------------------------------------------
 
     def part_path(self, name: str) -> str:
-        return f"{self.root}/{name}/{uuid.uuid4().hex[:12]}"
+        return f"{self.root}/{quote(name, safe='')}/{uuid.uuid4().hex[:12]}"
 
     def _write(self, df: DataFrame, name: str) -> tuple[str, int]:
         """Write a part; returns its path and rows, read from its footers."""
@@ -366,16 +367,6 @@ class TableStore:
         rows = self.manifest().where(F.col("name") == name)
         return rows.select("name", "version", "kind", "rows")
 
-    def storage(self, name: str) -> DataFrame:
-        """Files and bytes under a table, whatever the version."""
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(f"{self.root}/{name}")
-        )
-        return files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-
     def drop(self, name: str) -> None:
         """End a table; its files and versions stay."""
         self._commit(Commit(name, self._next(name), DROP))

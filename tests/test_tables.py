@@ -211,6 +211,15 @@ def test_odd_vectors_are_errors_and_ids_may_repeat(spark):
     assert [r["score"] for r in search.nearest(zero, "id", "v", [(2, [0.0, 0.0])], 1, exclude_self=True).collect()] == [0.0]
 
 
+def test_view_names_may_hold_any_character(spark, store):
+    names = {"a:b%": "id < 4", "with space/slash": "id >= 4", "none=0": "id < 0"}
+    views.create_views(store, "rows", names)
+    assert [store.read(n).count() for n in names] == [4, 6, 0]
+    store.append("rows", spark.range(100, 103).withColumn("text", F.lit("x")))
+    assert views.refresh_view(store, "with space/slash") == (6, 9)
+    assert views.refresh_view(store, "a:b%") == (4, 4)
+
+
 def test_batched_index_search(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(search, "PROBED_ROWS", 40)
     monkeypatch.setattr(search, "QUERIES_PER_PASS", 15)
