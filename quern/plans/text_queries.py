@@ -9,7 +9,10 @@ from quern.operators import counts, dedup, filters
 from quern.plans.inputs import corpus, counted_corpus, table, tokenized_corpus, with_sql
 from quern.plans.registry import query
 from quern.schema import BLOCK_LEN, EOS_ID, PAD_ID
+from quern.session import fresh_path
 from quern.sources.text import as_corpus
+from quern.streaming.cycle import file_stream
+from quern.streaming.first_seen import flag_arrivals
 
 CORPUS = with_sql("corpus")
 COUNTED = with_sql("corpus", "counted")
@@ -67,6 +70,22 @@ def first_occurrence(spark, d):
     return dedup.repeat_flags(corpus(spark, d))
 
 
+@query(
+    "first_occurrence_stream",
+    COUNTED + "select id, min(id) over (partition by h) as first_id, is_dup from counted join hashed using (id)",
+)
+def first_occurrence_stream(spark, d):
+    """Repeats flagged while the corpus arrives in four files, one micro-batch each."""
+    rows, root = corpus(spark, d).select("id", "text"), fresh_path(spark, "arrivals")
+    most = rows.agg(F.max("id").alias("n")).first()["n"] or 0
+    for quarter in range(4):  # ids rise from file to file
+        inside = F.expr(f"id * 4 div {most + 1}") == quarter
+        rows.where(inside).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = file_stream(spark, f"{root}/in", rows.schema, files_per_batch=1)
+    flag_arrivals(stream, "id", "text", f"{root}/flags", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/flags")
+
+
 @query("repeat_ids", COUNTED + "select id from counted where is_dup")
 def repeat_ids(spark, d):
     return dedup.repeat_ids(corpus(spark, d))
