@@ -12,7 +12,7 @@ from quern.plans.registry import query
 CLASSES = """classes(category, label) as (values ('person',1),('rider',1),('bicycle',2),('car',3),('motorcycle',4),
   ('bus',6),('train',7),('truck',8),('traffic light',10))"""
 
-MATCHED = with_sql("boxes", "predictions") + f""", {CLASSES},
+STEPS = f""", {CLASSES},
 truths as (select frame_key, box_id, label, x1, y1, x2, y2 from boxes join classes using (category) where x2>x1 and y2>y1),
 preds as (select frame_key, pred_id, label, score, x1, y1, x2, y2 from predictions join classes using (category) where score >= 0.3),
 pairs as (select p.frame_key, p.label, p.pred_id, p.score, t.box_id,
@@ -32,6 +32,7 @@ per_class as (select g.label, g.n_gt, cast(coalesce(sum(tp),0) as bigint) as tp,
     coalesce(sum(case when step>0 and tp=1 then cast(tp_cum as double)/(step+1) end), 0)/g.n_gt as ap
   from n_gt g left join curve c on c.label=g.label group by g.label, g.n_gt)
 """
+MATCHED = with_sql("boxes", "predictions") + STEPS
 
 
 def truths_of(spark, d):
@@ -139,6 +140,23 @@ def metrics_pair(spark, d):
     return both
 
 
-@query("metrics_compare")
+# The same steps for predictions that drift twice as far, in a subquery of their own.
+DRIFTED = """(with far as (select * replace (
+    x1 + ((frame_key % 31) - 15) as x1, x2 + ((frame_key % 31) - 15) as x2,
+    y1 + ((pred_id % 25) - 12) as y1, y2 + ((pred_id % 25) - 12) as y2) from predictions)""" + STEPS.replace(
+    "from predictions join", "from far join") + """select avg(ap) as map_50, sum(tp)/cast(sum(tp+fp) as double) as precision,
+  sum(tp)/cast(sum(n_gt) as double) as recall from per_class)"""
+
+
+@query(
+    "metrics_compare",
+    MATCHED
+    + """, f as (select avg(ap) as map_50, sum(tp)/cast(sum(tp+fp) as double) as precision,
+        sum(tp)/cast(sum(n_gt) as double) as recall from per_class), b as """
+    + DRIFTED
+    + """select 'Rider' as model, round(f.map_50 - b.map_50, 9) as map_50_delta, round(f.precision - b.precision, 9) as precision_delta,
+      round(f.recall - b.recall, 9) as recall_delta, case when f.map_50 > b.map_50 then 'PASS' else 'FAIL' end as status from f, b""",
+)
 def metrics_compare(spark, d):
-    return evaluate.compare_metrics(metrics_pair(spark, d))
+    told = evaluate.compare_metrics(metrics_pair(spark, d))
+    return told.withColumns({f"{m}_delta": F.round(f"{m}_delta", 9) for m in ("map_50", "precision", "recall")})

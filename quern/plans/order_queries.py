@@ -402,6 +402,19 @@ def footer_layout(spark, d):
     return found.withColumn("file", F.substring_index("file", "/", -1))
 
 
+@query(
+    "sorted_files_first_n",
+    "select doc_id, source from documents where doc_id % 7 < 3",
+)
+def sorted_files_first_n(spark, d):
+    """Rows of the first three of seven files, in the order of their paths."""
+    root = fresh_path(spark, "shards")
+    rows = table(spark, d, "documents").select("doc_id", "source")
+    dealt = rows.withColumn("shard", F.pmod(F.col("doc_id"), F.lit(7)))
+    dealt.repartition(7, "shard").write.partitionBy("shard").parquet(root)
+    return spark.read.parquet(*text_io.list_files(spark, root, "*.parquet", first=3)).select("doc_id", "source")
+
+
 @query("limit_n", "select doc_id, source from documents order by doc_id limit 50")
 def limit_n(spark, d):
     return table(spark, d, "documents").select("doc_id", "source").orderBy("doc_id").limit(50)
