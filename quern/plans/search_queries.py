@@ -229,7 +229,9 @@ nn as (select query_id, arg_max(id, (score, -id)) as id, max(score) as score fro
 
 
 def first_neighbors(spark, d):
-    firsts = table(spark, d, "documents").groupBy("text").agg(F.min("doc_id").alias("vec_id"))
+    # Hashes are grouped, so no text is shuffled.
+    hashed = table(spark, d, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("hash"))
+    firsts = hashed.groupBy("hash").agg(F.min("doc_id").alias("vec_id"))
     marked = firsts.select("vec_id", F.lit(True).alias("first"))
     rows = vectors(spark, d).join(marked, "vec_id", "left")
     return search.near_neighbors(rows, "vec_id", "embedding", 0.4, asked="first")
