@@ -44,6 +44,13 @@ def test_hamming_neighbors_match_brute_force(spark, hot_rows, threshold):
     assert got == brute_force_nearest(rows, threshold)
 
 
+def test_probes_are_not_broadcast(spark):
+    hashes = spark.range(100).selectExpr("xxhash64(id) AS h", "id AS keep_id")
+    near = dedup.nearest_distinct(hashes, hashes.select("h"), 10)
+    plan = near._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_flags_have_three_states_and_keep_first(spark):
     rows = [(1, 5), (2, 5), (3, 5), (4, -1), (5, None)]
     df = spark.createDataFrame(rows, "id bigint, h bigint")
