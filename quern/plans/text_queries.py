@@ -75,14 +75,14 @@ def first_occurrence(spark, d):
     COUNTED + "select id, min(id) over (partition by h) as first_id, is_dup from counted join hashed using (id)",
 )
 def first_occurrence_stream(spark, d):
-    """Repeats flagged while the corpus arrives in four files, one micro-batch each."""
+    """Repeats flagged while the corpus arrives in four deliveries, one micro-batch each."""
     rows, root = corpus(spark, d).select("id", "text"), fresh_path(spark, "arrivals")
     most = rows.agg(F.max("id").alias("n")).first()["n"] or 0
-    for quarter in range(4):  # ids rise from file to file
+    for quarter in range(4):  # ids rise from delivery to delivery, each of as many files as its tasks write
         inside = F.expr(f"id * 4 div {most + 1}") == quarter
-        rows.where(inside).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = file_stream(spark, f"{root}/in", rows.schema, files_per_batch=1)
-    flag_arrivals(stream, "id", "text", f"{root}/flags", f"{root}/state").awaitTermination()
+        rows.where(inside).write.mode("append").parquet(f"{root}/in")
+        stream = file_stream(spark, f"{root}/in", rows.schema)
+        flag_arrivals(stream, "id", "text", f"{root}/flags", f"{root}/state").awaitTermination()
     return spark.read.parquet(f"{root}/flags")
 
 
