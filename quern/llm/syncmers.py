@@ -25,7 +25,7 @@ S = 6
 INNER = K - S + 1
 KEPT = 96
 BLOCK = 64
-SEGMENT = 1 << 15
+SEGMENT = 1 << 12
 #: Text of neighbouring documents that one task puts in order together, and parts it is measured in.
 RANGE_BYTES = 16 << 20
 RANGE_PARTS = 4
@@ -54,14 +54,26 @@ def closed_syncmers(segment: Column, keep) -> Column:
                 F.sequence(F.lit(1), F.char_length(b["chars"]) - S + 1),
                 lambda i: F.hash(F.substring(b["chars"], i, F.lit(S)))).alias("inner")))
 
+    def with_low(b: Column, low: Column) -> Column:
+        return F.struct(b["at"].alias("at"), b["chars"].alias("chars"), b["inner"].alias("inner"), low.alias("low"))
+
+    def doubled(run: int):
+        return lambda b: with_low(b, F.zip_with(b["low"], F.slice(b["low"], run + 1, BLOCK + K), lambda x, y: F.least(x, y)))
+
+    # ``low``: the least of ``run`` neighbours, from two runs of half as many; two runs that overlap make INNER - 2.
+    lows, run = F.transform(hashed, lambda b: with_low(b, b["inner"])), 1
+    while 2 * run <= INNER - 2:
+        lows, run = F.transform(lows, doubled(run)), 2 * run
+
     def chosen(b: Column) -> Column:
-        closed = F.filter(
-            F.sequence(F.lit(1), F.size(b["inner"]) - INNER + 1),
-            lambda i: F.least(b["inner"][i - 1], b["inner"][i + (INNER - 2)])
-            <= F.array_min(F.slice(b["inner"], i + 1, INNER - 2)))
+        def is_closed(i: Column) -> Column:
+            end = F.least(b["inner"][i - 1], b["inner"][i + (INNER - 2)])
+            return (end <= b["low"][i]) & (end <= b["low"][i + (INNER - 2 - run)])
+
+        closed = F.filter(F.sequence(F.lit(1), F.size(b["inner"]) - INNER + 1), is_closed)
         return F.transform(closed, lambda i: keep(F.substring(b["chars"], i, F.lit(K)), b["at"] + i - 1))
 
-    found = F.flatten(F.transform(hashed, chosen))
+    found = F.flatten(F.transform(lows, chosen))
     return F.when(F.char_length(segment) >= K, found)
 
 
