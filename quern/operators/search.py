@@ -402,19 +402,32 @@ def _fit_centroids(vectors: DataFrame, column: str, cells: int, seed: int) -> np
     return np.array(model.clusterCenters())
 
 
-def _with_cell(df: DataFrame, column: str, centers: np.ndarray, name: str) -> DataFrame:
-    """Add the index of the nearest center, batch by batch."""
+def _with_cells(df: DataFrame, column: str, centers: np.ndarray, books: list[np.ndarray]) -> DataFrame:
+    """Add ``cell``, the nearest center, and with ``books`` the ``code`` of the nearest center per slice.
+
+    All are found in one step, batch by batch: a step for each slice would run as many Python workers in a task.
+    """
     at = df.columns.index(column)
 
+    def nearest_of(x: np.ndarray, those: np.ndarray) -> np.ndarray:
+        return ((those * those).sum(axis=1) - 2 * x @ those.T).argmin(axis=1).astype(np.int32)
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squares = (centers * centers).sum(axis=1)
         for batch in batches:
             flat = batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             x = flat.reshape(batch.num_rows, centers.shape[1])
-            cell = (squares - 2 * x @ centers.T).argmin(axis=1).astype(np.int32)
-            yield batch.append_column(name, pa.array(cell))
+            batch = batch.append_column("cell", pa.array(nearest_of(x, centers)))
+            if books:
+                pieces = np.split(x, len(books), axis=1)
+                codes = np.stack([nearest_of(piece, book) for piece, book in zip(pieces, books)], axis=1)
+                ends = pa.array(np.arange(0, codes.size + 1, len(books), dtype=np.int32))
+                batch = batch.append_column("code", pa.ListArray.from_arrays(ends, pa.array(codes.ravel())))
+            yield batch
 
-    return df.mapInArrow(assign, T.StructType([*df.schema, T.StructField(name, T.IntegerType())]))
+    added = [T.StructField("cell", T.IntegerType())]
+    if books:
+        added.append(T.StructField("code", T.ArrayType(T.IntegerType())))
+    return df.mapInArrow(assign, T.StructType([*df.schema, *added]))
 
 
 def build_vector_index(
@@ -445,20 +458,15 @@ def build_vector_index(
     rows = base.withColumn("_key", key)
     cells = max(1, min(cells, rows.count()))
     centers = _fit_centroids(rows, "_key", cells, seed)
-    placed = _with_cell(rows, "_key", centers, "cell")
+    books = []
     if subspaces:
         if centers.shape[1] % subspaces:
             raise ValueError(f"{centers.shape[1]} dimensions do not divide into {subspaces} subspaces")
         width = centers.shape[1] // subspaces
-        books = []
+        count = rows.count()
         for s in range(subspaces):
-            piece = F.slice("_key", s * width + 1, width)
-            placed = placed.withColumn("_piece", piece)
-            book = _fit_centroids(placed, "_piece", min(codes, rows.count()), seed + s)
-            books.append(book)
-            placed = _with_cell(placed, "_piece", book, f"_code{s}")
-        placed = placed.withColumn("code", F.array(*[f"_code{s}" for s in range(subspaces)]))
-        placed = placed.drop("_piece", *[f"_code{s}" for s in range(subspaces)])
+            pieces = rows.withColumn("_piece", F.slice("_key", s * width + 1, width))
+            books.append(_fit_centroids(pieces, "_piece", min(codes, count), seed + s))
         book_rows = [
             (s, c, [float(x) for x in center])
             for s, book in enumerate(books)
@@ -467,6 +475,7 @@ def build_vector_index(
         spark.createDataFrame(
             book_rows, "subspace int, code int, center array<double>"
         ).write.mode("overwrite").parquet(f"{path}/codebook")
+    placed = _with_cells(rows, "_key", centers, books)
     # Ranges split a hot cell over several tasks.
     spread = placed.drop("_key").repartitionByRange("cell", "id")
     spread.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")

@@ -566,3 +566,22 @@ def test_index_recall_and_many_queries(spark, tmp_path, monkeypatch):
     assert {r["id"] for r in full} == exact
     rough = search.indexed_vector_search(spark, path, queries[1][1], 10, nprobe=4, refine=12).collect()
     assert len({r["id"] for r in rough} & exact) >= 6
+
+
+def test_index_places_rows_and_codes_in_one_python_step(spark, tmp_path, monkeypatch):
+    data = np.random.default_rng(4).normal(size=(200, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id bigint, v array<double>")
+    steps, kept = [], type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, *a: steps.append(1) or kept(self, *a))
+    path = str(tmp_path / "index")
+    search.build_vector_index(rows, "id", "v", path, cells=3, metric="l2", subspaces=4, codes=8)
+    monkeypatch.undo()
+    assert len(steps) == 1
+    centers = np.array([r["center"] for r in spark.read.parquet(f"{path}/centers").orderBy("cell").collect()])
+    book = spark.read.parquet(f"{path}/codebook").orderBy("subspace", "code").collect()
+    books = [np.array([r["center"] for r in book if r["subspace"] == s]) for s in range(4)]
+    stored = {r["id"]: r for r in spark.read.parquet(f"{path}/vectors").collect()}
+    assert len(stored) == 200
+    for i, v in enumerate(data):
+        assert stored[i]["cell"] == ((centers - v) ** 2).sum(axis=1).argmin()
+        assert stored[i]["code"] == [int(((b - p) ** 2).sum(axis=1).argmin()) for b, p in zip(books, np.split(v, 4))]
