@@ -6,7 +6,9 @@
 2. A question is first compared with its own block. No row of a cell is nearer to it than the angle
    to the pivot less the radius, so only cells where this does not exceed the angle of the k-th row
    found so far (or the angle asked for) are left open.
-3. Questions go, packed too, to the blocks of their open cells, and the best k rows of all are kept.
+3. Blocks stand on shelves in the order of their cells. A block's questions go, packed too, once to
+   each shelf with an open cell, with a bit for each question and open cell, and the best k rows of
+   all are kept.
 
 The result is exact whatever the pivots. Where vectors form groups few cells stay open; where they
 do not (evenly spread in many dimensions) no bound can help, and every block meets every other one.
@@ -223,10 +225,14 @@ def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int,
     cells = checkpointed(cells)  # at most a row for each pivot
     subs = subs.join(cells.select("cell", "chunks"), "cell").withColumn(
         "chunk", F.expr("cast(pmod(xxhash64(bucket), chunks) as int)"))
+    # Blocks are numbered in the order of their cells, and consecutive ones share a shelf.
+    in_cells = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # at most a row for each pivot
+    starts = cells.withColumn("start", F.coalesce(F.sum("chunks").over(in_cells), F.lit(0)).cast("int"))
+    on_shelf = max(1, SHELF_ROWS // BLOCK_ROWS)
     # Every block is told of all cells: their pivots in the order of the numbers, radius and blocks.
     in_order = F.array_sort(F.collect_list(F.struct("pivot_no", "v")))
     pivot_row = numbered.agg(F.transform(in_order, lambda s: s["v"]).alias("pivots"))
-    cell_row = cells.agg(F.array_sort(F.collect_list(F.struct("cell", "radius", "chunks"))).alias("cells"))
+    cell_row = starts.agg(F.array_sort(F.collect_list(F.struct("cell", "radius", "chunks", "start"))).alias("cells"))
     # Both sides of a cogroup come from one table, so the columns of one are named anew.
     own_names = subs.select(F.col("cell").alias("to_cell"), F.col("chunk").alias("to_chunk")).distinct()
     known = own_names.join(F.broadcast(pivot_row.join(F.broadcast(cell_row))))  # one row
@@ -247,52 +253,68 @@ def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int,
         out = [{"kind": 0, "cell": cell, "chunk": chunk, **packed.pack(ids, wanted, x)}]
         cells_ = told["cells"][0].as_py()
         every = told["pivots"][0].as_py()
+        asked_of: dict[int, list] = {}
         for c in cells_:
             if c["cell"] == cell and c["chunks"] == 1:
                 continue
             if every and c["cell"] != cell:
                 gap = angles(unit[q] @ unit_rows(np.array([every[c["cell"]]]))[0]) - c["radius"]
-                open_ = q[gap <= reach + SLACK]
+                open_ = gap <= reach + SLACK
             else:
-                open_ = q
-            if len(open_):
-                out.append({"kind": 1, "cell": c["cell"], "chunk": -1, "from_cell": cell, "from_chunk": chunk,
-                            **packed.pack(ids[open_], wanted[open_], x[open_])})
+                open_ = np.ones(len(q), bool)
+            if open_.any():
+                for shelf in range(c["start"] // on_shelf, (c["start"] + c["chunks"] - 1) // on_shelf + 1):
+                    asked_of.setdefault(shelf, []).append((c["cell"], open_))
+        for shelf, asks in asked_of.items():
+            some = np.any([open_ for _, open_ in asks], axis=0)
+            out.append({"kind": 1, "cell": cell, "chunk": chunk, "shelf": shelf, "open_cells": [c for c, _ in asks],
+                        "open": np.packbits([open_[some] for _, open_ in asks], axis=1).tobytes(),
+                        **packed.pack(ids[q[some]], wanted[q[some]], x[q[some]])})
         if len(at):
             out.append({"kind": 2, "cell": cell, "chunk": chunk, "query_ids": ids[q[at]].tolist(), "found": found.tolist(),
                         "scores": cosine.tolist()})
         return pa.Table.from_pylist(out, pa.schema([
-            *[(n, pa.int32()) for n in ("kind", "cell", "chunk", "from_cell", "from_chunk")],
+            *[(n, pa.int32()) for n in ("kind", "cell", "chunk", "shelf")], ("open_cells", pa.list_(pa.int32())), ("open", pa.binary()),
             ("ids", pa.list_(arrow_id)), ("asked", pa.list_(pa.bool_())), ("vectors", pa.binary()),
             ("query_ids", pa.list_(arrow_id)), ("found", pa.list_(arrow_id)), ("scores", pa.list_(pa.float64()))]))
 
     both = checkpointed(subs.groupBy("cell", "chunk").cogroup(known.groupBy("to_cell", "to_chunk")).applyInArrow(
-        first, f"kind int, cell int, chunk int, from_cell int, from_chunk int, {packed.fields}, "
+        first, f"kind int, cell int, chunk int, shelf int, open_cells array<int>, open binary, {packed.fields}, "
         f"query_ids array<{id_type}>, found array<{id_type}>, scores array<double>"))
     arrays = F.explode(F.arrays_zip("query_ids", "found", "scores")).alias("f")
     own = both.where("kind = 2").select(arrays).select(
         F.col("f.query_ids").alias("query_id"), F.col("f.found").alias("id"), F.col("f.scores").alias("score"))
-    waiting = both.where("kind = 1").select("cell", "from_cell", "from_chunk", "ids", "asked", "vectors")
-    # Blocks share shelves, and questions are dealt to parts by where they come from: what a question
-    # finds on a shelf is cut to its best k rows before it leaves the task.
-    shelf = F.pmod(F.xxhash64("cell", "chunk"), F.lit(max(1, -(-count // SHELF_ROWS)))).cast("int").alias("shelf")
+    # Questions are dealt to parts by the block they come from: what a question finds on a shelf is cut
+    # to its best k rows before it leaves the task. A block goes only to the parts that ask its cell.
+    total = F.broadcast(cells.agg(F.sum("chunks").alias("total")))  # one row
+    numbers = F.broadcast(starts.select("cell", "start").join(total))
     parts = max(1, -(-asked_count // ASKED_AT_ONCE))
-    questions = waiting.join(cells.select("cell", "chunks"), "cell").select(
-        "cell", F.expr("explode(sequence(0, chunks - 1))").alias("chunk"), "from_cell", "from_chunk", "ids", "asked", "vectors",
-    ).where("NOT (cell = from_cell AND chunk = from_chunk)").select(
-        F.col("cell").alias("to_cell"), F.col("chunk").alias("to_chunk"), shelf.alias("to_shelf"),
-        F.pmod(F.xxhash64("from_cell", "from_chunk"), F.lit(parts)).cast("int").alias("to_part"),
-        *[F.col(c).alias(c) for c in ("ids", "asked", "vectors")])
-    blocks = both.where("kind = 0").select(
-        "cell", "chunk", shelf, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "ids", "asked", "vectors")
+    placed = both.where("kind < 2").join(numbers, "cell").withColumn("number", F.col("start") + F.col("chunk"))
+    questions = placed.where("kind = 1").select(
+        F.col("shelf").alias("to_shelf"), F.expr(f"cast(number * {parts}L div total as int)").alias("to_part"),
+        F.col("cell").alias("from_cell"), F.col("chunk").alias("from_chunk"), "open_cells", "open",
+        *[F.col(c).alias(c) for c in ("ids", "asked", "vectors")])  # named anew, as above
+    needed = questions.select(
+        F.explode("open_cells").alias("cell"), F.col("to_shelf").alias("shelf"), F.col("to_part").alias("part")).distinct()
+    blocks = placed.where("kind = 0").select(
+        "cell", "chunk", F.expr(f"number div {on_shelf}").cast("int").alias("shelf"), "ids", "asked", "vectors",
+    ).join(needed, ["cell", "shelf"])
 
     def tile(rows_: pa.Table, asked_: pa.Table) -> pa.Table:
         names, found, cosines = [], [], []
-        to = list(zip(asked_["to_cell"].to_pylist(), asked_["to_chunk"].to_pylist())) if asked_.num_rows else []
-        for r, block in enumerate(zip(rows_["cell"].to_pylist(), rows_["chunk"].to_pylist()) if to else ()):
-            own_questions = [i for i, t in enumerate(to) if t == block]
-            if own_questions:
-                q_ids, _, q = packed.unpack(asked_.take(own_questions))
+        # Per asking block: its name, its questions, and which of them each cell is open to.
+        asking = []
+        for i in range(asked_.num_rows if rows_.num_rows else 0):
+            q_ids, _, q = packed.unpack(asked_.slice(i, 1))
+            cells_ = asked_["open_cells"][i].as_py()
+            bits = np.frombuffer(asked_["open"][i].as_buffer(), np.uint8).reshape(len(cells_), -1)
+            name = (asked_["from_cell"][i].as_py(), asked_["from_chunk"][i].as_py())
+            asking.append((name, q_ids, q, dict(zip(cells_, bits))))
+        for r, block in enumerate(zip(rows_["cell"].to_pylist(), rows_["chunk"].to_pylist()) if asking else ()):
+            own = [(q_ids, q, np.flatnonzero(np.unpackbits(bits[block[0]], count=len(q_ids))))
+                   for name, q_ids, q, bits in asking if name != block and block[0] in bits]
+            if sum(len(at) for *_, at in own):
+                q_ids, q = np.concatenate([i[at] for i, _, at in own]), np.concatenate([v[at] for _, v, at in own])
                 ids, _, x = packed.unpack(rows_.slice(r, 1))
                 at, near, cosine = best_rows(unit_rows(q), q_ids, unit_rows(x), ids, k)
                 names.append(q_ids[at])

@@ -585,3 +585,18 @@ def test_index_places_rows_and_codes_in_one_python_step(spark, tmp_path, monkeyp
     for i, v in enumerate(data):
         assert stored[i]["cell"] == ((centers - v) ** 2).sum(axis=1).argmin()
         assert stored[i]["code"] == [int(((b - p) ** 2).sum(axis=1).argmin()) for b, p in zip(books, np.split(v, 4))]
+
+
+def test_a_question_is_sent_once_to_a_shelf_whatever_its_open_cells(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(neighbors, "SHELF_ROWS", 100)
+    monkeypatch.setattr(neighbors, "ASKED_AT_ONCE", 60)
+    vectors = np.random.default_rng(12).normal(size=(300, 12))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
+    sizes, keep = [], neighbors.checkpointed
+    monkeypatch.setattr(neighbors, "checkpointed", lambda df: sizes.append(keep(df)) or sizes[-1])
+    found = search.neighbors_of(rows, "id", "v", 2)
+    assert {(r["query_id"], r["id"]) for r in found.collect()} == plain_neighbors(vectors, 2)
+    blocks = sizes[-1].where("kind = 0").count()
+    sent = sizes[-1].where("kind = 1").agg(F.sum(F.size("ids"))).first()[0]
+    assert sent <= len(vectors) * -(-blocks // 5)
