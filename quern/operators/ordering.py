@@ -38,6 +38,7 @@ def seeded_positions(
     *extra: Column,
     totals: dict[str, Column] | None = None,
     keep_bucket: bool = False,
+    in_order: bool = False,
 ) -> DataFrame:
     """Add ``position``, the dense 0-based place of each row in a seeded order.
 
@@ -46,17 +47,24 @@ def seeded_positions(
     evaluation. Each bucket is ranked on its own and shifted by the count of the
     buckets before it. ``totals`` adds, per name, the running sum of a bigint
     column in that order, up to and including the row. ``keep_bucket`` leaves
-    ``_bucket``, by which the result is hash-partitioned.
+    ``_bucket``, by which the result is hash-partitioned. With ``in_order`` each task holds
+    consecutive buckets, so that rows can be written in the order without another shuffle.
     """
     sums = {"position": F.lit(1).cast("bigint"), **(totals or {})}
     keyed = df.withColumn("_key", seeded_key(seed, *extra, F.col(id_col)))
     keyed = keyed.withColumn("_bucket", key_bucket(F.col("_key")))
     counts = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
-    in_order = Window.orderBy("_bucket")  # at most 16**BUCKET_DIGITS rows
+    by_bucket = Window.orderBy("_bucket")  # at most 16**BUCKET_DIGITS rows
     offsets = counts.select(
-        "_bucket", *[before(F.col(f"_{n}"), in_order).alias(f"_{n}") for n in sums]
+        "_bucket", *[before(F.col(f"_{n}"), by_bucket).alias(f"_{n}") for n in sums]
     )
-    inside = Window.partitionBy("_bucket").orderBy("_key", id_col)
+    group = ["_bucket"]
+    if in_order:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        task = F.expr(f"cast(_bucket * {tasks}L div {16**BUCKET_DIGITS} as int)")
+        keyed = keyed.withColumn("_task", task).repartitionById(tasks, "_task")
+        group = ["_task", "_bucket"]
+    inside = Window.partitionBy(*group).orderBy("_key", id_col)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     ranked = keyed.select("*", *[F.sum(c).over(upto).alias(f"_in_{n}") for n, c in sums.items()])
     placed = ranked.join(F.broadcast(offsets), "_bucket")

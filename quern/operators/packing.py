@@ -155,11 +155,13 @@ def reshape_blocks(df: DataFrame, flat: str, block_len: int) -> DataFrame:
     return df.select(*others, F.posexplode(rows).alias("block_no", "input_ids"))
 
 
-def sized_shards(df: DataFrame, id_col: str, size: str, limit: int, seed: int) -> DataFrame:
+def sized_shards(
+    df: DataFrame, id_col: str, size: str, limit: int, seed: int, in_order: bool = False
+) -> DataFrame:
     """Shard by running bytes in the seeded order: a shard takes the rows that begin
     inside its ``limit`` bytes."""
     size_col = F.col(size).cast("bigint")
-    placed = seeded_positions(df, seed, id_col, totals={"_bytes": size_col})
+    placed = seeded_positions(df, seed, id_col, totals={"_bytes": size_col}, in_order=in_order)
     begin = F.col("_bytes") - size_col
     return placed.withColumn("shard", F.floor(begin / limit).cast("bigint")).drop("_bytes")
 

@@ -12,17 +12,20 @@ from quern.schema import ROWS_PER_GROUP
 BYTES_PER_TOKEN = 4
 
 
-def write_sharded(df: DataFrame, path: str, shard: str, order: list[str]) -> None:
+def write_sharded(df: DataFrame, path: str, shard: str, order: list[str], in_order: bool = False) -> None:
     """Uncompressed Parquet, one folder per shard, rows in order over a folder's files.
 
     Range partitions let several tasks write a large shard; file names follow the order.
+    Rows that are ``in_order`` over the tasks already are not shuffled. Tasks move their own
+    files into place: the driver would move those of many shards one after another.
     """
+    spread = df if in_order else df.repartitionByRange(shard, *order)
     (
-        df.repartitionByRange(shard, *order)
-        .sortWithinPartitions(shard, *order)
+        spread.sortWithinPartitions(shard, *order)
         .write.mode("overwrite")
         .option("compression", "none")
         .option("parquet.block.row.count.limit", str(ROWS_PER_GROUP))
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .partitionBy(shard)
         .parquet(path)
     )
@@ -42,19 +45,22 @@ def block_ids(blocks: DataFrame) -> DataFrame:
 
 def write_shuffled_shards(blocks: DataFrame, path: str, shards: int, seed: int) -> None:
     """A seeded global shuffle, cut into near-equal shards."""
-    placed = seeded_positions(block_ids(blocks), seed, "block_id")
-    write_sharded(equal_shards(placed, shards), path, "shard", ["position"])
+    placed = seeded_positions(block_ids(blocks), seed, "block_id", in_order=True)
+    write_sharded(equal_shards(placed, shards), path, "shard", ["position"], in_order=True)
 
 
 def write_sized_shards(blocks: DataFrame, path: str, limit: int, seed: int) -> DataFrame:
-    """Shards of at most about ``limit`` bytes; returns the index (shard, rows, bytes)."""
+    """Shards of at most about ``limit`` bytes; returns the index (shard, rows, bytes).
+
+    The index comes from the narrow rows of the same plan, so the many files of small shards
+    are not listed and opened again.
+    """
     sized = block_ids(blocks).withColumn("bytes", F.size("input_ids") * BYTES_PER_TOKEN)
-    sharded = sized_shards(sized, "block_id", "bytes", limit, seed)
-    write_sharded(sharded, path, "shard", ["position"])
-    stored = blocks.sparkSession.read.parquet(path)
-    index = shard_index(stored, "bytes")
+    sharded = sized_shards(sized, "block_id", "bytes", limit, seed, in_order=True)
+    write_sharded(sharded, path, "shard", ["position"], in_order=True)
+    index = shard_index(sized_shards(sized.select("block_id", "bytes"), "block_id", "bytes", limit, seed), "bytes")
     index.write.mode("overwrite").json(f"{path}-index")
-    return index
+    return blocks.sparkSession.read.schema(index.schema).json(f"{path}-index")
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:

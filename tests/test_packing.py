@@ -123,3 +123,23 @@ def test_pad_truncate_and_mask(spark):
         ([1, 2, 3, 4], [True] * 4),
         ([PAD] * 4, [False] * 4),
     ]
+
+
+def test_shards_are_written_with_one_shuffle_of_the_blocks(spark, tmp_path, monkeypatch):
+    rows = spark.range(300).select(
+        F.lit(0).alias("split_id"), F.col("id").alias("block_no"), F.array_repeat(F.col("id").cast("int"), 4).alias("input_ids"))
+    written, kept = [], type(rows.write).parquet
+    monkeypatch.setattr(type(rows.write), "parquet", lambda self, *a: written.append(self._df) or kept(self, *a))
+    block_io.write_shuffled_shards(rows, str(tmp_path / "shuffled"), 3, 5)
+    index = block_io.write_sized_shards(rows, str(tmp_path / "sized"), 16 * 5, 5)
+    monkeypatch.undo()
+    for df in written[:2]:  # the blocks, dealt in the order already, are not dealt once more by shard
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Repartition" in line and "shard" in line]
+    want = spark.read.parquet(str(tmp_path / "sized")).groupBy("shard").agg(F.count("*"), F.sum("bytes"), F.min("position"))
+    found = sorted(map(tuple, index.collect()))
+    assert [(s, n, b) for s, n, b, _ in sorted(map(tuple, want.collect()))] == found
+    assert [n for _, n, _ in found] == [5] * 60
+    position = ordering.seeded_positions(block_io.block_ids(rows), 5, "block_id").select("block_id", "position")
+    stored = spark.read.parquet(str(tmp_path / "shuffled")).select("block_id", "position")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, position.collect()))
