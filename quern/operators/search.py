@@ -22,6 +22,8 @@ BM25_K1, BM25_B = 1.2, 0.75
 FUSION_K = 60
 
 TERM_BUCKETS = 64
+# Documents of which one task holds the postings of a term bucket, on average.
+DOCUMENTS_PER_PART = 200_000
 
 # Query vectors compared in one pass over the table.
 QUERIES_PER_PASS = 2048
@@ -36,31 +38,48 @@ def term_bucket(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
 
 
-def postings(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(term, id, tf, length): one row per distinct term of a document.
+def postings(df: DataFrame, id_col: str, text: str, parts: int = 1) -> DataFrame:
+    """(term, id, length, tf, bucket): one row per distinct term of a document.
 
-    A document's repeats of a term collapse before the shuffle, and (term, id)
-    spreads a frequent term over all tasks.
+    A document's terms are counted in its own row, as runs of its sorted terms, so nothing is
+    grouped before the one shuffle. That goes by term bucket and by one of ``parts`` of the ids,
+    which spread a frequent term over several tasks. Documents that share id and length count as one.
     """
-    tokens = df.select(F.col(id_col).alias("id"), terms(F.col(text)).alias("tokens"))
-    exploded = tokens.select("id", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
-    return exploded.groupBy("term", "id", "length").agg(F.count("*").alias("tf"))
+    sorted_ = F.sort_array(terms(F.col(text)))
+    tokens = df.select(F.col(id_col).alias("id"), sorted_.alias("tokens")).where(F.size("tokens") > 0)
+    length = F.size("tokens")
+    begins = F.filter(
+        F.sequence(F.lit(0), length - 1),
+        lambda i: (i == 0) | (F.get("tokens", i) != F.get("tokens", i - 1)),
+    )
+    runs = F.transform(
+        F.col("begins"),
+        lambda b, n: F.struct(
+            F.get("tokens", b).alias("term"),
+            (F.coalesce(F.get("begins", n + 1), length) - b).cast("bigint").alias("tf"),
+        ),
+    )
+    counted = tokens.withColumn("begins", begins).select("id", length.alias("length"), F.explode(runs).alias("run"))
+    rows = counted.select("run.term", "id", "length", "run.tf", term_bucket(F.col("run.term")).alias("bucket"))
+    spread = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).repartition("bucket", "part")
+    again = df.groupBy(F.col(id_col)).count().where("count > 1")
+    if not again.isEmpty():
+        # All rows of a term and id are in one task by now.
+        spread = spread.groupBy("bucket", "part", "term", "id", "length").agg(F.sum("tf").alias("tf"))
+    return spread.select("term", "id", "length", "tf", "bucket")
 
 
 def write_text_index(df: DataFrame, id_col: str, text: str, path: str) -> None:
     """Write (or replace) the postings, partitioned by term bucket, and the statistics."""
-    rows = postings(df, id_col, text).withColumn("bucket", term_bucket(F.col("term")))
-    # Ranges split a frequent term over several tasks and keep the files few; sorted
-    # terms let Parquet statistics skip row groups inside a bucket.
-    order = ["bucket", "term", "id"]
-    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+    docs = df.agg(F.count(text).alias("docs")).first()["docs"]
+    rows = postings(df, id_col, text, 1 + docs // DOCUMENTS_PER_PART)
+    # Sorted terms let Parquet statistics skip row groups inside a bucket.
+    rows.sortWithinPartitions("bucket", "term", "id").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     # The sum of the term counts is the sum of the lengths, so the text is not split twice.
     stored = df.sparkSession.read.parquet(f"{path}/postings")
-    docs = df.agg(F.count(text).alias("docs"))
     words = stored.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("words"))
     mean = F.coalesce(F.try_divide(F.col("words"), F.col("docs")), F.lit(0.0))
-    stats = docs.join(F.broadcast(words)).select("docs", mean.alias("mean_length"))  # one row
+    stats = words.withColumn("docs", F.lit(docs).cast("bigint")).select("docs", mean.alias("mean_length"))  # one row
     stats.write.mode("overwrite").parquet(f"{path}/stats")
 
 

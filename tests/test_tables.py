@@ -600,3 +600,19 @@ def test_a_question_is_sent_once_to_a_shelf_whatever_its_open_cells(spark, monke
     blocks = sizes[-1].where("kind = 0").count()
     sent = sizes[-1].where("kind = 1").agg(F.sum(F.size("ids"))).first()[0]
     assert sent <= len(vectors) * -(-blocks // 5)
+
+
+def test_text_index_shuffles_its_postings_once(spark, tmp_path):
+    rows = [(1, "b a b"), (2, None), (3, "..."), (4, "A c"), (4, "A c"), (4, "c c c"), (None, "a"), (None, "a")]
+    docs = spark.createDataFrame(rows, "id bigint, text string")
+    once = search.postings(docs.where("id < 4"), "id", "text", 2)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan
+    assert sorted(map(tuple, once.select("term", "id", "length", "tf").collect())) == [("a", 1, 3, 1), ("b", 1, 3, 2)]
+    # Rows that share id and length count as one document.
+    search.write_text_index(docs, "id", "text", str(tmp_path / "index"))
+    stored = spark.read.parquet(str(tmp_path / "index" / "postings"))
+    found = {(r.term, r.id, r.length): r.tf for r in stored.collect()}
+    assert stored.count() == len(found) and found == {
+        ("a", 1, 3): 1, ("b", 1, 3): 2, ("a", 4, 2): 2, ("c", 4, 2): 2, ("c", 4, 3): 3, ("a", None, 1): 2}
+    assert spark.read.parquet(str(tmp_path / "index" / "stats")).first()["docs"] == 7
