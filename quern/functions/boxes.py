@@ -73,11 +73,11 @@ def valid_targets(categories: Column, boxes: Column) -> Column:
     )
 
 
-def iou(a: str, b: str) -> Column:
-    """Intersection over union of ``{a}x1..{a}y2`` and ``{b}x1..{b}y2`` columns."""
+def iou(a: str | Column, b: str | Column) -> Column:
+    """Intersection over union of two boxes: columns ``{a}x1..{a}y2``, or the fields of a struct."""
 
-    def edge(prefix: str, name: str) -> Column:
-        return F.col(f"{prefix}{name}")
+    def edge(box: str | Column, name: str) -> Column:
+        return F.col(f"{box}{name}") if isinstance(box, str) else box[name]
 
     wide = F.least(edge(a, "x2"), edge(b, "x2")) - F.greatest(edge(a, "x1"), edge(b, "x1"))
     high = F.least(edge(a, "y2"), edge(b, "y2")) - F.greatest(edge(a, "y1"), edge(b, "y1"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.boxes import category_class, iou
@@ -16,7 +16,7 @@ BOX = ["x1", "y1", "x2", "y2"]
 GROUP = ["frame_key", "label"]
 
 # Distinct boxes of one class in one frame, truths or predictions, beyond which
-# pairs are found through a spatial grid.
+# pairs are found through a spatial grid. A frame with no more boxes in all is matched in one piece.
 GRID_BOXES = 256
 
 
@@ -68,6 +68,13 @@ def _probe_cells(axis: str, threshold: float, reach: float) -> Column:
     return F.flatten(F.transform(levels, cells))
 
 
+def _reach(threshold: float) -> float:
+    reach = 1 / threshold - 1 if 0 < threshold < 1 else 0
+    if not math.isfinite(reach) or reach <= 0:
+        raise ValueError("the threshold must lie between 0 and 1")
+    return reach
+
+
 def overlap_pairs(
     predictions: DataFrame,
     truths: DataFrame,
@@ -81,9 +88,7 @@ def overlap_pairs(
     an overlap of t bounds the ratio of the extents by t and the gap between the
     lower edges by (1/t - 1) extents, so only nearby boxes of similar size meet.
     """
-    reach = 1 / threshold - 1 if 0 < threshold < 1 else 0
-    if not math.isfinite(reach) or reach <= 0:
-        raise ValueError("the threshold must lie between 0 and 1")
+    reach = _reach(threshold)
     matched = iou("p_", "t_")
     # Either side may crowd a frame: a few truths meet a million predictions as well.
     sides = truths.select(*GROUP, F.lit(0).alias("p"), F.lit(1).alias("t")).unionByName(
@@ -129,9 +134,56 @@ def match_predictions(
 
     A prediction is right if its best truth overlaps enough and no higher-scored
     prediction has the same best truth. Score ties go to the lowest prediction
-    id, overlap ties to the lowest truth id. Identical boxes collapse before the
-    join: of equal truths only the lowest id can be best, and of equal
-    predictions only the best-scored can win.
+    id, overlap ties to the lowest truth id. Each side is shuffled once, by frame;
+    only frames with more than ``grid_boxes`` boxes on a side are joined box by box.
+    """
+    _reach(threshold)
+    sides = truths.select("frame_key", F.lit(0).alias("p"), F.lit(1).alias("t")).unionByName(
+        predictions.select("frame_key", F.lit(1).alias("p"), F.lit(0).alias("t"))
+    )
+    sizes = sides.groupBy("frame_key").agg(F.sum("p").alias("p"), F.sum("t").alias("t"))
+    crowded = checkpointed(sizes.where(F.greatest("p", "t") > grid_boxes).select("frame_key"))
+    if crowded.isEmpty():
+        return _matched_by_frame(truths, predictions, threshold)
+    plain = _matched_by_frame(
+        truths.join(crowded, "frame_key", "left_anti"), predictions.join(crowded, "frame_key", "left_anti"), threshold
+    )
+    return plain.unionByName(
+        _matched_by_box(
+            truths.join(crowded, "frame_key", "left_semi"),
+            predictions.join(crowded, "frame_key", "left_semi"),
+            threshold,
+            grid_boxes,
+        )
+    )
+
+
+def _matched_by_frame(truths: DataFrame, predictions: DataFrame, threshold: float) -> DataFrame:
+    """The matches of frames whose truths fit in one row."""
+    of_frame = truths.groupBy("frame_key").agg(F.collect_list(F.struct("label", "box_id", *BOX)).alias("truths"))
+    own = F.filter("truths", lambda t: t["label"] == F.col("label"))
+    overlaps = F.transform(own, lambda t: F.struct(iou("", t).alias("iou"), (-t["box_id"]).alias("order")))
+    ranked = F.struct(F.col("score"), (-F.col("pred_id")).alias("order"))
+    best = predictions.join(of_frame, "frame_key").select(
+        *GROUP, "pred_id", "score", ranked.alias("ranked"), F.array_max(overlaps).alias("best")
+    ).where("best IS NOT NULL")
+    near = F.coalesce(F.col("best.iou") >= threshold, F.lit(False))
+    placed = best.select(*GROUP, "pred_id", "score", "ranked", near.alias("near"), F.col("best.order").alias("truth"))
+    of_truth = Window.partitionBy(*GROUP, "near", "truth")
+    won = F.col("near") & F.col("pred_id").isNotNull() & (F.col("ranked") == F.max("ranked").over(of_truth))
+    # A prediction is known by its frame and id. Rows that share these are right together, once for each truth won.
+    of_id = Window.partitionBy("frame_key", "pred_id")
+    wins = F.collect_set(F.when(F.col("won"), F.struct("label", "truth"))).over(of_id)
+    judged = placed.withColumn("won", won).select(*GROUP, "pred_id", "score", F.size(wins).alias("wins"))
+    tp = F.least("wins", F.lit(1))
+    return judged.select(*GROUP, "pred_id", "score", F.explode(F.array_repeat(tp, F.greatest("wins", F.lit(1)))).alias("tp"))
+
+
+def _matched_by_box(truths: DataFrame, predictions: DataFrame, threshold: float, grid_boxes: int) -> DataFrame:
+    """The matches of crowded frames, by pairs of boxes.
+
+    Identical boxes collapse before the join: of equal truths only the lowest id can be best, and
+    of equal predictions only the best-scored can win.
     """
     # Written once: the crowd check, the classes of a frame and the join all read it.
     distinct_t = checkpointed(truths.groupBy(*GROUP, *BOX).agg(F.min("box_id").alias("box_id")))

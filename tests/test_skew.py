@@ -171,3 +171,26 @@ def test_windows_do_not_depend_on_chunks(spark):
         assert r["actions"] == want
         assert r["observations"] == [max(i - 1, low) * 10.0, i * 10.0]
         assert r["action_is_pad"] == [not low <= i + s <= high for s in range(-1, 15)]
+
+
+def test_frames_without_crowds_shuffle_each_side_once(spark):
+    edges = "x1 double, y1 double, x2 double, y2 double"
+    box, far = (0.0, 0.0, 10.0, 10.0), (1.0, 0.0, 11.0, 10.0)
+    truths = [(1, 1, 2, *box), (1, 2, 2, *far), (1, 1, 2, *box), (1, 3, 1, *box), (2, 5, 2, *box), (None, 6, 2, *box)]
+    preds = [
+        (1, 1, 2, 0.9, *box), (1, 1, 2, 0.9, *box), (1, 1, 2, 0.5, *far), (1, 1, 1, 0.4, *box), (1, 2, 1, 0.9, *far),
+        (1, None, 2, 0.95, *far), (2, 7, 3, 0.9, *box), (2, 8, 2, 0.7, *box), (2, 8, 2, 0.7, *box), (2, 9, 2, 0.7, *box),
+        (3, 1, 2, 0.9, *box), (None, 1, 2, 0.9, *box)]
+    t = spark.createDataFrame(truths, f"frame_key bigint, box_id bigint, label int, {edges}")
+    p = spark.createDataFrame(preds, f"frame_key bigint, pred_id bigint, label int, score double, {edges}")
+    plain = evaluate.match_predictions(t, p)
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+    def rows(df):
+        return sorted(map(str, df.select("frame_key", "label", "pred_id", "score", "tp").collect()))
+
+    # One frame is crowded, or all are: the same matches, rows that repeat a frame and id included.
+    assert rows(plain) == rows(evaluate.match_predictions(t, p, grid_boxes=4))
+    assert rows(plain) == rows(evaluate.match_predictions(t, p, grid_boxes=0))
+    with pytest.raises(ValueError):
+        evaluate.match_predictions(t, p, threshold=1.0)
