@@ -24,11 +24,14 @@ from pyspark.sql import types as T
 
 from quern.session import checkpointed
 
-#: Rows of a block; questions that meet a block in one task.
+#: Rows of a block; questions that meet a block in one task, at least, and in one product.
 BLOCK_ROWS = 4096
 ASKED_AT_ONCE = 16_384
-#: Rows of the blocks that meet their questions in one task.
+#: Rows of the blocks that meet their questions in one task, at least.
 SHELF_ROWS = 65_536
+#: Parts the questions and shelves the rows are cut into, until a task would hold so many bytes of either.
+PARTS, SHELVES = 4, 8
+HELD_BYTES = 32 << 20
 #: The most pivots, about.
 PIVOTS = 1024
 #: Rows of a product taken at once.
@@ -78,6 +81,22 @@ def best_rows(
     return np.concatenate(places), np.concatenate(found), np.concatenate(cosines)
 
 
+def held_rows(count: int, cut: int, least: int, row_bytes: int) -> int:
+    """Rows that a task holds of ``count``: a ``cut``-th, so the copies that travel do not grow with the rows
+    until the bytes bound it, and no fewer than ``least``."""
+    return max(least, min(-(-count // cut), HELD_BYTES // row_bytes))
+
+
+def best_of(names: np.ndarray, found: np.ndarray, cosines: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The best ``k`` rows of each question, the lowest id on a tie."""
+    order = np.argsort(found, kind="stable")
+    order = order[np.argsort(-cosines[order], kind="stable")]
+    order = order[np.argsort(names[order], kind="stable")]
+    names, found, cosines = names[order], found[order], cosines[order]
+    keep = np.arange(len(names)) - np.searchsorted(names, names, "left") < k
+    return names[keep], found[keep], cosines[keep]
+
+
 def angles(cosines: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cosines, -1, 1))
 
@@ -147,7 +166,8 @@ def neighbors(
         raise ValueError(f"a vector has not {told['most']} numbers, but {told['least']}")
     if told["wrong"]:
         raise ValueError(f"{told['wrong']} vectors hold a missing or non-finite number")
-    found = _compared(rows.where("NOT zero"), told["rows"] - told["zero"], Packed(id_type, element), id_type, k, within, told["asked"])
+    found = _compared(rows.where("NOT zero"), told["rows"] - told["zero"], Packed(id_type, element), id_type, k, within, told["asked"],
+                      told["most"])
     if told["zero"]:
         found = found.unionByName(_beside_zero(rows, k))
     if within is not None:
@@ -185,7 +205,8 @@ def _one_block(rows: DataFrame, packed: Packed, id_type: str, k: int) -> DataFra
     return block.groupBy("block").applyInArrow(compare, f"query_id {id_type}, id {id_type}, score double")
 
 
-def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int, within: float | None, asked_count: int) -> DataFrame:
+def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int, within: float | None, asked_count: int,
+              width: int) -> DataFrame:
     buckets = max(1, -(-count // BLOCK_ROWS))
     if buckets == 1:
         return _one_block(rows, packed, id_type, k)
@@ -228,7 +249,8 @@ def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int,
     # Blocks are numbered in the order of their cells, and consecutive ones share a shelf.
     in_cells = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # at most a row for each pivot
     starts = cells.withColumn("start", F.coalesce(F.sum("chunks").over(in_cells), F.lit(0)).cast("int"))
-    on_shelf = max(1, SHELF_ROWS // BLOCK_ROWS)
+    row_bytes = max(1, width * packed.element.itemsize)
+    on_shelf = max(1, held_rows(count, SHELVES, SHELF_ROWS, row_bytes) // BLOCK_ROWS)
     # Every block is told of all cells: their pivots in the order of the numbers, radius and blocks.
     in_order = F.array_sort(F.collect_list(F.struct("pivot_no", "v")))
     pivot_row = numbered.agg(F.transform(in_order, lambda s: s["v"]).alias("pivots"))
@@ -288,7 +310,7 @@ def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int,
     # to its best k rows before it leaves the task. A block goes only to the parts that ask its cell.
     total = F.broadcast(cells.agg(F.sum("chunks").alias("total")))  # one row
     numbers = F.broadcast(starts.select("cell", "start").join(total))
-    parts = max(1, -(-asked_count // ASKED_AT_ONCE))
+    parts = max(1, -(-asked_count // held_rows(asked_count, PARTS, ASKED_AT_ONCE, row_bytes)))
     placed = both.where("kind < 2").join(numbers, "cell").withColumn("number", F.col("start") + F.col("chunk"))
     questions = placed.where("kind = 1").select(
         F.col("shelf").alias("to_shelf"), F.expr(f"cast(number * {parts}L div total as int)").alias("to_part"),
@@ -301,7 +323,7 @@ def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int,
     ).join(needed, ["cell", "shelf"])
 
     def tile(rows_: pa.Table, asked_: pa.Table) -> pa.Table:
-        names, found, cosines = [], [], []
+        gathered, rows_gathered = [], 0
         # Per asking block: its name, its questions, and which of them each cell is open to.
         asking = []
         for i in range(asked_.num_rows if rows_.num_rows else 0):
@@ -310,26 +332,30 @@ def _compared(rows: DataFrame, count: int, packed: Packed, id_type: str, k: int,
             bits = np.frombuffer(asked_["open"][i].as_buffer(), np.uint8).reshape(len(cells_), -1)
             name = (asked_["from_cell"][i].as_py(), asked_["from_chunk"][i].as_py())
             asking.append((name, q_ids, q, dict(zip(cells_, bits))))
+        most = 4 * k * sum(len(q_ids) for _, q_ids, *_ in asking)
         for r, block in enumerate(zip(rows_["cell"].to_pylist(), rows_["chunk"].to_pylist()) if asking else ()):
             own = [(q_ids, q, np.flatnonzero(np.unpackbits(bits[block[0]], count=len(q_ids))))
                    for name, q_ids, q, bits in asking if name != block and block[0] in bits]
-            if sum(len(at) for *_, at in own):
-                q_ids, q = np.concatenate([i[at] for i, _, at in own]), np.concatenate([v[at] for _, v, at in own])
-                ids, _, x = packed.unpack(rows_.slice(r, 1))
-                at, near, cosine = best_rows(unit_rows(q), q_ids, unit_rows(x), ids, k)
-                names.append(q_ids[at])
-                found.append(near)
-                cosines.append(cosine)
-        if not names:
+            sizes = np.cumsum([len(at) for *_, at in own])
+            if not own or not sizes[-1]:
+                continue
+            ids, _, x = packed.unpack(rows_.slice(r, 1))
+            unit, product = unit_rows(x), (sizes - 1) // ASKED_AT_ONCE
+            for p in np.unique(product):
+                some = [o for o, n in zip(own, product) if n == p]
+                q_ids, q = np.concatenate([i[at] for i, _, at in some]), np.concatenate([v[at] for _, v, at in some])
+                if len(q_ids):
+                    at, near, cosine = best_rows(unit_rows(q), q_ids, unit, ids, k)
+                    gathered.append((q_ids[at], near, cosine))
+                    rows_gathered += len(at)
+            if rows_gathered > most:
+                gathered = [best_of(*(np.concatenate(c) for c in zip(*gathered)), k)]
+                rows_gathered = len(gathered[0][0])
+        if not gathered:
             return pa.table({"query_id": pa.array([], arrow_id), "id": pa.array([], arrow_id), "score": pa.array([], pa.float64())})
-        names, found, cosines = (np.concatenate(c) for c in (names, found, cosines))
-        order = np.argsort(found, kind="stable")
-        order = order[np.argsort(-cosines[order], kind="stable")]
-        order = order[np.argsort(names[order], kind="stable")]
-        names, found, cosines = names[order], found[order], cosines[order]
-        keep = np.arange(len(names)) - np.searchsorted(names, names, "left") < k
-        return pa.table({"query_id": pa.array(names[keep].tolist(), arrow_id), "id": pa.array(found[keep].tolist(), arrow_id),
-                         "score": pa.array(cosines[keep])})
+        names, found, cosines = best_of(*(np.concatenate(c) for c in zip(*gathered)), k)
+        return pa.table({"query_id": pa.array(names.tolist(), arrow_id), "id": pa.array(found.tolist(), arrow_id),
+                         "score": pa.array(cosines)})
 
     more = blocks.groupBy("shelf", "part").cogroup(questions.groupBy("to_shelf", "to_part")).applyInArrow(
         tile, f"query_id {id_type}, id {id_type}, score double")

@@ -616,3 +616,20 @@ def test_text_index_shuffles_its_postings_once(spark, tmp_path):
     assert stored.count() == len(found) and found == {
         ("a", 1, 3): 1, ("b", 1, 3): 2, ("a", 4, 2): 2, ("c", 4, 2): 2, ("c", 4, 3): 3, ("a", None, 1): 2}
     assert spark.read.parquet(str(tmp_path / "index" / "stats")).first()["docs"] == 7
+
+
+def test_shelves_and_parts_grow_with_the_rows(spark, monkeypatch):
+    for name, value in (("BLOCK_ROWS", 5), ("SHELF_ROWS", 20), ("ASKED_AT_ONCE", 30)):
+        monkeypatch.setattr(neighbors, name, value)
+    vectors = np.random.default_rng(13).normal(size=(300, 12))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id bigint, v array<double>")
+    sizes, keep = [], neighbors.checkpointed
+    monkeypatch.setattr(neighbors, "checkpointed", lambda df: sizes.append(keep(df)) or sizes[-1])
+    found = search.neighbors_of(rows, "id", "v", 2)
+    assert {(r["query_id"], r["id"]) for r in found.collect()} == plain_neighbors(vectors, 2)
+    # An eighth of the rows, 38, are seven blocks on a shelf, not the least of four.
+    blocks = sizes[-1].where("kind = 0").count()
+    sent = sizes[-1].where("kind = 1").agg(F.sum(F.size("ids"))).first()[0]
+    assert sent <= len(vectors) * -(-blocks // 7)
+    assert neighbors.held_rows(3_000_000, 8, 20, 256) == 131_072
+    assert neighbors.held_rows(3_000_000, 8, 20, 1 << 30) == 20
