@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from quern.llm import mixing, scoring
+from quern.llm import mixing, running, scoring
 
 
 def tokens(text):
@@ -128,3 +128,66 @@ def test_empty_tables(spark):
     assert scoring.scores(empty).count() == 0
     one = scoring.scores(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0].n_tokens == 1
+
+
+def test_running_text_is_mixed_step_by_step():
+    rng = np.random.default_rng(4)
+    words, sizes = rng.integers(0, 7, 60).astype("<u2"), np.array([1, 30, 4, 25])
+    classes = np.repeat([0, 1, 1, 0], sizes)
+    model = running.Model(running.code_of([5, 9, 1, 1, 4, 2, 30]), 2, running.LEAST_BITS)
+    counts = np.zeros(2 * model.slots, np.uint32)
+    running.count(model, words, classes, sizes, counts)
+    assert counts.sum() == model.code.lengths[words].sum() * (1 + len(running.BACK))
+    mixer = running.Mixer(model, running.packed(counts, int(model.offsets[1])))
+    mixer.learn(words, classes, sizes)
+    mixer.watch(words, classes, sizes, mixer.refined)
+    got = mixer.log10(words, classes, sizes)
+    # One text cut before each of its words, with each number in its place: they add up to one.
+    begin = np.cumsum(sizes) - sizes
+    for text, place in ((1, 0), (1, 17), (3, 24)):
+        head = words[begin[text] : begin[text] + place]
+        each = [mixer.log10(np.append(head, n).astype("<u2"), np.full(place + 1, classes[begin[text]]), np.array([place + 1]))[-1]
+                for n in range(7)]
+        assert sum(10.0**x for x in each) == pytest.approx(1, abs=1e-4)
+        assert got[begin[text] + place] == pytest.approx(each[words[begin[text] + place]], abs=1e-5)
+
+
+def test_along_adapts_to_the_words_before():
+    logs, keys, sizes = np.log10([0.2, 0.1, 0.3, 0.2, 0.05]), np.array([3, 3, 4, 3, 9]), [4, 1]
+    again = scoring.occurrences(keys)
+    assert again.tolist() == [0, 1, 0, 2, 0]
+    want = [np.mean([np.prod([(again[i] + a * 10 ** logs[i]) / (n + a) for n, i in enumerate(those)]) for a in scoring.STRENGTHS])
+            for those in ([0, 1, 2, 3], [4])]
+    assert scoring.along(logs, again, np.array(sizes)) == pytest.approx(np.log10(want))
+
+
+def test_score_heeds_the_order_of_words(spark):
+    rng = random.Random(6)
+    chain = {w: rng.sample("red green blue one two three four five".split(), 2) for w in "red green blue one two three four five".split()}
+
+    def text():
+        words = [rng.choice(list(chain))]
+        while len(words) < 40:
+            words.append(rng.choice(chain[words[-1]]))
+        return words
+
+    rows = [(i, text()) for i in range(300)]
+    for i, words in rows[:60]:
+        rows.append((1000 + i, rng.sample(words, len(words))))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in scoring.scores(docs).collect()}
+    assert sum(score[i] for i in range(60)) > 0.8 * sum(score[1000 + i] for i in range(60))
+
+
+@pytest.mark.parametrize("most", [2, 3, 65_534])
+def test_commonest_words_get_numbers(spark, monkeypatch, most):
+    monkeypatch.setattr(running, "MOST_WORDS", most)
+    texts = ["the the the", "a the a", "of a " + "x" * 90, "x" * 90 + " once"]
+    docs = spark.createDataFrame([(i, t) for i, t in zip((0, 1, 2, 4), texts)], "doc_id long, text string")
+    assert not any(remainder(i) == scoring.HELD_OUT for i in (0, 1, 2, 4))
+    cuts = scoring.cut(docs, 3, np.zeros((1, len(scoring.LETTERS))))
+    buckets = cuts.filter("bucket >= 0").select("bucket", "piece", "first", "words", "learned", "aside").groupBy(
+        "bucket").applyInArrow(scoring._gather, scoring.BUCKETS)
+    words, counts, classes = scoring.numbered_words(buckets)
+    assert dict(zip(words, counts.tolist())) == {"the": 4, "\n": 4} | ({"a": 3} if most > 2 else {})
+    assert classes[:, 0].tolist() == counts.tolist()
