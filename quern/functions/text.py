@@ -16,6 +16,10 @@ from quern.schema import BOS_ID, EOS_ID
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 TERM = r"[\p{L}\p{N}]+"
 
+# Ids below this can be code points; a missing id sorts before any 32-bit one.
+CODE_POINTS = 0x110000
+NULL_ID = -(2**31) - 1
+
 
 def normalize_space(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, WHITESPACE, " "))
@@ -61,6 +65,51 @@ def byte_tokens(text: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out), mask=nulls)
 
 
+@F.arrow_udf(T.BinaryType())
+def packed_ids(ids: pa.Array) -> pa.Array:
+    """Token ids as bytes, for rows that travel or are sorted: in UTF-8, with each id as a code
+    point, most ids of text take one byte instead of four. A row with a null, negative or larger
+    id takes eight bytes an id. Either form sorts as the ids do."""
+    ends, values = ids.offsets.to_numpy(), ids.values
+    flat = values.fill_null(-1).to_numpy(zero_copy_only=False)
+    wide = np.flatnonzero((flat < 0) | (flat >= CODE_POINTS))
+    first = np.searchsorted(wide, ends)  # of the wide ids, per row
+    found = []
+    for i, valid in enumerate(ids.is_valid().to_pylist()):
+        own = slice(ends[i], ends[i + 1])
+        if not valid:
+            found.append(None)
+        elif first[i] < first[i + 1]:
+            all_ids = values[ends[i] : ends[i + 1]].cast(pa.int64()).fill_null(NULL_ID).to_numpy()
+            found.append(b"\1" + (all_ids - NULL_ID).astype(">u8").tobytes())
+        else:
+            text = flat[own].astype("<i4", copy=False).tobytes().decode("utf-32-le", "surrogatepass")
+            found.append(b"\0" + text.encode("utf-8", "surrogatepass"))
+    return pa.array(found, pa.binary())
+
+
+def _ids_of(packed: bytes) -> np.ndarray:
+    if packed[:1] == b"\1":
+        return np.frombuffer(packed, ">u8", offset=1).astype(np.int64) + NULL_ID
+    points = packed[1:].decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(points, "<i4")
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def unpacked_ids(pieces: pa.Array) -> pa.Array:
+    """The ids of an array of packed pieces, one after another; NULL if a piece is NULL."""
+    parts, ends, nulls = [np.empty(0, np.int32)], [0], []
+    for row in pieces.to_pylist():
+        nulls.append(row is None or None in row)
+        own = [] if nulls[-1] else [_ids_of(piece) for piece in row]
+        parts += own
+        ends.append(ends[-1] + sum(map(len, own)))
+    flat = np.concatenate(parts)
+    values = pa.array(flat) if flat.dtype == np.int32 else pa.array(flat, mask=flat == NULL_ID)
+    mask = pa.array(nulls, pa.bool_()) if any(nulls) else None
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values.cast(pa.int32()), mask=mask)
+
+
 def pad_id_of(vocab_size: int) -> int:
     """The pad id: one past the vocabulary, so never a real token."""
     return vocab_size

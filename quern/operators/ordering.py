@@ -31,6 +31,24 @@ def before(column: Column, window) -> Column:
     return F.coalesce(F.sum(column).over(preceding), F.lit(0))
 
 
+def _added(totals: dict[str, Column] | None) -> dict[str, Column]:
+    return {"position": F.lit(1).cast("bigint"), **(totals or {})}
+
+
+def _keyed(df: DataFrame, seed: int, id_col: str, *extra: Column) -> DataFrame:
+    keyed = df.withColumn("_key", seeded_key(seed, *extra, F.col(id_col)))
+    return keyed.withColumn("_bucket", key_bucket(F.col("_key")))
+
+
+def bucket_sums(
+    df: DataFrame, seed: int, id_col: str, *extra: Column, totals: dict[str, Column] | None = None
+) -> DataFrame:
+    """Rows and totals of each bucket of a seeded order, at most 16**BUCKET_DIGITS rows."""
+    return _keyed(df, seed, id_col, *extra).groupBy("_bucket").agg(
+        *[F.sum(c).alias(f"_{n}") for n, c in _added(totals).items()]
+    )
+
+
 def seeded_positions(
     df: DataFrame,
     seed: int,
@@ -39,6 +57,8 @@ def seeded_positions(
     totals: dict[str, Column] | None = None,
     keep_bucket: bool = False,
     in_order: bool = False,
+    sums: DataFrame | None = None,
+    turn: tuple[int, int] = (0, 1),
 ) -> DataFrame:
     """Add ``position``, the dense 0-based place of each row in a seeded order.
 
@@ -49,24 +69,30 @@ def seeded_positions(
     column in that order, up to and including the row. ``keep_bucket`` leaves
     ``_bucket``, by which the result is hash-partitioned. With ``in_order`` each task holds
     consecutive buckets, so that rows can be written in the order without another shuffle.
+    ``turn`` (i, n) then gives only the rows of the i-th of n runs of tasks, placed among
+    all rows; the ``bucket_sums`` of all, if given, are not taken again.
     """
-    sums = {"position": F.lit(1).cast("bigint"), **(totals or {})}
-    keyed = df.withColumn("_key", seeded_key(seed, *extra, F.col(id_col)))
-    keyed = keyed.withColumn("_bucket", key_bucket(F.col("_key")))
-    counts = keyed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    added = _added(totals)
+    keyed = _keyed(df, seed, id_col, *extra)
+    counts = bucket_sums(df, seed, id_col, *extra, totals=totals) if sums is None else sums
     by_bucket = Window.orderBy("_bucket")  # at most 16**BUCKET_DIGITS rows
     offsets = counts.select(
-        "_bucket", *[before(F.col(f"_{n}"), by_bucket).alias(f"_{n}") for n in sums]
+        "_bucket", *[before(F.col(f"_{n}"), by_bucket).alias(f"_{n}") for n in added]
     )
     group = ["_bucket"]
     if in_order:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if turn[1] > 1:  # enough for each turn
+            tasks = max(tasks, turn[1] * df.sparkSession.sparkContext.defaultParallelism)
         task = F.expr(f"cast(_bucket * {tasks}L div {16**BUCKET_DIGITS} as int)")
-        keyed = keyed.withColumn("_task", task).repartitionById(tasks, "_task")
+        keyed = keyed.withColumn("_task", task)
+        if turn[1] > 1:
+            keyed = keyed.where(F.expr(f"_task * {turn[1]}L div {tasks}") == turn[0])
+        keyed = keyed.repartitionById(tasks, "_task")
         group = ["_task", "_bucket"]
     inside = Window.partitionBy(*group).orderBy("_key", id_col)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = keyed.select("*", *[F.sum(c).over(upto).alias(f"_in_{n}") for n, c in sums.items()])
+    ranked = keyed.select("*", *[F.sum(c).over(upto).alias(f"_in_{n}") for n, c in added.items()])
     placed = ranked.join(F.broadcast(offsets), "_bucket")
     shift = {"position": 1}
     return placed.select(
@@ -74,7 +100,7 @@ def seeded_positions(
         *(["_bucket"] if keep_bucket else []),
         *[
             (F.col(f"_{n}") + F.col(f"_in_{n}") - shift.get(n, 0)).cast("bigint").alias(n)
-            for n in sums
+            for n in added
         ],
     )
 

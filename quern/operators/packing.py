@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.functions.text import packed_ids, unpacked_ids
 from quern.operators.ordering import (
     BUCKET_DIGITS,
     before,
+    bucket_sums,
     epoch_plan,
     seeded_positions,
 )
@@ -55,6 +57,7 @@ def pack_sequences(
     pad_id: int = PAD_ID,
     world_size: int = 1,
     tokens: Column | None = None,
+    in_order: bool = False,
 ) -> DataFrame:
     """Blocks of exactly ``block_len`` tokens from the documents listed in ``lengths``.
 
@@ -68,6 +71,10 @@ def pack_sequences(
     blocks: surplus is cut, and a split that runs dry is padded. Without it all
     tokens are kept and only the last block of a split is padded.
 
+    With ``in_order``, which needs ``blocks_per_epoch``, blocks are to be stored: pieces travel
+    packed, each task holds consecutive blocks, and rows are in the order of (rank, split_id,
+    block_no) over the tasks and inside each, so no further shuffle or wide sort is due.
+
     Returns (split_id, rank, block_no, input_ids, doc_ids, doc_lengths).
     """
     offsets = document_offsets(lengths, num_splits, seed, epoch, world_size)
@@ -77,12 +84,13 @@ def pack_sequences(
         offsets = offsets.where(F.col("start") < per_split * block_len)
     tokens = F.col("input_ids") if tokens is None else tokens
     closed = F.concat(tokens, F.array(F.lit(eos_id)))
+    if in_order and blocks_per_epoch is None:
+        raise ValueError("blocks are dealt in order by their number per epoch")
     # The layout rows are narrow but each brings its tokens, so tasks are sized by tokens.
     volume = lengths.agg(F.sum(F.col("n_tokens").cast("bigint"))).first()[0] or 0
     tasks = -(-volume // TOKENS_PER_TASK)
-    spread = offsets.repartition(
-        max(tasks, lengths.sparkSession.sparkContext.defaultParallelism), "id"
-    )
+    at_least = lengths.sparkSession.sparkContext.defaultParallelism
+    spread = offsets.repartition(max(tasks, at_least), "id")
     placed = spread.join(docs, "id").select(*offsets.columns, closed.alias("ids"))
 
     first = F.expr(f"start div {block_len}")
@@ -103,31 +111,40 @@ def pack_sequences(
     )
     if per_split is not None:
         pieces = pieces.where(F.col("block_no") < per_split)
+    piece = packed_ids("piece").alias("piece") if in_order else F.col("piece")
+    part = F.struct("at", "id", piece, F.size("piece").alias("n"))
+    block = ["split_id", "rank", "block_no"]
+    pieces = pieces.select(*block, part.alias("part"))
+    if per_split is not None:  # dry blocks have no parts
+        dry = _dry_blocks(offsets, num_splits, per_split, block_len, world_size)
+        pieces = pieces.unionByName(dry, allowMissingColumns=True)
+    group = block
+    if in_order:
+        # The bounds are known; tasks have half the tokens, since they write them unpacked.
+        spread_to = max(2 * tasks, at_least)
+        place = f"(split_id * {per_split}L + block_no)"
+        task = F.expr(f"cast({place} * {spread_to}L div {max(num_splits * per_split, 1)} as int)")
+        pieces = pieces.withColumn("_task", task).repartitionById(spread_to, "_task")
+        group = ["_task", *block]
     # A block gathers at most block_len pieces.
-    blocks = pieces.groupBy("split_id", "rank", "block_no").agg(
-        F.array_sort(F.collect_list(F.struct("at", "id", "piece"))).alias("parts")
-    )
+    blocks = pieces.groupBy(*group).agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    found = F.transform("parts", lambda p: p["piece"])
+    if in_order:
+        blocks = blocks.sortWithinPartitions("rank", "split_id", "block_no")
     packed = blocks.select(
-        "split_id",
-        "rank",
-        "block_no",
-        F.flatten(F.transform("parts", lambda p: p["piece"])).alias("ids"),
+        *block,
+        (unpacked_ids(found) if in_order else F.flatten(found)).alias("ids"),
         F.transform("parts", lambda p: p["id"]).alias("doc_ids"),
-        F.transform("parts", lambda p: F.size(p["piece"])).alias("doc_lengths"),
+        F.transform("parts", lambda p: p["n"]).alias("doc_lengths"),
     )
     fill = F.array_repeat(F.lit(pad_id), F.lit(block_len) - F.size("ids"))
     packed = packed.withColumn("input_ids", F.concat("ids", fill)).drop("ids")
     columns = ["split_id", "rank", "block_no", "input_ids", "doc_ids", "doc_lengths"]
-    packed = packed.select(*columns)
-    if per_split is None:
-        return packed
-    return packed.unionByName(
-        _dry_blocks(offsets, num_splits, per_split, block_len, pad_id, world_size)
-    )
+    return packed.select(*columns)
 
 
-def _dry_blocks(offsets, num_splits, per_split, block_len, pad_id, world_size):
-    """All-pad blocks of the splits that end before their last block."""
+def _dry_blocks(offsets, num_splits, per_split, block_len, world_size):
+    """The blocks of each split from its end to its last block."""
     ends = offsets.groupBy("split_id").agg(F.max(F.col("start") + F.col("length")).alias("end"))
     splits = offsets.sparkSession.range(num_splits).select(F.col("id").cast("int").alias("split_id"))
     filled = splits.join(ends, "split_id", "left").withColumn(
@@ -138,9 +155,6 @@ def _dry_blocks(offsets, num_splits, per_split, block_len, pad_id, world_size):
         "split_id",
         F.floor(F.col("split_id") / (num_splits // world_size)).cast("int").alias("rank"),
         F.explode(F.sequence(F.col("used"), F.lit(per_split - 1).cast("bigint"))).alias("block_no"),
-        F.array_repeat(F.lit(pad_id), block_len).alias("input_ids"),
-        F.array().cast("array<bigint>").alias("doc_ids"),
-        F.array().cast("array<int>").alias("doc_lengths"),
     )
 
 
@@ -155,13 +169,27 @@ def reshape_blocks(df: DataFrame, flat: str, block_len: int) -> DataFrame:
     return df.select(*others, F.posexplode(rows).alias("block_no", "input_ids"))
 
 
+def size_sums(df: DataFrame, id_col: str, size: str, seed: int) -> DataFrame:
+    """What ``sized_shards`` takes from all rows before it places any."""
+    return bucket_sums(df, seed, id_col, totals={"_bytes": F.col(size).cast("bigint")})
+
+
 def sized_shards(
-    df: DataFrame, id_col: str, size: str, limit: int, seed: int, in_order: bool = False
+    df: DataFrame,
+    id_col: str,
+    size: str,
+    limit: int,
+    seed: int,
+    in_order: bool = False,
+    sums: DataFrame | None = None,
+    turn: tuple[int, int] = (0, 1),
 ) -> DataFrame:
     """Shard by running bytes in the seeded order: a shard takes the rows that begin
-    inside its ``limit`` bytes."""
+    inside its ``limit`` bytes. ``sums`` and ``turn`` as in ``seeded_positions``."""
     size_col = F.col(size).cast("bigint")
-    placed = seeded_positions(df, seed, id_col, totals={"_bytes": size_col}, in_order=in_order)
+    placed = seeded_positions(
+        df, seed, id_col, totals={"_bytes": size_col}, in_order=in_order, sums=sums, turn=turn
+    )
     begin = F.col("_bytes") - size_col
     return placed.withColumn("shard", F.floor(begin / limit).cast("bigint")).drop("_bytes")
 

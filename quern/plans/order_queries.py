@@ -41,14 +41,14 @@ def clean_counts(spark, d):
     return checkpointed(kept.select("id", "n_tokens"))
 
 
-def packed(spark, d, full: bool = False, world_size: int = 2):
+def packed(spark, d, full: bool = False, world_size: int = 2, in_order: bool = False):
     """Blocks of the train rows; without ``full``, an equal number per split."""
     lengths = clean_counts(spark, d)
     budget = None if full else token_budget(lengths, SPLITS).first()["blocks"]
     docs = corpus(spark, d).select("id", "text")
     return packing.pack_sequences(
         lengths, docs, SPLITS, SEED, EPOCH, blocks_per_epoch=budget, world_size=world_size,
-        tokens=byte_tokens("text"),
+        tokens=byte_tokens("text"), in_order=in_order,
     )
 
 
@@ -298,7 +298,7 @@ def block_hashes(rows, *others):
 def stored_blocks(spark, d):
     """Path of the packed blocks, written once as rank shards; other layouts read it."""
     path = fresh_path(spark, "blocks")
-    block_io.write_rank_shards(packed(spark, d), path)
+    block_io.write_rank_shards(packed(spark, d, in_order=True), path, in_order=True)
     return path
 
 

@@ -1,12 +1,15 @@
 """Packing against a sequential reference, and its invariants."""
 
 import hashlib
+import os
+import time
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from quern.functions.text import loss_mask, padded
+from quern.functions.text import loss_mask, packed_ids, padded, unpacked_ids
 from quern.operators import counts, ordering, packing
 from quern.sources import blocks as block_io
 
@@ -143,3 +146,89 @@ def test_shards_are_written_with_one_shuffle_of_the_blocks(spark, tmp_path, monk
     position = ordering.seeded_positions(block_io.block_ids(rows), 5, "block_id").select("block_id", "position")
     stored = spark.read.parquet(str(tmp_path / "shuffled")).select("block_id", "position")
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, position.collect()))
+
+
+def file_order(path, columns):
+    """Rows of each folder of a layout, in the order of its files."""
+    found = {}
+    for folder in sorted(path.glob("*=*")):
+        files = [pq.read_table(f, partitioning=None) for f in sorted(folder.glob("*.parquet"))]
+        found[folder.name] = [tuple(r[c] for c in columns) for f in files for r in f.to_pylist()]
+    return found
+
+
+def test_blocks_dealt_in_order_are_the_same(spark, docs, tmp_path):
+    rows, df = docs
+    budget = counts.token_budget(df, 4, 64).first()["blocks"]
+    plain = packed(df, blocks_per_epoch=budget, world_size=2)
+    dealt = packed(df, blocks_per_epoch=budget, world_size=2, in_order=True)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    found = [tuple(r) for r in dealt.select("rank", "split_id", "block_no").collect()]
+    assert found == sorted(found)
+    block_io.write_rank_shards(dealt, str(tmp_path / "dealt"), in_order=True)
+    block_io.write_rank_shards(plain, str(tmp_path / "plain"))
+    stored = [file_order(tmp_path / name, ["split_id", "block_no", "input_ids"]) for name in ("dealt", "plain")]
+    assert stored[0] == stored[1] and all(r == sorted(r) and r for r in stored[0].values())
+    with pytest.raises(ValueError):
+        packed(df, in_order=True)
+
+
+def test_layouts_leave_no_shuffled_blocks(spark, tmp_path, monkeypatch):
+    """Blocks travel packed, a turn of them at a time, and are gone from the shuffle when a layout is written."""
+
+    def shuffled():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = [os.path.join(d, f) for top in disk.localDirsString() for d, _, fs in os.walk(top) for f in fs]
+        return sum(os.path.getsize(f) for f in names if "shuffle_" in f)
+
+    ids = F.transform(F.sequence(F.lit(1), F.lit(256)), lambda i: F.pmod(F.hash("id", i), F.lit(259)))
+    rows = spark.range(2000).select(
+        F.lit(0).alias("split_id"), F.col("id").alias("block_no"), F.lit(0).alias("rank"), ids.alias("input_ids"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    blocks = spark.read.parquet(str(tmp_path / "rows"))
+    before, most = shuffled(), []
+    kept = block_io.write_ordered
+    monkeypatch.setattr(block_io, "write_ordered", lambda df, *a: (
+        most.append(str([x.dataType().catalogString() for x in seq(shuffle_of(df).output())])), kept(df, *a)))
+    block_io.write_rank_shards(blocks, str(tmp_path / "ranks"))
+    block_io.write_shuffled_shards(blocks, str(tmp_path / "shuffled"), 3, 5)
+    index = block_io.write_sized_shards(blocks, str(tmp_path / "sized"), 5 * 4 * 256, 5)
+    assert len(most) == 2 + block_io.TURNS and all("binary" in x and "array<int>" not in x for x in most)
+    for _ in range(50):  # files are removed in the background
+        if (left := shuffled() - before) < 200_000:
+            break
+        time.sleep(0.1)
+    assert left < 200_000  # of 2000 blocks of 1 KB
+    assert [r["rows"] for r in index.collect()] == [5] * 400
+    stored = file_order(tmp_path / "sized", ["position", "block_no", "input_ids"])
+    assert sorted(p for shard in stored.values() for p, *_ in shard) == list(range(2000))
+    assert all(r == sorted(r) for r in stored.values())
+    want = {r["block_no"]: r["input_ids"] for r in blocks.collect()}
+    assert {b: i for shard in stored.values() for _, b, i in shard} == want
+
+
+def seq(scala):
+    return [scala.apply(i) for i in range(scala.size())]
+
+
+def shuffle_of(df):
+    """The node of the plan that deals the blocks."""
+    nodes = [df._jdf.queryExecution().analyzed()]
+    while nodes:
+        node = nodes.pop(0)
+        if "Repartition" in node.nodeName():
+            return node
+        nodes += seq(node.children())
+
+
+def test_packed_ids_come_back_and_sort_alike(spark):
+    ids = [[], [0], [1, 2, 257], [1, 2, 258, 0], [65, 0xD800, 0xDFFF], [0x10FFFF], [1, 300, 127, 128], [1, 2]]
+    odd = [[0x110000, 1], [-1], [2**31 - 1, -(2**31), None], [None]]
+    rows = spark.createDataFrame([(i,) for i in [*ids, *odd, None]], "ids array<int>")
+    there = rows.select("ids", packed_ids("ids").alias("packed"))
+    assert all(r["ids"] == r["back"] for r in there.withColumn("back", unpacked_ids(F.array("packed"))).collect())
+    for some in (ids, odd[:2]):
+        order = [r["ids"] for r in there.orderBy("packed").collect() if r["ids"] in some]
+        assert order == sorted(some)
+    parts = F.array(packed_ids(F.lit([1, 2])), packed_ids(F.array(F.lit(-1))), packed_ids(F.lit([257])))
+    assert rows.limit(1).select(unpacked_ids(parts)).first()[0] == [1, 2, -1, 257]
